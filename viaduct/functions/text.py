@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # What counts as blank between words, control separators included.
-BLANKS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]+"
-# Runs of letters that have case, and runs of everything else (digits, marks, Arabic letters).
-CASED_RUNS = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]+|[^\p{IsLowercase}\p{IsUppercase}\p{Lt}]+"
+BLANKS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# Where a letter that has case follows something else than a blank or another such letter.
+_CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
+INNER_WORD = rf"(?<=[^ ])(?<!{_CASED})(?={_CASED})"
+# A code point that Unicode reserves for use inside programs; it marks a break to be taken out again.
+MARK = "\ufdd0"
 
 
 def normalize_road_name(name: Column) -> Column:
     """Trim, collapse blanks, capitalise each run of letters; null becomes ''.
 
-    A plain `initcap` breaks at blanks only and would leave "o'neil 6th-st" as "O'neil 6th-st".
+    A plain `initcap` breaks at blanks only and would leave "o'neil 6th-st" as "O'neil 6th-st", so a
+    marked blank goes before every run of letters inside a word, and comes out after.
     """
     words = F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), BLANKS, " "))
-    runs = F.regexp_extract_all(words, F.lit(CASED_RUNS), 0)
-    return F.array_join(F.transform(runs, F.initcap), "")
+    broken = F.regexp_replace(words, INNER_WORD, f"{MARK} ")
+    return F.replace(F.initcap(broken), F.lit(f"{MARK} "), F.lit(""))
 
 
 def sensor_id_for_road(road_name: Column) -> Column:

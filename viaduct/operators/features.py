@@ -42,12 +42,12 @@ def derive_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     if dict(df.dtypes)[ts] == "string":
         df = df.withColumn(ts, V.parse_ts(F.col(ts)))
     df = with_road_defaults(df.withColumns(V.time_features(F.col(ts))))
-    index = V.congestion_index(F.col("average_speed_kmh"), F.col("speed_limit_kmh"))
-    return df.withColumns({
+    measured = df.withColumns({
         "traffic_density": V.traffic_density(F.col("vehicle_count"), F.col("length_km"), F.col("num_lanes")),
-        "congestion_index": index,
-        "congestion_level": V.congestion_level(index),
+        "congestion_index": V.congestion_index(F.col("average_speed_kmh"), F.col("speed_limit_kmh")),
     })
+    # A step of its own, so that the index is computed once and not again for each bound.
+    return measured.withColumn("congestion_level", V.congestion_level(F.col("congestion_index")))
 
 
 def clean_and_derive(df: DataFrame, max_speed: float | None = MAX_SPEED_KMH) -> DataFrame:

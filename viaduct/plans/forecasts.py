@@ -143,7 +143,7 @@ def best_model(m):
 
 @query("record_predictions", f"""
 WITH road_hours AS (
-  SELECT e.road_id, date_trunc('hour', "timestamp") AS at, CAST(round(avg(vehicle_count)) AS INT) AS actual_vehicle_count,
+  SELECT e.road_id, date_trunc('hour', "timestamp") AS due_at, CAST(round(avg(vehicle_count)) AS INT) AS actual_vehicle_count,
          {rounded("avg(congestion_index)", 9)} AS actual_index, min(hour) AS hour, bool_or(is_rush_hour) AS is_rush_hour,
          bool_or(is_weekend) AS is_weekend, min(num_lanes) AS num_lanes, min(speed_limit_kmh) AS speed_limit_kmh
   FROM traffic_events e JOIN roads r ON e.road_id = r.road_id GROUP BY 1, 2),
@@ -152,7 +152,7 @@ speeds AS (SELECT *, speed_limit_kmh * greatest(0.1e0, least(1.1e0, 1e0 - predic
            FROM scored),
 indexes AS (SELECT *, CASE WHEN speed >= speed_limit_kmh THEN 0e0 ELSE 1e0 - speed / speed_limit_kmh END AS idx FROM speeds)
 SELECT 'capacity_rule' AS model_name, 'CONGESTION' AS prediction_type, road_id, CAST(NULL AS VARCHAR) AS sensor_id,
-       at - INTERVAL 60 MINUTE AS predicted_at, CAST(60 AS INT) AS prediction_horizon_minutes,
+       due_at - INTERVAL 60 MINUTE AS predicted_at, CAST(60 AS INT) AS prediction_horizon_minutes,
        CAST(predicted_count AS INT) AS predicted_vehicle_count, {LEVEL_OF_IDX} AS predicted_congestion_level,
        round_even(speed * 10, 0) / 10 AS predicted_avg_speed, CAST(NULL AS DOUBLE) AS confidence_score,
        actual_vehicle_count,
