@@ -19,8 +19,8 @@ COUNT = "predicted_count"
 
 def fill_feature_defaults(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        name: F.coalesce(F.col(name), F.lit(value)) if name in df.columns else F.lit(value)
-        for name, value in FEATURE_DEFAULTS.items()})
+        name: F.coalesce(F.col(name), F.lit(value).cast(df.schema[name].dataType)) if name in df.columns
+        else F.lit(value) for name, value in FEATURE_DEFAULTS.items()})
 
 
 def score_vehicle_count(df: DataFrame, model: PipelineModel | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VarianceThresholdSelector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,8 +25,12 @@ def _fit(train: DataFrame, regressor: Estimator, features: tuple[str, ...] = FEA
     return Pipeline(stages=[*feature_stages(features), regressor]).fit(train)
 
 
-def linear() -> LinearRegression:
-    return LinearRegression(featuresCol=SCALED, labelCol=LABEL)
+def linear() -> Pipeline:
+    """Least squares over the features that vary: a constant one would make the equations singular."""
+    return Pipeline(stages=[
+        VarianceThresholdSelector(featuresCol=SCALED, outputCol="varying", varianceThreshold=0.0),
+        LinearRegression(featuresCol="varying", labelCol=LABEL),
+    ])
 
 
 def forest(trees: int = 100, depth: int = 10) -> RandomForestRegressor:
