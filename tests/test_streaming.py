@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,7 +31,9 @@ def text_files(tmp_path, *batches):
     folder = tmp_path / "in"
     folder.mkdir(exist_ok=True)
     for number, batch in enumerate(batches):
-        (folder / f"{number:03d}.txt").write_text("\n".join(batch) + "\n")
+        file = folder / f"{number:03d}.txt"
+        file.write_text("\n".join(batch) + "\n")
+        os.utime(file, (1_700_000_000 + number, 1_700_000_000 + number))  # files are taken by age
     return str(folder)
 
 
