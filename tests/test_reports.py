@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from viaduct.operators import reports, serving
+from viaduct.operators.dimensions import DEFAULT_LIMIT, BroadcastLimit
 
 EVENTS = "event_id long, sensor_id string, road_id int, timestamp timestamp_ntz, vehicle_count int, " \
          "average_speed_kmh double, congestion_index double, congestion_level string, weather_id long, hour int, " \
@@ -112,8 +113,9 @@ def test_kpis_and_shares(events, roads):
     assert rows(reports.network_kpis(named.limit(0))) == [(None, None, 0, 0)]
 
 
-def test_current_status(events, sensors, roads, weather):
-    status = serving.current_status(events, sensors, roads, weather)
+@pytest.mark.parametrize("limit", [DEFAULT_LIMIT, BroadcastLimit(rows=0)])
+def test_current_status(events, sensors, roads, weather, limit):
+    status = serving.current_status(events, sensors, roads, weather, limit=limit)
     found = {r.sensor_id: r for r in status.collect()}
     # Two readings of S2 share the latest instant on a known road; the one on road 9 does not count.
     assert set(found) == {"S1", "S2"}

@@ -8,28 +8,44 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.traffic import CONGESTED_LEVELS
-from .dimensions import DEFAULT_LIMIT, BroadcastLimit, join_dim, sized
+from .dimensions import DEFAULT_LIMIT, BroadcastLimit, join_dim, measure, sized, within
 from .reports import lookback_filter
 
 LATEST_ROWS, TREND_ROWS = 100, 5000
 
 
+def latest_per_key(df: DataFrame, key: str, ts: str, tie_break: str, newest: DataFrame | None = None) -> DataFrame:
+    """The latest row of each key; of rows at the same instant the one with the greatest `tie_break`.
+
+    Each map task reduces its rows to one per key before the shuffle. That reduction sorts, since whole
+    rows have no fixed width; `newest`, the latest instant of each key, lets all but the latest rows be
+    dropped first. It must be small enough to broadcast.
+    """
+    if newest is not None:
+        df = df.join(F.broadcast(newest), [key, ts], "left_semi")
+    kept = [c for c in df.columns if c != key]
+    last = df.groupBy(key).agg(F.max_by(F.struct(*kept), F.struct(ts, tie_break)).alias("last"))
+    return last.select(key, "last.*")
+
+
 def current_status(events: DataFrame, sensors: DataFrame, roads: DataFrame, weather: DataFrame,
                    ts: str = "timestamp", limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """The latest reading of each sensor with its road, position and weather.
 
-    Each map task reduces its readings to one per sensor before the shuffle; the lookups follow on
-    one row per sensor. Of readings at the same instant the greatest event id is taken.
+    The lookups run on one row per sensor. Of readings at the same instant the greatest event id is taken.
     """
     roads = sized(roads.select("road_id", "road_name"), limit)
-    kept = ("event_id", "road_id", "weather_id", ts, "vehicle_count", "average_speed_kmh",
-            "congestion_index", "congestion_level")
+    sensors = sensors.select("sensor_id", "latitude", "longitude")
     # Readings on unknown roads may not stand for their sensor.
-    known = events.select("sensor_id", *kept).join(roads, "road_id", "left_semi")
-    latest = known.groupBy("sensor_id").agg(
-        F.max_by(F.struct(*kept), F.struct(ts, "event_id")).alias("last")).select("sensor_id", "last.*")
-    placed = latest.join(roads, "road_id").join(
-        sensors.select("sensor_id", "latitude", "longitude"), "sensor_id")
+    known = events.select("sensor_id", "event_id", "road_id", "weather_id", ts, "vehicle_count",
+                          "average_speed_kmh", "congestion_index", "congestion_level").join(roads, "road_id", "left_semi")
+    newest = None
+    if within(measure(sensors), limit):
+        # One instant per known sensor, so no larger than the sensors just measured.
+        sensors = F.broadcast(sensors)
+        newest = known.join(sensors, "sensor_id", "left_semi").groupBy("sensor_id").agg(F.max(ts).alias(ts))
+    latest = latest_per_key(known, "sensor_id", ts, "event_id", newest)
+    placed = latest.join(roads, "road_id").join(sensors, "sensor_id")
     observed = join_dim(placed, weather.select("weather_id", "weather_condition", "temperature_celsius"),
                         "weather_id", "left", limit)
     return observed.select("sensor_id", "road_name", "latitude", "longitude", ts, "vehicle_count",

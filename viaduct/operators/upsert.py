@@ -13,14 +13,17 @@ def insert_ignore(incoming: DataFrame, existing: DataFrame, key: list[str],
 
     Among incoming rows with the same key the smallest row wins, so the choice does not depend on
     partitioning. The target may be far larger than the batch: where the batch's keys are few enough
-    to broadcast, the target is first reduced to the keys in question and is not shuffled.
+    to broadcast, the target is reduced to the keys in question, and neither side is shuffled for
+    the comparison.
     """
-    rest = [c for c in incoming.columns if c not in key]
-    fresh = incoming.dropDuplicates() if not rest else (
-        incoming.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__rest"))
-        .select(*key, "__rest.*").select(*incoming.columns))
-    taken = existing.select(*key)
     wanted = incoming.select(*key).distinct()
+    taken = existing.select(*key)
     if within(measure(wanted), limit):
-        taken = taken.join(F.broadcast(wanted), key, "left_semi")
-    return fresh.join(taken.distinct(), key, "left_anti")
+        # The keys in question that are taken cannot be more than those just counted.
+        taken = F.broadcast(taken.join(F.broadcast(wanted), key, "left_semi").distinct())
+    fresh = incoming.join(taken, key, "left_anti")
+    rest = [c for c in incoming.columns if c not in key]
+    if not rest:
+        return fresh.distinct()
+    smallest = fresh.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__rest"))
+    return smallest.select(*key, "__rest.*").select(*incoming.columns)

@@ -15,7 +15,14 @@ from .. import functions as V
 from ..operators.dimensions import join_dim, sized
 from ..operators.features import ROAD_DEFAULTS, derive_features
 
-ROWS_PER_DAY = 24
+# Schemas of the provided files, so that opening one needs no job to look into it.
+PROVIDED = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+HOURS_PER_DAY = 24
 
 
 def ntz(column: Column) -> Column:
@@ -34,7 +41,7 @@ class TrafficModel:
         self.sf_dir = sf_dir.rstrip("/")
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self.spark.read.schema(PROVIDED[table]).parquet(f"{self.sf_dir}/{table}.parquet")
 
     @cached_property
     def roads(self) -> DataFrame:
@@ -154,7 +161,7 @@ def _longitude() -> Column:
 
 def _hour_number(ts: str) -> Column:
     """Hours since 1970."""
-    return F.unix_date(F.to_date(ts)).cast("long") * ROWS_PER_DAY + F.hour(ts)
+    return F.unix_date(F.to_date(ts)).cast("long") * HOURS_PER_DAY + F.hour(ts)
 
 
 TABLE_SQL = """

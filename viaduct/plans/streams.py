@@ -15,7 +15,7 @@ from ..sinks import sink_raw_parquet
 from ..streaming import clean_stream, dedupe_stream, parse_readings, windowed_metrics
 from ..streaming.readings import EVENT_TIME
 from .catalog import query, rounded
-from .model import TrafficModel, ntz
+from .model import PROVIDED, TrafficModel, ntz
 
 MESSAGE_COLUMNS = ("sensor_id", "vehicle_count", "average_speed_kmh", "latitude", "event_ts")
 
@@ -89,10 +89,9 @@ def windows(m):
 
 def _streamed_events(m: TrafficModel) -> DataFrame:
     """The same readings as a stream; a watermark needs an instant, not a time without zone."""
-    source = m.read("events")
     streamed = TrafficModel(m.spark, m.sf_dir)
     streamed.read = lambda table: (
-        m.spark.readStream.schema(source.schema).parquet(f"{m.sf_dir}/events.parquet*")
+        m.spark.readStream.schema(PROVIDED[table]).parquet(f"{m.sf_dir}/{table}.parquet*")
         if table == "events" else m.read(table))
     return streamed.events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
