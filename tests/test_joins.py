@@ -50,6 +50,27 @@ def test_clashing_names(spark):
     assert rows(join_sensors(reading, sensors)) == [("s", 1, 30.0)]
 
 
+def test_hot_key_past_the_limit_is_split_between_tasks(spark):
+    """A key with a third of all rows must not end up in one task of the shuffled join."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.shuffle.partitions": "8"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(0, 300_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("k"))
+        dim = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+        joined = join_dim(facts, dim, "k", "left", TINY)
+        assert joined.agg(F.count("*"), F.count("v")).first()[0] == 300_000
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def _series(spark, observations):
     return spark.createDataFrame(observations, "city string, weather_id long, secs long").select(
         "city", "weather_id", F.timestamp_seconds("secs").alias("timestamp"))

@@ -23,8 +23,9 @@ SQL_FUNCTIONS = (
      f"{2 * geo.EARTH_RADIUS_KM}D * asin(sqrt(least(1D, pow(sin(radians(lat2 - lat1) / 2), 2)"
      " + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2))))"),
     ("normalize_road_name(name STRING)", "STRING",
-     f"replace(initcap(regexp_replace(trim(regexp_replace(coalesce(name, ''), r'{text.BLANKS}', ' ')),"
-     f" r'{text.INNER_WORD}', '{text.MARK} ')), '{text.MARK} ', '')"),
+     f"CASE WHEN name RLIKE r'{text.TIDY}' THEN initcap(name) ELSE replace(initcap(regexp_replace("
+     f"trim(regexp_replace(coalesce(name, ''), r'{text.BLANKS}', ' ')), r'{text.INNER_WORD}', '{text.MARK} ')),"
+     f" '{text.MARK} ', '') END"),
     ("sensor_id_for_road(name STRING)", "STRING", "concat('SENSOR_', upper(replace(name, ' ', '_')), '_01')"),
     ("traffic_density(vehicles DOUBLE, length_km DOUBLE, lanes INT)", "DOUBLE",
      "CASE WHEN length_km <= 0 OR lanes <= 0 THEN 0D ELSE vehicles / (length_km * lanes) END"),
