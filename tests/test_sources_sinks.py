@@ -98,6 +98,22 @@ def test_date_partitions_replace_only_their_own_days(spark, tmp_path):
     assert spark.read.parquet(flat).columns == ["id"]
 
 
+def test_lookback_opens_only_the_days_it_needs(spark, tmp_path):
+    from conftest import plan
+    from viaduct.operators.reports import lookback_filter
+    path = str(tmp_path / "lake")
+    days = spark.range(40).select("id", (F.timestamp_seconds(1_700_000_000 + F.col("id") * 86400)).alias("timestamp"))
+    sinks.write_date_partitioned(days, path)
+    as_of = F.timestamp_seconds(F.lit(1_700_000_000 + 39 * 86400))
+    lake = spark.read.parquet(path)
+    pruned = lookback_filter(lake, as_of, 48, date_partitioned=True)
+    assert rows(pruned.select("id")) == rows(lookback_filter(lake, as_of, 48).select("id")) == [(38,), (39,)]
+    assert "PartitionFilters: [isnotnull(year" in plan(pruned)
+    assert len(pruned.select("id").inputFiles()) == 40  # all that the dataset has
+    scanned = pruned.select(F.input_file_name().alias("f")).distinct()
+    assert scanned.count() == 2
+
+
 def test_csv_export_has_a_header(spark, tmp_path):
     path = str(tmp_path / "out")
     sinks.export_csv(spark.range(2), path)

@@ -100,10 +100,17 @@ def period_report(events: DataFrame, period: str, ts: str = "timestamp") -> Data
     return report.transform(_dated, period, F.col("__start")).transform(select_report_columns)
 
 
-def lookback_filter(df: DataFrame, as_of: dt.datetime | Column, hours: int = 24, ts: str = "timestamp") -> DataFrame:
-    """Rows later than `as_of` less `hours`. A literal `as_of` reaches the Parquet scan."""
-    until = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return df.where(F.col(ts) > until - F.expr(f"INTERVAL {hours} HOURS"))
+def lookback_filter(df: DataFrame, as_of: dt.datetime | Column, hours: int = 24, ts: str = "timestamp",
+                    date_partitioned: bool = False) -> DataFrame:
+    """Rows later than `as_of` less `hours`. A literal `as_of` reaches the Parquet scan.
+
+    Of a dataset that `write_date_partitioned` wrote, folders of earlier days are not even listed if
+    `date_partitioned` says so.
+    """
+    since = (as_of if isinstance(as_of, Column) else F.lit(as_of)) - F.expr(f"INTERVAL {hours} HOURS")
+    if date_partitioned:
+        df = df.where(F.make_date("year", "month", "day") >= F.to_date(since))
+    return df.where(F.col(ts) > since)
 
 
 def road_congestion_summary(events: DataFrame, roads: DataFrame, as_of: dt.datetime | Column | None = None,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import forecast
 from ..functions import round_numeric, time_features
 from ..forecast import FEATURES
+from ..session import shared_dir, shared_path
 from .catalog import query, rounded
 from .model import ntz
 from .scalars import RULE_SQL
@@ -170,20 +173,39 @@ def record_predictions(m):
     return forecast.with_actuals(predictions, m.events)
 
 
-@query("train_linear", f"""
+LINEAR_SQL = f"""
 WITH line AS (SELECT regr_slope(vehicle_count, average_speed_kmh) AS slope,
                      regr_intercept(vehicle_count, average_speed_kmh) AS base
               FROM {TRAINING_SQL} WHERE NOT ({IN_TEST}))
 SELECT event_id, {rounded("base + slope * average_speed_kmh", 4)} AS prediction
-FROM {TRAINING_SQL}, line WHERE {IN_TEST}""")
+FROM {TRAINING_SQL}, line WHERE {IN_TEST}"""
+
+
+def _predicted(model, test: DataFrame) -> DataFrame:
+    return model.transform(test).select("event_id", round_numeric(F.col("prediction"), 4).alias("prediction"))
+
+
+@query("train_linear", LINEAR_SQL)
 def train_linear(m):
     train, test = _prepared_split(m)
-    model = forecast.train_linear(train, features=("average_speed_kmh",))
-    return model.transform(test).select("event_id", round_numeric(F.col("prediction"), 4).alias("prediction"))
+    return _predicted(forecast.train_linear(train, features=("average_speed_kmh",)), test)
+
+
+@query("save_and_load_model", LINEAR_SQL)
+def save_and_load_model(m):
+    train, test = _prepared_split(m)
+    path = shared_path(m.spark, "model")
+    forecast.save_model(forecast.train_linear(train, features=("average_speed_kmh",)), path, name="linear_regression",
+                        metrics={}, trained_at=dt.datetime(2024, 1, 31))
+    model, _ = forecast.load_model(m.spark, path)
+    return _predicted(model, test)
 
 
 def _prepared_split(m) -> tuple[DataFrame, DataFrame]:
-    return forecast.split(forecast.prepare_features(_training(m), keep=("event_id",)), "event_id")
+    """Training and test rows, written to the shared folder once since a fit reads them many times."""
+    shared_dir(m.spark)
+    prepared = forecast.prepare_features(_training(m), keep=("event_id",)).checkpoint()
+    return forecast.split(prepared, "event_id")
 
 
 def _trained(m, train_model, **size) -> DataFrame:

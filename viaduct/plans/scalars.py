@@ -236,3 +236,22 @@ def derive(m):
 @query("clean_and_derive", DERIVED_SQL.format(CLEAN_SQL))
 def clean_then_derive(m):
     return clean_and_derive(m.readings).select(*DERIVED_COLUMNS)
+
+
+@query("sql_functions", f"""
+SELECT event_id, r.road_type, {RULE_SQL} AS rule_count, e.congestion_index, e.congestion_level, e.traffic_density,
+       e.is_rush_hour, e.is_weekend, strftime("timestamp", '%H:00') AS hour_label, {_tidy("r.road_name || ' o''neil 6th'")} AS road_name,
+       concat('SENSOR_', upper(replace(r.road_name, ' ', '_')), '_01') AS first_sensor_id
+FROM traffic_events e JOIN roads r ON e.road_id = r.road_id""")
+def sql_functions(m):
+    V.register_sql_functions(m.spark)
+    return m.spark.sql("""
+        SELECT event_id, road_type(speed_limit_kmh) AS road_type,
+               rule_vehicle_count(h, num_lanes, is_rush_hour(h), is_weekend(d)) AS rule_count,
+               congestion_index(average_speed_kmh, speed_limit_kmh) AS congestion_index,
+               congestion_level(congestion_index(average_speed_kmh, speed_limit_kmh)) AS congestion_level,
+               traffic_density(vehicle_count, length_km, num_lanes) AS traffic_density,
+               is_rush_hour(h) AS is_rush_hour, is_weekend(d) AS is_weekend, hour_label(h) AS hour_label,
+               normalize_road_name(road_name || " o'neil 6th") AS road_name,
+               sensor_id_for_road(road_name) AS first_sensor_id
+        FROM (SELECT *, hour(timestamp) AS h, weekday(timestamp) AS d FROM {placed})""", placed=m.placed_events)

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import round_numeric
 from ..operators.quality import CORRUPT, quarantine
 from ..session import shared_path
-from ..sinks import sink_raw_parquet
-from ..streaming import clean_stream, dedupe_stream, parse_readings, windowed_metrics
+from ..sinks import parquet_micro_batch, sink_micro_batch, sink_raw_parquet
+from ..streaming import clean_stream, dedupe_stream, parse_readings, run_stream, windowed_metrics
 from ..streaming.readings import EVENT_TIME
 from .catalog import query, rounded
 from .model import PROVIDED, TrafficModel, ntz
@@ -116,3 +116,44 @@ def raw_sink(m):
     landed = _run_dry(m, _streamed_events(m), "raw")
     return landed.select("event_id", "sensor_id", "vehicle_count", "average_speed_kmh",
                          ntz(F.col("timestamp")).alias("event_ts"), "month", "hour")
+
+
+@query("stream_dedupe", """SELECT DISTINCT sensor_id, "timestamp" AS event_ts FROM traffic_events""")
+def stream_dedupe(m):
+    twice = _streamed_events(m).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    landed = _run_dry(m, dedupe_stream(twice, ("sensor_id", "timestamp"), "timestamp"), "deduped")
+    return landed.select("sensor_id", ntz(F.col("timestamp")).alias("event_ts"))
+
+
+@query("sink_micro_batch", "SELECT event_id, sensor_id, vehicle_count FROM raw_events")
+def micro_batch_sink(m):
+    path = shared_path(m.spark, "batches")
+    write = parquet_micro_batch(f"{path}/data", lambda batch: batch.select("event_id", "sensor_id", "vehicle_count"))
+
+    def write_twice(batch, batch_id):
+        write(batch, batch_id)
+        write(batch, batch_id)
+    sink_micro_batch(_streamed_events(m), write_twice, f"{path}/checkpoint", availableNow=True).awaitTermination()
+    return m.spark.read.parquet(f"{path}/data").drop("batch_id")
+
+
+@query("run_stream", """
+SELECT CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'malformed JSON' WHEN sensor_id IS NULL THEN 'missing core field'
+            WHEN latitude > 90 THEN 'coordinates out of range'
+            WHEN vehicle_count < 0 OR average_speed_kmh < 0 THEN 'count or speed out of range' ELSE 'none' END AS error,
+       count(*) AS messages
+FROM readings GROUP BY 1""")
+def fan_out(m):
+    """Messages from text files through both branches: clean readings, and dead letters by error."""
+    path = shared_path(m.spark, "fan-out")
+    m.messages.write.text(f"{path}/messages")
+
+    def landing(name):
+        return lambda df, checkpoint: sink_raw_parquet(df, f"{path}/{name}", checkpoint, (), availableNow=True)
+    running = run_stream(m.spark.readStream.text(f"{path}/messages"), {"readings": landing("readings")},
+                         landing("dead_letters"), f"{path}/checkpoints")
+    for stream in running.values():
+        stream.awaitTermination()
+    clean_rows = m.spark.read.parquet(f"{path}/readings").select(F.lit("none").alias("error"))
+    bad_rows = m.spark.read.parquet(f"{path}/dead_letters").select("error")
+    return clean_rows.unionAll(bad_rows).groupBy("error").agg(F.count(F.lit(1)).alias("messages"))

@@ -26,8 +26,10 @@ def write_date_partitioned(df: DataFrame, path: str, ts: str = "timestamp") -> N
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A folder of CSV files, each with a header."""
-    df.write.option("header", True).mode(mode).csv(path)
+    """A folder of CSV files, each with a header; times keep their microseconds."""
+    (df.write.option("header", True)
+     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX")
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").mode(mode).csv(path))
 
 
 def sink_raw_parquet(stream: DataFrame, path: str, checkpoint: str,
