@@ -110,7 +110,10 @@ def test_conform_fits_the_event_table(spark):
     weather = spark.createDataFrame([(11, "2024-01-01 06:00:00"), (12, "2024-01-01 09:00:00")],
                                     "weather_id long, timestamp string").withColumn(
                                         "timestamp", F.col("timestamp").cast("timestamp"))
-    out = conform_events(readings, sensors, roads, weather)
+    for frame, ts in ((readings, "timestamp"), (readings.withColumnRenamed("timestamp", "timestamp_parsed"), "timestamp_parsed")):
+        out = conform_events(frame, sensors, roads, weather, ts=ts)
+        assert out.columns == list(EVENT_COLUMNS)
+    assert "event_id" not in conform_events(readings.drop("event_id"), sensors, roads, weather).columns
     assert out.columns == list(EVENT_COLUMNS)
     row = out.first()
     assert out.count() == 1 and (row.road_id, row.weather_id, row.traffic_density, row.congestion_level) == (7, 11, 25.0, "HIGH")

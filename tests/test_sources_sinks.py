@@ -148,28 +148,41 @@ TARGET = sources.JdbcTarget("jdbc:postgresql://db/traffic", "user", "secret")
 def test_jdbc_write_options_and_modes():
     for if_exists, mode in {"append": "append", "replace": "overwrite", "fail": "errorifexists"}.items():
         frame = FakeFrame()
-        assert write_jdbc(frame, TARGET, "roads", if_exists)
+        write_jdbc(frame, TARGET, "roads", if_exists)
         assert ("mode", (mode,)) in frame.log and ("option", ("dbtable", "roads")) in frame.log
     options = dict(frame.log[1][1])
     assert options["batchsize"] == "10000" and options["numPartitions"] == "16" and options["user"] == "user"
     empty = FakeFrame(empty=True)
-    assert not write_jdbc(empty, TARGET, "roads") and empty.log == []
+    write_jdbc(empty, TARGET, "roads", "replace")
+    assert empty.log == []
     with pytest.raises(KeyError):
         write_jdbc(frame, TARGET, "roads", "merge")
     assert "secret" not in repr(TARGET) and set(SAVE_MODES) == {"append", "replace", "fail"}
 
 
 def test_jdbc_read_is_split_over_connections():
+    class Extremes:
+        found = (3, 90)
+
+        def first(self):
+            return self.found
+
     class Session:
         log = []
-        read = FakeIo(log, "frame")
-    assert sources.read_table(Session, TARGET, "traffic_events", split_on="event_id", bounds=(0, 100)) == "frame"
-    told = dict(Session.log[1][1])
-    assert (told["partitionColumn"], told["lowerBound"], told["upperBound"], told["numPartitions"]) == ("event_id", "0", "100", "16")
+        read = FakeIo(log, Extremes())
+
+    def split():
+        return [told for name, told in Session.log if name == "options" and "partitionColumn" in told]
+    sources.read_table(Session, TARGET, "traffic_events", split_on="event_id", bounds=(0, 100))
+    assert split() == [{"partitionColumn": "event_id", "lowerBound": "0", "upperBound": "100", "numPartitions": "16"}]
+    sources.read_table(Session, TARGET, "traffic_events", split_on="event_id")
+    assert split()[1]["lowerBound"] == "3" and split()[1]["upperBound"] == "90"
+    assert ("option", ("query", "SELECT min(event_id) AS low, max(event_id) AS high FROM traffic_events")) in Session.log
+    Extremes.found = (None, None)
+    sources.read_table(Session, TARGET, "traffic_events", split_on="event_id")
+    assert len(split()) == 2
     sources.read_table(Session, TARGET, "traffic_events", query="select 1")
     assert ("option", ("dbtable", "(select 1) AS selected")) in Session.log
-    with pytest.raises(ValueError):
-        sources.read_table(Session, TARGET, "traffic_events", split_on="event_id")
 
 
 def test_jdbc_micro_batch_adds_only_what_is_missing(spark, monkeypatch):

@@ -14,13 +14,16 @@ from .replay import BatchWriter, missing_of_batch, sink_micro_batch
 SAVE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
 
 
-def write_jdbc(df: DataFrame, target: JdbcTarget, table: str, if_exists: str = "append") -> bool:
-    """Write a frame to a table; an empty frame is skipped. Tells whether anything was written."""
+def write_jdbc(df: DataFrame, target: JdbcTarget, table: str, if_exists: str = "append") -> None:
+    """Write a frame to a table.
+
+    An empty frame never replaces a table. Appending one writes nothing, so it is not looked at first,
+    which would compute part of it twice.
+    """
     mode = SAVE_MODES[if_exists]
-    if df.isEmpty():
-        return False
+    if mode != "append" and df.isEmpty():
+        return
     df.write.format("jdbc").options(**target.write_options()).option("dbtable", table).mode(mode).save()
-    return True
 
 
 def jdbc_micro_batch(target: JdbcTarget, table: str, key: list[str],

@@ -33,18 +33,22 @@ def read_table(spark: SparkSession, target: JdbcTarget, table: str, query: str |
                split_on: str | None = None, bounds: tuple[object, object] | None = None) -> DataFrame:
     """A whole table or the result of a SELECT.
 
-    A large table should name a numeric, date or timestamp column to split on, with its least and
-    greatest value: the table is then read over several connections. The bounds only shape the split
-    and drop no rows. Without a split one connection reads all.
+    A large table should name a numeric, date or timestamp column to split on: it is then read over
+    several connections at once. The bounds only shape the split and drop no rows; where they are not
+    given the database is asked for the least and greatest value. Without a split one connection reads all.
     """
-    options = target.read_options()
     source = f"({query}) AS selected" if query else table
-    if split_on is not None:
-        if bounds is None:
-            raise ValueError("a split needs bounds")
-        options.update({"partitionColumn": split_on, "lowerBound": str(bounds[0]),
-                        "upperBound": str(bounds[1]), "numPartitions": str(target.connections)})
-    return spark.read.format("jdbc").options(**options).option("dbtable", source).load()
+    reader = spark.read.format("jdbc").options(**target.read_options())
+    if split_on is None:
+        return reader.option("dbtable", source).load()
+    if bounds is None:
+        extremes = f"SELECT min({split_on}) AS low, max({split_on}) AS high FROM {source}"
+        found = spark.read.format("jdbc").options(**target.read_options()).option("query", extremes).load().first()
+        bounds = found[0], found[1]
+    if None in bounds:  # an empty table
+        return reader.option("dbtable", source).load()
+    return reader.options(partitionColumn=split_on, lowerBound=str(bounds[0]), upperBound=str(bounds[1]),
+                          numPartitions=str(target.connections)).option("dbtable", source).load()
 
 
 def read_query(spark: SparkSession, query: str, params: dict | None = None,

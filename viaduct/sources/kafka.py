@@ -26,7 +26,11 @@ def decode_value(messages: DataFrame) -> DataFrame:
 
 def read_kafka_stream(spark: SparkSession, servers: str, topics: str | list[str], *,
                       starting_offsets: str = "latest", **options) -> DataFrame:
-    """A stream of message bodies; the offsets reached are kept in the query's checkpoint."""
+    """A stream of message bodies; the offsets reached are kept in the query's checkpoint.
+
+    A consumer that calls a function on what arrives is this stream, from `earliest`, into
+    `sinks.sink_micro_batch`; a failing function fails the query and no offset is passed over.
+    """
     chosen = kafka_options(servers, topics, starting_offsets=starting_offsets, **options)
     return decode_value(spark.readStream.format("kafka").options(**chosen).load())
 
