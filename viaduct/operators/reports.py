@@ -1,7 +1,8 @@
 """Aggregates and batch reports.
 
 Reports start from one road x hour aggregate that carries sums and counts, so a road that holds a
-third of all readings is combined before the shuffle and only a few rows per road travel.
+third of all readings is combined before the shuffle and only a few rows per road travel. Names are
+looked up after that, where both sides are about as small as the roads table, so those joins carry no hint.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import round_half_even, round_numeric
 from ..functions.traffic import CONGESTED_LEVELS, TOP_LEVEL
-from .dimensions import DEFAULT_LIMIT, BroadcastLimit, join_dim
 
 CONGESTED_ABOVE = 0.5
 PERIODS = {"DAILY": "day", "WEEKLY": "week", "MONTHLY": "month"}
@@ -114,8 +114,7 @@ def lookback_filter(df: DataFrame, as_of: dt.datetime | Column, hours: int = 24,
 
 
 def road_congestion_summary(events: DataFrame, roads: DataFrame, as_of: dt.datetime | Column | None = None,
-                            hours: int = 24, ts: str = "timestamp",
-                            limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+                            hours: int = 24, ts: str = "timestamp") -> DataFrame:
     """Rounded averages and critical readings per road; over the last `hours` if `as_of` is given.
 
     The events are aggregated by road id before the road's name is looked up.
@@ -127,7 +126,7 @@ def road_congestion_summary(events: DataFrame, roads: DataFrame, as_of: dt.datet
         F.sum("vehicle_count").alias("vehicle_sum"), F.count("vehicle_count").alias("vehicle_count"),
         F.sum("congestion_index").alias("index_sum"), F.count("congestion_index").alias("index_count"),
         F.count_if(F.col("congestion_level") == TOP_LEVEL).alias("critical"))
-    named = join_dim(parts, roads.select("road_id", "road_name", "speed_limit_kmh"), "road_id", limit=limit)
+    named = parts.join(roads.select("road_id", "road_name", "speed_limit_kmh"), "road_id")
     return named.groupBy("road_name", "speed_limit_kmh").agg(
         round_numeric(_mean("speed_sum", "speed_count"), 2).alias("avg_speed"),
         round_numeric(_mean("vehicle_sum", "vehicle_count"), 2).alias("avg_vehicle_count"),
@@ -135,19 +134,19 @@ def road_congestion_summary(events: DataFrame, roads: DataFrame, as_of: dt.datet
         F.sum("critical").alias("critical_events_count"))
 
 
-def hourly_profile(events: DataFrame, roads: DataFrame, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+def hourly_profile(events: DataFrame, roads: DataFrame) -> DataFrame:
     """Mean vehicle count by hour and road name."""
     parts = events.groupBy("road_id", "hour").agg(
         F.sum("vehicle_count").alias("vehicle_sum"), F.count("vehicle_count").alias("vehicle_rows"))
-    named = join_dim(parts, roads.select("road_id", "road_name"), "road_id", limit=limit)
+    named = parts.join(roads.select("road_id", "road_name"), "road_id")
     return named.groupBy("hour", "road_name").agg(_mean("vehicle_sum", "vehicle_rows").alias("vehicle_count"))
 
 
-def congestion_heatmap(events: DataFrame, roads: DataFrame, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+def congestion_heatmap(events: DataFrame, roads: DataFrame) -> DataFrame:
     """Mean congestion index, one row per road and one column per hour (`h00` to `h23`)."""
     parts = events.groupBy("road_id", "hour").agg(
         F.sum("congestion_index").alias("index_sum"), F.count("congestion_index").alias("index_count"))
-    named = join_dim(parts, roads.select("road_id", "road_name"), "road_id", limit=limit)
+    named = parts.join(roads.select("road_id", "road_name"), "road_id")
     # The hours are known, so no job is needed to find the columns.
     cells = named.groupBy("road_name").pivot("hour", list(HOURS)).agg(_mean("index_sum", "index_count"))
     return cells.select("road_name", *[F.col(f"`{h}`").alias(f"h{h:02d}") for h in HOURS])
@@ -170,10 +169,10 @@ def level_distribution(events: DataFrame) -> DataFrame:
     return counts.withColumn("share", F.col("row_count") / whole)
 
 
-def volume_by_road_level(events: DataFrame, roads: DataFrame, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+def volume_by_road_level(events: DataFrame, roads: DataFrame) -> DataFrame:
     """Vehicles per road name and congestion level."""
     parts = events.groupBy("road_id", "congestion_level").agg(F.sum("vehicle_count").alias("vehicles"))
-    named = join_dim(parts, roads.select("road_id", "road_name"), "road_id", limit=limit)
+    named = parts.join(roads.select("road_id", "road_name"), "road_id")
     return named.groupBy("road_name", "congestion_level").agg(F.sum("vehicles").alias("vehicle_count"))
 
 

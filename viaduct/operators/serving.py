@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.traffic import CONGESTED_LEVELS
-from .dimensions import DEFAULT_LIMIT, BroadcastLimit, join_dim, measure, sized, within
+from .dimensions import DEFAULT_LIMIT, BroadcastLimit, measure, sized, within
 from .reports import lookback_filter
 
 LATEST_ROWS, TREND_ROWS = 100, 5000
@@ -46,8 +46,7 @@ def current_status(events: DataFrame, sensors: DataFrame, roads: DataFrame, weat
         newest = known.join(sensors, "sensor_id", "left_semi").groupBy("sensor_id").agg(F.max(ts).alias(ts))
     latest = latest_per_key(known, "sensor_id", ts, "event_id", newest)
     placed = latest.join(roads, "road_id").join(sensors, "sensor_id")
-    observed = join_dim(placed, weather.select("weather_id", "weather_condition", "temperature_celsius"),
-                        "weather_id", "left", limit)
+    observed = placed.join(weather.select("weather_id", "weather_condition", "temperature_celsius"), "weather_id", "left")
     return observed.select("sensor_id", "road_name", "latitude", "longitude", ts, "vehicle_count",
                            "average_speed_kmh", "congestion_index", "congestion_level",
                            "weather_condition", "temperature_celsius")
@@ -59,8 +58,7 @@ def latest_events(events: DataFrame, roads: DataFrame, weather: DataFrame, rows:
     roads = sized(roads.select("road_id", "road_name", "speed_limit_kmh", "num_lanes"), limit)
     newest = (events.join(roads, "road_id", "left_semi")
               .orderBy(F.desc(ts), F.desc("event_id")).limit(rows))
-    return join_dim(newest.join(roads, "road_id"), weather.select("weather_id", "weather_condition"),
-                    "weather_id", "left", limit)
+    return newest.join(roads, "road_id").join(weather.select("weather_id", "weather_condition"), "weather_id", "left")
 
 
 def telemetry_feed(latest: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -80,15 +78,15 @@ def volume_trend(events: DataFrame, roads: DataFrame, chosen: list[str] | None =
 
 
 def volume_trend_by(events: DataFrame, roads: DataFrame, unit: str = "hour", chosen: list[str] | None = None,
-                    ts: str = "timestamp", limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+                    ts: str = "timestamp") -> DataFrame:
     """The whole history down-sampled to one row per road and hour, day, ..."""
     at = F.date_trunc(unit, ts).cast(events.schema[ts].dataType)
     parts = events.groupBy("road_id", at.alias("period")).agg(F.sum("vehicle_count").alias("vehicles"))
     names = roads.select("road_id", "road_name")
     if chosen is not None:
         names = filter_roads(names, chosen)
-    return (join_dim(parts, names, "road_id", limit=limit)
-            .groupBy("road_name", "period").agg(F.sum("vehicles").alias("vehicle_count")))
+    named = parts.join(names, "road_id")
+    return named.groupBy("road_name", "period").agg(F.sum("vehicles").alias("vehicle_count"))
 
 
 def filter_levels(df: DataFrame, levels: list[str]) -> DataFrame:
