@@ -53,6 +53,8 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     again = rows.filter("_again").drop("_again")
     best = again.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "_row")).alias("_best"),
                                             F.count(F.lit(1)).alias("group_size"))
+    # Read back from a file, so that the join deals out both sides itself and can split the rows of a large group.
+    best = best.checkpoint()
     grouped = again.join(best, "text_sha256").select(
         "doc_id", F.col("_best.doc_id").alias("keep_id"), "group_size",
         (F.col("_row") == F.col("_best._row")).alias("kept"), "text_sha256")
