@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .exact_dedup import duplicate_groups
 from .mixing import plan_mix
+from .pieces import encode_digests
 from .quality import judge_quality
+from .token_counts import count_tokens
 from .url_filter import judge_urls
 
 QUERIES = {}
 
+TOKENIZERS = "public_tokenizers"  # the module that knows where vocabulary files lie
+
+
+def vocabulary(name: str) -> str:
+    return import_module(TOKENIZERS).path(name)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,6 +31,11 @@ def query(run):
     return run
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 @query
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables label documents, not pages: the label with the id of a page stands in as that page's outcome, bad
@@ -44,6 +59,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
