@@ -7,8 +7,10 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .exact_dedup import duplicate_groups
+from .html_text import extract_text
 from .mixing import plan_mix
 from .pieces import encode_digests
+from .pii import find_personal_data
 from .quality import judge_quality
 from .token_counts import count_tokens
 from .url_filter import judge_urls
@@ -31,6 +33,11 @@ def query(run):
     return run
 
 
+@query
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -54,6 +61,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          base_failed.alias("base_failed"), (~base_failed & F.col("kept")).alias("kept"), "failed")
 
 
+@query
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents"))
