@@ -81,22 +81,32 @@ def _merged(batches):
     for block, (_, twice) in planes.items():
         yield pa.RecordBatch.from_pydict({
             "block": pa.array([block], pa.int32()),
-            "plane": pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())})
+            "once": pa.array([np.packbits(once, bitorder="little").tobytes()], pa.binary()),
+            "twice": pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())})
 
 
 def repeated_plane(hashes: DataFrame, rows: int) -> np.ndarray:
     """First pass over a frame with one long column: the `twice` plane, at most MOST_BITS / 8 bytes."""
+    return _plane(hashes, rows, "twice")
+
+
+def once_plane(hashes: DataFrame, rows: int) -> np.ndarray:
+    """The plane of all places that are hit, for telling which hashes may be among these."""
+    return _plane(hashes, rows, "once")
+
+
+def _plane(hashes: DataFrame, rows: int, kind: str) -> np.ndarray:
     ship(hashes.sparkSession)
     bits = bits_for(rows)
     parts = hashes.mapInArrow(_reduced(bits), "block int, once binary, twice binary")
     plane = np.zeros(bits // 8, np.uint8)
-    for row in parts.repartition("block").mapInArrow(_merged, "block int, plane binary").collect():
+    for row in parts.repartition("block").mapInArrow(_merged, "block int, once binary, twice binary").select("block", kind).collect():
         at = row["block"] * BLOCK_BITS // 8
-        plane[at:at + BLOCK_BITS // 8] = np.frombuffer(row["plane"], np.uint8)
+        plane[at:at + BLOCK_BITS // 8] = np.frombuffer(row[kind], np.uint8)
     return plane
 
 
-def maybe_repeated(plane, hashes: np.ndarray) -> np.ndarray:
-    """Second pass: which hashes may be repeated."""
+def passes(plane: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Second pass: which hashes have all their places in the plane."""
     first, second = places(hashes, len(plane) * 8)
     return (((plane[first >> 3] >> (first & 7)) & 1) & ((plane[second >> 3] >> (second & 7)) & 1)).astype(bool)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .bloom import maybe_repeated, repeated_plane
+from .bloom import passes, repeated_plane
 from .words import lower_ascii, text_of
 
 
@@ -33,7 +33,7 @@ def _flagged(frame: DataFrame, plane: np.ndarray) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            again = maybe_repeated(shared.value, batch.column("_hash").to_numpy(zero_copy_only=False))
+            again = passes(shared.value, batch.column("_hash").to_numpy(zero_copy_only=False))
             columns = {n: batch.column(n) for n in names if n != "_hash"}
             yield pa.RecordBatch.from_pydict({**columns, "_again": pa.array(again, pa.bool_())})
 

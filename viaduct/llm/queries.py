@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .exact_dedup import duplicate_groups
 from .html_text import extract_text
 from .mixing import plan_mix
+from .near_dedup import near_duplicates
 from .pieces import encode_digests
 from .pii import find_personal_data
 from .quality import judge_quality
@@ -71,6 +72,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 @query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
