@@ -14,6 +14,7 @@ from .pieces import encode_digests
 from .pii import find_personal_data
 from .quality import judge_quality
 from .token_counts import count_tokens
+from .toxicity import fit, score_toxicity
 from .url_filter import judge_urls
 
 QUERIES = {}
@@ -34,6 +35,19 @@ def query(run):
     return run
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Rows whose labels are not learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit(docs, labels.filter(~held_out()).select("doc_id", "toxic"))
+    return (score_toxicity(docs, model).withColumn("held_out", held_out())
+            .select("doc_id", "held_out", "score", "predicted", "evidence"))
+
+
 @query
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
