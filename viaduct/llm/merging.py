@@ -58,6 +58,30 @@ def merge(symbols: list[int], pairs: dict[int, int]) -> int:
     return merges
 
 
+def merge_short(symbols: list[int], pairs: dict[int, int]) -> list[int]:
+    """The symbols that are left, by searching the list of ranks for the lowest, leftmost pair before every merge.
+
+    The same result as `merge`; faster for sequences of a few dozen symbols, where the search is one built-in call.
+    """
+    find, never = pairs.get, 1 << 62
+    found = [find(left << 16 | right, never) for left, right in zip(symbols, symbols[1:])]
+    ranks = [pair >> 16 for pair in found]
+    while ranks:
+        lowest = min(ranks)
+        if lowest == never >> 16:
+            break
+        place = ranks.index(lowest)
+        merged = symbols[place] = found[place] & 0xFFFF
+        del symbols[place + 1], ranks[place], found[place]
+        if place < len(ranks):
+            pair = found[place] = find(merged << 16 | symbols[place + 1], never)
+            ranks[place] = pair >> 16
+        if place:
+            pair = found[place - 1] = find(symbols[place - 1] << 16 | merged, never)
+            ranks[place - 1] = pair >> 16
+    return symbols
+
+
 class Remembered(dict):
     """What `compute` gives for short keys, kept until `room` keys are held and then begun anew.
 
@@ -66,14 +90,17 @@ class Remembered(dict):
 
     LONGEST = 64
 
-    def __init__(self, compute, room: int = 300_000):
+    def __init__(self, compute, room: int = 600_000):
         super().__init__()
         self.compute, self.room = compute, room
 
     def __missing__(self, key):
         value = self.compute(key)
         if len(key) <= self.LONGEST:
-            if len(self) >= self.room:
-                self.clear()
             self[key] = value
         return value
+
+    def __setitem__(self, key, value):
+        if len(self) >= self.room:
+            self.clear()
+        super().__setitem__(key, value)

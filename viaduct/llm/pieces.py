@@ -5,7 +5,7 @@ the next marker. The marked text then falls into chunks, a run of markers with t
 segmented on their own. Each distinct chunk of a batch is segmented once, unless the worker's table already holds it;
 the texts are put together again from the table by position, and decoded the same way.
 
-Segmenting is byte-pair merging by score (`merging.merge`) from single characters; characters that are in no piece
+Segmenting is byte-pair merging by score (`merging`) from single characters; characters that are in no piece
 become their UTF-8 bytes' pieces. Identifiers and decoded text are those of the `sentencepiece` library for the same
 model, without begin or end ids or sampling. Only byte-pair models with byte fallback, the identity normaliser and a
 dummy prefix are read; others are refused.
@@ -20,12 +20,11 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
-from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .merging import NO_SYMBOL, Remembered, merge
+from .merging import NO_SYMBOL, Remembered, merge, merge_short
 from .shipping import ship
 from .words import text_of
 
@@ -36,10 +35,7 @@ _BYTE = re.compile("<0x([0-9A-F]{2})>").fullmatch
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
-class Chunk(NamedTuple):
-    ids: tuple[int, ...]
-    written: str  # the ids, comma-joined
-    surface: str  # what the ids decode to
+SHORT = 32  # symbols up to which searching the list beats keeping a heap
 
 
 class PieceTable:
@@ -70,6 +66,7 @@ class PieceTable:
                 self.surfaces[i] = bytes([value])
             elif piece.type == NORMAL:
                 self.surfaces[i] = piece.piece.replace(MARK, " ")
+        self.byte_ids = frozenset(self.byte_id)
         # Higher scores merge first; equal scores share a rank, so that the leftmost goes first.
         ranks = {s: r for r, s in enumerate(sorted({s for _, s in normal.values()}, reverse=True))}
         self.pairs = {}
@@ -78,21 +75,35 @@ class PieceTable:
                 left, right = normal.get(piece[:cut]), normal.get(piece[cut:])
                 if left and right:
                     self.pairs[left[0] << 16 | right[0]] = ranks[score] << 16 | i
-        self.chunks = Remembered(self._segment)
+        # Distinct chunks to their ids, comma-joined, and to the text of these. Strings only: a table of many small
+        # tuples would be walked again and again by the garbage collector.
+        self.written = Remembered(self._written)
+        self.texts = Remembered(lambda chunk: self.surface(self._segment(chunk)))
 
-    def _segment(self, chunk: str) -> Chunk:
+    def _segment(self, chunk: str) -> list[int]:
         symbols = [self.symbol.get(letter, NO_SYMBOL) for letter in chunk]
-        merge(symbols, self.pairs)
-        ids = []
-        for letter, symbol in zip(chunk, symbols, strict=True):
-            if symbol == NO_SYMBOL:
-                ids += [self.byte_id[byte] for byte in letter.encode()]
-            elif symbol >= 0:
-                ids.append(symbol)
-        return Chunk(tuple(ids), ",".join(map(str, ids)), self.surface(ids))
+        unknown = [letter for letter, symbol in zip(chunk, symbols, strict=True) if symbol == NO_SYMBOL]
+        if len(symbols) <= SHORT:
+            symbols = merge_short(symbols, self.pairs)
+        else:
+            merge(symbols, self.pairs)
+            symbols = [symbol for symbol in symbols if symbol >= 0]
+        if not unknown:
+            return symbols
+        letters = iter(unknown)  # unknown letters merge with nothing and keep their order
+        return [i for symbol in symbols for i in
+                ([self.byte_id[byte] for byte in next(letters).encode()] if symbol == NO_SYMBOL else (symbol,))]
+
+    def _written(self, chunk: str) -> str:
+        ids = self._segment(chunk)
+        if len(chunk) <= Remembered.LONGEST:
+            self.texts[chunk] = self.surface(ids)  # both tables hold the chunk from here on
+        return ",".join(map(str, ids))
 
     def surface(self, ids) -> str:
         """The text of these identifiers; bytes that form no character become U+FFFD."""
+        if not self.byte_ids.intersection(ids):
+            return "".join([self.surfaces.get(i, "") for i in ids])
         parts, pending = [], bytearray()
         for i in ids:
             part = self.surfaces.get(i, "")
@@ -107,12 +118,21 @@ class PieceTable:
             parts.append(pending.decode("utf-8", "replace"))
         return "".join(parts)
 
-    def encode(self, text: str) -> list[Chunk]:
+    def chunks(self, text: str) -> list[str]:
         """The chunks of a text, in order; none for the empty text."""
-        if not text:
-            return []
-        marked = MARK + text.replace(" ", MARK)
-        return list(map(self.chunks.__getitem__, _CHUNKS(marked)))
+        return _CHUNKS(MARK + text.replace(" ", MARK)) if text else []
+
+    def ids(self, chunks: list[str]) -> str:
+        """The ids of these chunks, comma-joined."""
+        return ",".join(map(self.written.__getitem__, chunks))
+
+    def text(self, chunks: list[str]) -> str:
+        """What the ids of these chunks decode to. No character spans chunks, so that they decode on their own."""
+        return "".join(map(self.texts.__getitem__, chunks)).removeprefix(" ")
+
+    def encode(self, text: str) -> list[int]:
+        written = self.ids(self.chunks(text))
+        return list(map(int, written.split(","))) if written else []
 
     def decode(self, ids) -> str:
         """The text of a sequence of identifiers, without the dummy prefix."""
@@ -126,7 +146,7 @@ def piece_table(path: str) -> PieceTable:
 
 
 def _mapped(docs: DataFrame, path: str, kinds: str, columns) -> DataFrame:
-    """Rows of doc_id and what `columns(chunks per text)` makes of a batch, as Arrow arrays by name."""
+    """Rows of doc_id and what `columns(table, texts)` makes of a batch, as Arrow arrays by name."""
     ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
     schema = rows.select("doc_id", *[F.lit(None).cast(k.split(" ", 1)[1]).alias(k.split(" ", 1)[0])
@@ -135,20 +155,17 @@ def _mapped(docs: DataFrame, path: str, kinds: str, columns) -> DataFrame:
     def run(batches):
         table = piece_table(path)
         for batch in batches:
-            encoded = (table.encode(text) for text in batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **columns(encoded)})
+            found = columns(table, batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **found})
 
     return rows.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """Per document: doc_id, ids, and decoded, the text that the ids stand for."""
-    def columns(encoded):
-        ids, texts = [], []
-        for chunks in encoded:
-            ids.append([i for chunk in chunks for i in chunk.ids])
-            texts.append("".join([chunk.surface for chunk in chunks]).removeprefix(" "))
-        return {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())}
+    def columns(table, texts):
+        ids = [table.encode(text) for text in texts]
+        return {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(map(table.decode, ids), pa.string())}
     return _mapped(docs, path, "ids array<int>, decoded string", columns)
 
 
@@ -157,14 +174,16 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
 
     The same work as `encode`; ids and texts are reduced to digests before they leave the worker.
     """
-    def columns(encoded):
-        counts, ids, texts = [], [], []
-        for chunks in encoded:
-            counts.append(sum([len(chunk.ids) for chunk in chunks]))
-            ids.append(_sha(",".join([chunk.written for chunk in chunks])))
-            texts.append(_sha("".join([chunk.surface for chunk in chunks]).removeprefix(" ")))
+    def columns(table, texts):
+        counts, ids, decoded = [], [], []
+        for text in texts:
+            chunks = table.chunks(text)
+            written = table.ids(chunks)
+            counts.append(written.count(",") + 1 if written else 0)
+            ids.append(_sha(written))
+            decoded.append(_sha(table.text(chunks)))
         return {"n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(ids, pa.string()),
-                "decoded_sha256": pa.array(texts, pa.string())}
+                "decoded_sha256": pa.array(decoded, pa.string())}
     return _mapped(docs, path, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", columns)
 
 
