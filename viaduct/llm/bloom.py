@@ -1,7 +1,7 @@
 """A filter of fixed size that tells which hashes may occur more than once.
 
-Each hash hits two places; a place hit by two rows belongs to the `twice` plane. Rows whose places are all in the `twice` plane may be repeated; all others are certainly single. Equal hashes hit the
-same places, so a repeated hash is never missed; a chance hit only sends a single row the longer way.
+Each hash hits two places; a place hit by two rows belongs to the `twice` plane. Rows whose places are all in that
+plane may be repeated; all others are certainly single. Equal hashes hit the same places, so a repeated hash is never missed; a chance hit only sends a single row the longer way.
 
 Tasks reduce their rows to places with a count of 1 or 2 before the shuffle. The planes are dealt out by block, and
 the finished plane has at most `MOST_BITS` bits, however large the table is; beyond that the share of chance hits
@@ -78,7 +78,7 @@ def _merged(batches):
             twice[np.frombuffer(two, np.uint16)] = True
             twice[spots[once[spots]]] = True
             once[spots] = True
-    for block, (_, twice) in planes.items():
+    for block, (once, twice) in planes.items():
         yield pa.RecordBatch.from_pydict({
             "block": pa.array([block], pa.int32()),
             "once": pa.array([np.packbits(once, bitorder="little").tobytes()], pa.binary()),
@@ -100,7 +100,8 @@ def _plane(hashes: DataFrame, rows: int, kind: str) -> np.ndarray:
     bits = bits_for(rows)
     parts = hashes.mapInArrow(_reduced(bits), "block int, once binary, twice binary")
     plane = np.zeros(bits // 8, np.uint8)
-    for row in parts.repartition("block").mapInArrow(_merged, "block int, once binary, twice binary").select("block", kind).collect():
+    merged = parts.repartition("block").mapInArrow(_merged, "block int, once binary, twice binary")
+    for row in merged.select("block", kind).collect():
         at = row["block"] * BLOCK_BITS // 8
         plane[at:at + BLOCK_BITS // 8] = np.frombuffer(row[kind], np.uint8)
     return plane

@@ -2,40 +2,56 @@
 
 Every step points nodes at smaller neighbours, so that each component ends as a star around its smallest node. Steps
 are aggregations and equi-joins over links; no node's neighbours are gathered, and a node with very many links is
-reduced before the shuffle and joined by splittable partitions. Each round is checkpointed in the shared folder.
+reduced before the shuffle and joined by splittable partitions. Each step is stored in the shared folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .stored import forget, stored
+
 MOST_ROUNDS = 60
 
 
 def _nearest(links: DataFrame) -> DataFrame:
     """Smallest of each node `a` and its neighbours `b`; read back so that joins deal out both sides anew."""
-    return links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
+    near = links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    return stored(near, "nearest")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return (both.join(_nearest(both), "a").filter("b > a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
+    near = _nearest(both)
+    moved = (both.join(near, "a").filter("b > a")
+             .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
+    return _instead_of(moved, near)
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     near = _nearest(down)
     moved = down.join(near, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(near.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
+    return _instead_of(moved.unionByName(near.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), near)
+
+
+def _instead_of(frame: DataFrame, *read: DataFrame) -> DataFrame:
+    """The frame, stored; the stored frames it was made from go."""
+    kept = stored(frame, "links")
+    for one in read:
+        forget(one)
+    return kept
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of the links (a, b); component is the smallest node that can be reached."""
-    links = links.filter("a <> b").select("a", "b").distinct().checkpoint()
+    links = stored(links.filter("a <> b").select("a", "b").distinct(), "links")
     state = None
     for _ in range(MOST_ROUNDS):
-        links = _small_star(_large_star(links)).checkpoint()
+        large = _large_star(links)
+        forget(links)
+        links = _small_star(large)
+        forget(large)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == state:
             break

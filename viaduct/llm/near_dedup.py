@@ -36,6 +36,7 @@ from . import setsketch
 from .bloom import once_plane, passes
 from .components import components
 from .shipping import ship
+from .stored import stored
 from .words import text_of
 
 SHINGLE = 5
@@ -66,7 +67,8 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
     ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
     kinds = rows.select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(b"").alias("key"),
-                        F.lit(None).cast("array<bigint>").alias("bands"), F.lit(b"").alias("registers")).schema
+                        F.lit(None).cast("array<bigint>").alias("bands"),
+                        F.lit(None).cast("binary").alias("registers")).schema
 
     def run(batches):
         for batch in batches:
@@ -128,8 +130,9 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                     ids.append(i)
                     keys.append(key)
                     sets.append(hashes.tobytes())
-            yield pa.RecordBatch.from_pydict({"id": pa.array(ids, batch.column("id").type),
-                                              "key": pa.array(keys, pa.binary()), "shingles": pa.array(sets, pa.binary())})
+            yield pa.RecordBatch.from_pydict({
+                "id": pa.array(ids, batch.column("id").type), "key": pa.array(keys, pa.binary()),
+                "shingles": pa.array(sets, pa.binary())})
 
     return texts.select("id", "key", "text").mapInArrow(run, kinds)
 
@@ -137,8 +140,8 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = classes.select("id", "key").join(ids, "id").checkpoint()
-    sets = _shingles_of(docs, wanted, shingle).select("id", "shingles").dropDuplicates(["id"]).checkpoint()
+    wanted = classes.select("id", "key").join(ids, "id").transform(stored)
+    sets = _shingles_of(docs, wanted, shingle).select("id", "shingles").dropDuplicates(["id"]).transform(stored)
     joined = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
               .select("a", "b", "sa", "sb"))
@@ -153,7 +156,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: i
                 keep.append(100 * common >= percent * (len(first) + len(second) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, kinds).checkpoint()
+    return joined.mapInArrow(run, kinds).transform(stored)
 
 
 def _similar_size(first: str, second: str, percent: int):
@@ -168,7 +171,7 @@ def _in_blocks(members: DataFrame, percent: int) -> DataFrame:
     a group has at most 2 * BLOCK rows on average and streams through a task that holds one group at a time.
     """
     # Read back, so that the join deals out both sides itself and can split the members of a large bucket.
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).checkpoint()
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).transform(stored)
     placed = (members.join(sizes, "bucket")
               .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
@@ -228,14 +231,14 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     least = least_estimate(percent)
     keyed = classes.select(F.explode("bands").alias("bucket"), "id", "n")
     smallest = (keyed.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("first"), F.count(F.lit(1)).alias("size"))
-                .filter("size > 1").select("bucket", "first").checkpoint())
-    crowded = keyed.join(smallest, "bucket").checkpoint()
+                .filter("size > 1").select("bucket", "first").transform(stored))
+    crowded = keyed.join(smallest, "bucket").transform(stored)
     led = (crowded.filter((F.col("id") != F.col("first.id")) & _similar_size("n", "first.n", percent))
            .select(F.col("id").alias("a"), F.col("first.id").alias("b")).distinct())
     led = _estimated(led, classes).filter(F.col("estimate") >= least)
-    led = led.groupBy("a").agg(F.max_by("b", "estimate").alias("b")).checkpoint()
+    led = led.groupBy("a").agg(F.max_by("b", "estimate").alias("b")).transform(stored)
     links = _confirmed(led, docs, classes, shingle, percent)
-    labels = components(links).checkpoint()
+    labels = components(links).transform(stored)
 
     def labelled(frame: DataFrame, labels: DataFrame, name: str, label: str) -> DataFrame:
         known = labels.select(F.col("node").alias(name), F.col("component").alias(label))
@@ -243,37 +246,37 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
 
     members = labelled(crowded.select("bucket", "id"), labels, "id", "component")
     split = (members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .filter("low <> high").select("bucket").checkpoint())
+             .filter("low <> high").select("bucket").transform(stored))
     members = members.join(split, "bucket").join(classes.select("id", "n", "registers"), "id")
-    pairs = _in_blocks(members.select("bucket", "id", "component", "n", "registers"), percent).checkpoint()
+    pairs = _in_blocks(members.select("bucket", "id", "component", "n", "registers"), percent).transform(stored)
     tested = led.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a"))
-    pairs = pairs.join(tested, ["a", "b"], "left_anti").checkpoint()
+    pairs = pairs.join(tested, ["a", "b"], "left_anti").transform(stored)
 
     def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         both = labelled(labelled(pairs, labels, "a", "ca"), labels, "b", "cb")
         return both.filter("ca <> cb")
 
     best = (across(pairs, labels).groupBy(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
-            .agg(F.max_by(F.struct("a", "b"), "estimate").alias("pair")).select("pair.*").checkpoint())
-    links = links.unionByName(_confirmed(best, docs, classes, shingle, percent)).checkpoint()
-    labels = components(links).checkpoint()
-    rest = across(pairs, labels).select("a", "b").join(best, ["a", "b"], "left_anti").checkpoint()
+            .agg(F.max_by(F.struct("a", "b"), "estimate").alias("pair")).select("pair.*").transform(stored))
+    links = links.unionByName(_confirmed(best, docs, classes, shingle, percent)).transform(stored)
+    labels = components(links).transform(stored)
+    rest = across(pairs, labels).select("a", "b").join(best, ["a", "b"], "left_anti").transform(stored)
     if not rest.isEmpty():
-        links = links.unionByName(_confirmed(rest, docs, classes, shingle, percent)).checkpoint()
-        labels = components(links).checkpoint()
+        links = links.unionByName(_confirmed(rest, docs, classes, shingle, percent)).transform(stored)
+        labels = components(links).transform(stored)
     return labels
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id that can be reached), kept."""
-    sketched = sketches(docs, shingle).checkpoint()
+    sketched = sketches(docs, shingle).transform(stored)
     linkable = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = (linkable.groupBy("key")
                .agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "bands", "registers")).alias("c"))
-               .select("key", F.col("c.doc_id").alias("id"), "c.n", "c.bands", "c.registers").checkpoint())
+               .select("key", F.col("c.doc_id").alias("id"), "c.n", "c.bands", "c.registers").transform(stored))
     labels = _links(docs, classes, shingle, percent)
     known = (classes.select("key", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-             .select("key", F.coalesce("component", "id").alias("component_id")).checkpoint())
+             .select("key", F.coalesce("component", "id").alias("component_id")).transform(stored))
     rows = sketched.select("doc_id", "n_shingles",
                            F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
     found = rows.join(known, "key", "left")

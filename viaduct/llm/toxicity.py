@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
-from math import log, sqrt
+from math import floor, log, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +59,7 @@ def word_terms(word: str) -> tuple[str, ...]:
 
 def density_steps(count: int, words: int) -> int:
     """How many of the steps 2 ** -(STEPS + 2), ..., 2 ** -3 a term's share of the words reaches; at least one."""
-    return max(1, min(STEPS, int(log(count / words, 2)) + STEPS + 3 if count < words else STEPS))
+    return max(1, min(STEPS, floor(log2(count / words)) + STEPS + 3))
 
 
 class Vectorizer:
