@@ -69,8 +69,10 @@ def test_null_message_and_other_schema(spark):
 
 
 def test_clean_has_an_optional_cap(batch):
-    assert clean_stream(parse_readings(batch)).count() == 5
-    assert clean_stream(parse_readings(batch), max_speed=200).count() == 4
+    assert clean_stream(parse_readings(batch), strict=True).count() == 5
+    assert clean_stream(parse_readings(batch), max_speed=200, strict=True).count() == 4
+    # Only the count, the speed and the coordinates are rules of the plain form.
+    assert clean_stream(parse_readings(batch)).count() == 7
 
 
 def test_json_is_parsed_once(batch):

@@ -32,6 +32,8 @@ def evaluate_regression(scored: DataFrame, prediction: str = "prediction", actua
 def compare_models(scored: dict[str, DataFrame], prediction: str = "prediction",
                    actual: str = "vehicle_count") -> DataFrame:
     """One row of measures per model, over the test rows each has scored."""
+    if not scored:
+        raise ValueError("no model to compare")
     named = [df.select(F.lit(name).alias("model_name"), F.col(prediction).cast("double").alias("prediction"),
                        F.col(actual).cast("double").alias("actual")) for name, df in scored.items()]
     return evaluate_regression(reduce(DataFrame.unionAll, named), "prediction", "actual", by=("model_name",))

@@ -19,6 +19,9 @@ from .evaluation import best_model, compare_models
 from .features import FEATURES, LABEL, SCALED, bucket_of, feature_stages
 
 SEED = 42
+# Spark grows trees of at most 30 levels. A tree of this depth has up to a million leaves, more than the distinct
+# combinations of the ten features; a deeper limit changes no split that matters and costs memory per level.
+FOREST_DEPTH = 20
 
 
 def _fit(train: DataFrame, regressor: Estimator, features: tuple[str, ...] = FEATURES) -> PipelineModel:
@@ -33,7 +36,7 @@ def linear() -> Pipeline:
     ])
 
 
-def forest(trees: int = 100, depth: int = 10) -> RandomForestRegressor:
+def forest(trees: int = 100, depth: int = FOREST_DEPTH) -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol=SCALED, labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=SEED)
 
 
@@ -52,8 +55,8 @@ def train_linear(train: DataFrame, features: tuple[str, ...] = FEATURES) -> Pipe
     return _fit(train, linear(), features)
 
 
-def train_forest(train: DataFrame, trees: int = 100) -> PipelineModel:
-    return _fit(train, forest(trees))
+def train_forest(train: DataFrame, trees: int = 100, depth: int = FOREST_DEPTH) -> PipelineModel:
+    return _fit(train, forest(trees, depth))
 
 
 def train_gbt(train: DataFrame, stages: int = 100) -> PipelineModel:

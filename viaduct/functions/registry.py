@@ -24,7 +24,8 @@ SQL_FUNCTIONS = (
      " + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2))))"),
     ("normalize_road_name(name STRING)", "STRING",
      f"CASE WHEN name RLIKE r'{text.TIDY}' THEN initcap(name) ELSE replace(initcap(regexp_replace("
-     f"trim(regexp_replace(coalesce(name, ''), r'{text.BLANKS}', ' ')), r'{text.INNER_WORD}', '{text.MARK} ')),"
+     f"trim(regexp_replace(replace(coalesce(name, ''), '{text.MARK}', ''), r'{text.BLANKS}', ' ')),"
+     f" r'{text.INNER_WORD}', '{text.MARK} ')),"
      f" '{text.MARK} ', '') END"),
     ("sensor_id_for_road(name STRING)", "STRING", "concat('SENSOR_', upper(replace(name, ' ', '_')), '_01')"),
     ("traffic_density(vehicles DOUBLE, length_km DOUBLE, lanes INT)", "DOUBLE",
@@ -42,16 +43,17 @@ SQL_FUNCTIONS = (
     ("hour_label(hour INT)", "STRING", "format_string('%02d:00', hour)"),
     ("expected_speed(vehicles DOUBLE, lanes INT, speed_limit DOUBLE)", "DOUBLE",
      f"CASE WHEN vehicles IS NULL OR lanes IS NULL THEN NULL ELSE speed_limit * greatest({traffic.SPEED_FACTOR_MIN}D,"
-     f" least({traffic.SPEED_FACTOR_MAX}D, 1D - vehicles / (lanes * {traffic.VEHICLES_PER_LANE}"
-     f" * {traffic.SATURATION}D))) END"),
+     f" least({traffic.SPEED_FACTOR_MAX}D, coalesce(1D - vehicles / (CASE WHEN lanes > 0 THEN lanes END"
+     f" * {traffic.VEHICLES_PER_LANE} * {traffic.SATURATION}D), {traffic.SPEED_FACTOR_MIN}D))) END"),
     ("rule_vehicle_count(hour INT, lanes INT, rush BOOLEAN, weekend BOOLEAN)", "DOUBLE",
      f"floor(lanes * {traffic.VEHICLES_PER_LANE} * CASE WHEN hour >= {calendar.NIGHT_FROM}"
      f" OR hour <= {calendar.NIGHT_UNTIL} THEN {traffic.FACTOR_NIGHT}D WHEN rush THEN {traffic.FACTOR_RUSH}D"
      f" WHEN weekend THEN {traffic.FACTOR_WEEKEND}D ELSE {traffic.FACTOR_OTHER}D END)"),
     ("classify_weather(rain_mm DOUBLE, humidity DOUBLE, temperature DOUBLE, wind_kmh DOUBLE)", "STRING",
-     "CASE WHEN rain_mm > 5 THEN 'Rainy' WHEN rain_mm > 0 THEN 'Drizzle'"
-     " WHEN humidity > 75 AND temperature < 18 THEN 'Foggy'"
-     " WHEN wind_kmh > 25 AND temperature > 35 THEN 'Sandstorm' ELSE 'Sunny' END"),
+     f"CASE WHEN rain_mm > {mobility.HEAVY_RAIN_MM} THEN 'Rainy' WHEN rain_mm > 0 THEN 'Drizzle'"
+     f" WHEN humidity > {mobility.FOG_HUMIDITY} AND temperature < {mobility.FOG_BELOW_CELSIUS} THEN 'Foggy'"
+     f" WHEN wind_kmh > {mobility.STORM_WIND_KMH} AND temperature > {mobility.STORM_ABOVE_CELSIUS} THEN 'Sandstorm'"
+     " ELSE 'Sunny' END"),
     ("ride_fare(distance_km DOUBLE, minutes DOUBLE)", "DOUBLE",
      f"{mobility.FARE_BASE}D + distance_km * {mobility.FARE_PER_KM}D + minutes * {mobility.FARE_PER_MINUTE}D"),
     ("road_type(speed_limit_kmh INT)", "STRING",

@@ -20,9 +20,10 @@ def normalize_road_name(name: Column) -> Column:
 
     A plain `initcap` breaks at blanks only and would leave "o'neil 6th-st" as "O'neil 6th-st", so a
     marked blank goes before every run of letters inside a word, and comes out after. Most names are
-    tidy already and skip that, which halves the cost.
+    tidy already and skip that, which halves the cost. A marker in the name itself is left out first.
     """
-    words = F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), BLANKS, " "))
+    plain = F.replace(F.coalesce(name, F.lit("")), F.lit(MARK), F.lit(""))
+    words = F.trim(F.regexp_replace(plain, BLANKS, " "))
     broken = F.regexp_replace(words, INNER_WORD, f"{MARK} ")
     return F.when(name.rlike(TIDY), F.initcap(name)).otherwise(
         F.replace(F.initcap(broken), F.lit(f"{MARK} "), F.lit("")))

@@ -51,8 +51,9 @@ def base_capacity(num_lanes: Column) -> Column:
 
 
 def expected_speed(vehicle_count: Column, num_lanes: Column, limit: Column) -> Column:
-    """Speed to expect at a vehicle count: the limit, scaled down as the road fills."""
-    free = F.lit(1.0) - vehicle_count / (base_capacity(num_lanes) * SATURATION)
+    """Speed to expect at a vehicle count: the limit, scaled down as the road fills; least where there is no lane."""
+    lanes = F.when(num_lanes > 0, num_lanes)
+    free = F.coalesce(F.lit(1.0) - vehicle_count / (base_capacity(lanes) * SATURATION), F.lit(SPEED_FACTOR_MIN))
     factor = F.greatest(F.lit(SPEED_FACTOR_MIN), F.least(F.lit(SPEED_FACTOR_MAX), free))
     return F.when(vehicle_count.isNull() | num_lanes.isNull(), F.lit(None)).otherwise(limit * factor)
 

@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import shared_dir
 from .dimensions import DEFAULT_LIMIT, BroadcastLimit, measure, row_bytes
 
+# Buckets over which events later than the last observation are spread.
+TAIL_BUCKETS = 64
 _FROM, _UNTIL, _BUCKET = "__valid_from", "__valid_until", "__bucket"
 
 
@@ -43,38 +46,51 @@ def _bucket(ts: Column, seconds: int) -> Column:
 
 
 def asof_join(events: DataFrame, series: DataFrame, *, event_ts: str, series_ts: str, tie_break: str,
-              by: tuple[str, ...] = (), bucket_seconds: int = 3600,
+              by: tuple[str, ...] = (), bucket_seconds: int | None = None,
               limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """Left as-of join of `events` with `series`, optionally within equal `by` columns.
 
-    Choose `bucket_seconds` near the spacing of the series: an interval is repeated in each bucket
-    it crosses, and an event is compared with all intervals of its bucket.
+    The series is written to the shared folder once; what is measured there is also what is joined, so a table
+    that grows meanwhile gives the matches it held at the call. For the same reason streams are refused: call this
+    on the micro-batches of `foreachBatch`, with the series as it then is.
+
+    An interval is repeated in each bucket it crosses, and an event is compared with all intervals of its bucket;
+    unless `bucket_seconds` is given, buckets are as wide as the mean spacing of the observations.
     """
+    if events.isStreaming or series.isStreaming:
+        raise ValueError("join each micro-batch with the series as it then is, within foreachBatch")
     by = tuple(by)
-    observed = series.where(F.col(series_ts).isNotNull())
-    # One small aggregate gives the size check and the last instant. Events past the last
-    # observation are keyed by its bucket, so open intervals need no further buckets.
+    shared_dir(series.sparkSession)
+    observed = series.where(F.col(series_ts).isNotNull()).checkpoint()
+    seconds = F.unix_seconds(F.col(series_ts).cast("timestamp"))
     measured = measure(
         observed, F.max(row_bytes(observed)).alias("widest"), F.max(series_ts).alias("last"),
-        F.min(_bucket(F.col(series_ts), bucket_seconds)).alias("first_bucket"),
-        F.max(_bucket(F.col(series_ts), bucket_seconds)).alias("last_bucket"),
+        F.min(seconds).alias("first_second"), F.max(seconds).alias("last_second"),
         (F.count_distinct(*by) if by else F.lit(1)).alias("series"))
+    if bucket_seconds is None and measured["last"] is not None:
+        spacing = (measured["last_second"] - measured["first_second"]) * measured["series"] // measured["rows"]
+        bucket_seconds = max(1, spacing)
     if measured["last"] is None:
         absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in series.schema.fields if f.name not in by]
         return events.select("*", *absent)
 
+    first_bucket, last_bucket = (measured[f"{end}_second"] // bucket_seconds for end in ("first", "last"))
     intervals = validity_intervals(latest_per_instant(observed, series_ts, tie_break, by), series_ts, by)
+    # Open intervals also take the buckets after the last, over which later events are spread by chance.
     crossed = F.sequence(_bucket(F.col(_FROM), bucket_seconds),
-                         F.coalesce(_bucket(F.col(_UNTIL), bucket_seconds), F.lit(measured["last_bucket"])))
+                         F.coalesce(_bucket(F.col(_UNTIL), bucket_seconds), F.lit(last_bucket + TAIL_BUCKETS)))
     candidates = intervals.withColumn(_BUCKET, F.explode(crossed))
     # Per series, intervals tile the span, so they cross at most one bucket edge more than they are many.
-    span = measured["last_bucket"] - measured["first_bucket"] + 1
+    span = last_bucket - first_bucket + 1 + TAIL_BUCKETS
     most_rows = 2 * measured["rows"] + measured["series"] * span
     if most_rows <= limit.rows and most_rows * measured["widest"] <= limit.bytes:
         candidates = F.broadcast(candidates)
 
-    event_bucket = F.least(_bucket(F.col(event_ts), bucket_seconds), F.lit(measured["last_bucket"]))
-    keyed = events.withColumn(_BUCKET, F.when(F.col(event_ts).isNotNull(), event_bucket))
+    own = _bucket(F.col(event_ts), bucket_seconds)
+    spread = F.pmod(F.xxhash64(*events.columns), F.lit(TAIL_BUCKETS))
+    # Events without a time match nothing; they are spread over buckets that no interval has.
+    keyed = events.withColumn(_BUCKET, F.when(F.col(event_ts).isNull(), first_bucket - 1 - spread)
+                              .when(own > last_bucket, last_bucket + 1 + spread).otherwise(own))
     e, c = keyed.alias("e"), candidates.alias("c")
     matched = ((F.col(f"e.{_BUCKET}") == F.col(f"c.{_BUCKET}"))
                & (F.col(f"e.{event_ts}") >= F.col(f"c.{_FROM}"))
@@ -86,7 +102,7 @@ def asof_join(events: DataFrame, series: DataFrame, *, event_ts: str, series_ts:
 
 
 def asof_weather(events: DataFrame, weather: DataFrame, *, event_ts: str = "timestamp",
-                 weather_ts: str = "timestamp", by: tuple[str, ...] = (), bucket_seconds: int = 3600,
+                 weather_ts: str = "timestamp", by: tuple[str, ...] = (), bucket_seconds: int | None = None,
                  limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """Attach to each reading the latest weather at or before it; none before the first report.
 

@@ -56,7 +56,7 @@ def clean_and_derive(df: DataFrame, max_speed: float | None = MAX_SPEED_KMH) ->
 
 
 def conform_events(readings: DataFrame, sensors: DataFrame, roads: DataFrame, weather: DataFrame, *,
-                   ts: str = "timestamp", weather_ts: str = "timestamp",
+                   ts: str = "timestamp", weather_ts: str = "timestamp", bucket_seconds: int | None = None,
                    limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """Fit raw readings to the event table; `ts` names their event time.
 
@@ -69,5 +69,5 @@ def conform_events(readings: DataFrame, sensors: DataFrame, roads: DataFrame, we
                       sensors.select("sensor_id", "road_id"), "sensor_id", limit=limit)
     placed = join_dim(placed, roads.select("road_id", *ROAD_DEFAULTS), "road_id", limit=limit)
     timed = asof_weather(derive_features(placed), weather.select("weather_id", F.col(weather_ts).alias("timestamp")),
-                         limit=limit)
+                         bucket_seconds=bucket_seconds, limit=limit)
     return timed.select(*[c for c in EVENT_COLUMNS if c in timed.columns])

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from .dimensions import DEFAULT_LIMIT, BroadcastLimit, join_dim
 
@@ -13,19 +14,27 @@ def check_references(child: DataFrame, references: dict[str, tuple[DataFrame, st
                      limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """Values of foreign-key columns that the parent table lacks, with how many rows hold them.
 
-    `references` maps a column of `child` to (parent table, parent key). The child is reduced to its
-    distinct values before the anti join, so a value held by most rows costs no more than a rare one.
-    A null refers to nothing and is no violation.
+    `references` maps a column of `child` to (parent table, parent key). The child is read once for all
+    references and reduced to its distinct values per column before the anti join, so a value held by most
+    rows costs no more than a rare one. A null refers to nothing and is no violation. Without references
+    there are no violations.
     """
-    def missing(column: str, parent: DataFrame, key: str) -> DataFrame:
-        used = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__key")).agg(
-            F.count(F.lit(1)).alias("rows"))
-        known = parent.select(F.col(key).alias("__key")).distinct()
-        return join_dim(used, known, "__key", "left_anti", limit).select(
-            F.lit(column).alias("column_name"), F.col("__key").cast("string").alias("missing_key"), "rows")
+    if not references:
+        return child.sparkSession.createDataFrame([], "column_name string, missing_key string, rows long")
 
-    parts = [missing(column, parent, key) for column, (parent, key) in references.items()]
-    return reduce(DataFrame.unionAll, parts)
+    def key_of(column: str, kind) -> Column:
+        return F.col(column).cast(kind).cast("string")
+
+    kinds = {column: parent.schema[key].dataType for column, (parent, key) in references.items()}
+    held = F.array(*[F.struct(F.lit(column).alias("column_name"), key_of(column, kind).alias("missing_key"))
+                     for column, kind in kinds.items()])
+    used = (child.select(F.inline(held)).where(F.col("missing_key").isNotNull())
+            .groupBy("column_name", "missing_key").agg(F.count(F.lit(1)).alias("rows")))
+    known = reduce(DataFrame.unionAll, [
+        parent.select(F.lit(column).alias("column_name"), key_of(key, kinds[column]).alias("missing_key"))
+        for column, (parent, key) in references.items()]).distinct()
+    return join_dim(used, known, ["column_name", "missing_key"], "left_anti", limit).select(
+        "column_name", "missing_key", "rows")
 
 
 def violating_rows(child: DataFrame, column: str, parent: DataFrame, key: str,
@@ -38,18 +47,24 @@ def violating_rows(child: DataFrame, column: str, parent: DataFrame, key: str,
 def check_not_null_unique(df: DataFrame, required: list[str], unique: list[str]) -> DataFrame:
     """One row per broken rule: `(rule, column_name, violations)`.
 
-    NOT NULL rules are counted in one pass. For a unique column the violations are the rows beyond
-    the first of each value; nulls do not clash.
+    All rules are counted in one pass. For a unique column the violations are the rows beyond the first
+    of each value; nulls do not clash. Without rules there are no violations.
     """
-    parts = []
-    if required:
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
-        pairs = [F.struct(F.lit("NOT NULL").alias("rule"), F.lit(c).alias("column_name"),
-                          F.col(c).alias("violations")) for c in required]
-        parts.append(counts.select(F.inline(F.array(*pairs))))
-    for column in unique:
-        surplus = (df.where(F.col(column).isNotNull()).groupBy(column)
-                   .agg((F.count(F.lit(1)) - 1).alias("surplus"))
-                   .agg(F.coalesce(F.sum("surplus"), F.lit(0)).alias("violations")))
-        parts.append(surplus.select(F.lit("UNIQUE").alias("rule"), F.lit(column).alias("column_name"), "violations"))
-    return reduce(DataFrame.unionAll, parts).where(F.col("violations") > 0)
+    if not required and not unique:
+        return df.sparkSession.createDataFrame([], "rule string, column_name string, violations long")
+
+    def noted(rule: str, column: str, value: Column, counts: Column) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), value.alias("value"),
+                        counts.cast("long").alias("n"))
+
+    def written(column: str) -> Column:
+        nested = isinstance(df.schema[column].dataType, (ArrayType, MapType, StructType))
+        return F.to_json(column) if nested else F.col(column).cast("string")
+
+    notes = [noted("NOT NULL", c, F.lit(None).cast("string"), F.col(c).isNull()) for c in required]
+    notes += [noted("UNIQUE", c, written(c), F.col(c).isNotNull()) for c in unique]
+    counted = (df.select(F.inline(F.array(*notes))).where("n > 0")
+               .groupBy("rule", "column_name", "value").agg(F.sum("n").alias("n")))
+    beyond = F.when(F.col("rule") == "UNIQUE", F.col("n") - 1).otherwise(F.col("n"))
+    return (counted.groupBy("rule", "column_name").agg(F.sum(beyond).alias("violations"))
+            .where(F.col("violations") > 0))

@@ -68,10 +68,15 @@ def clean_readings(df: DataFrame, max_speed: float | None = MAX_SPEED_KMH,
 
 
 def reading_error(df: DataFrame, max_speed: float | None = None, core=CORE_COLUMNS) -> Column:
-    """Why a reading is bad, or null for a good one. Rules on columns the frame lacks are left out."""
+    """Why a reading is bad, or null for a good one. Rules on columns the frame lacks are left out.
+
+    A record is malformed if it is no JSON or a core field or coordinate has the wrong type. Other fields of the wrong
+    type are null, and the reading is good.
+    """
     rules = []
     if CORRUPT in df.columns:
-        rules.append((F.col(CORRUPT).isNotNull(), "malformed JSON"))
+        read = [*core, *(c for c in ("latitude", "longitude") if c in df.columns)]
+        rules.append((F.col(CORRUPT).isNotNull() & ~core_present(read), "malformed JSON"))
     rules.append((~core_present(core), "missing core field"))
     if "timestamp_parsed" in df.columns:
         rules.append((F.col("timestamp_parsed").isNull(), "bad timestamp"))

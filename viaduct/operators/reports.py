@@ -104,8 +104,9 @@ def lookback_filter(df: DataFrame, as_of: dt.datetime | Column, hours: int = 24,
                     date_partitioned: bool = False) -> DataFrame:
     """Rows later than `as_of` less `hours`. A literal `as_of` reaches the Parquet scan.
 
-    Of a dataset that `write_date_partitioned` wrote, folders of earlier days are not even listed if
-    `date_partitioned` says so.
+    Of a dataset that `write_date_partitioned` wrote, folders of earlier days are not scanned if
+    `date_partitioned` says so. They have been listed when the dataset was opened; `read_date_partitions` opens
+    only the days in question.
     """
     since = (as_of if isinstance(as_of, Column) else F.lit(as_of)) - F.expr(f"INTERVAL {hours} HOURS")
     if date_partitioned:

@@ -43,7 +43,10 @@ WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND sensor_id IS NOT NULL AND la
   AND vehicle_count >= 0 AND average_speed_kmh >= 0"""
 
 
-@query("clean_stream", _CLEAN_MESSAGES)
+@query("clean_stream", """
+SELECT sensor_id, vehicle_count, average_speed_kmh, latitude, "timestamp" AS event_ts FROM readings
+WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND latitude BETWEEN -90 AND 90
+  AND vehicle_count >= 0 AND average_speed_kmh >= 0""")
 def clean(m):
     return _times_without_zone(clean_stream(parse_readings(m.messages))).select(*MESSAGE_COLUMNS)
 

@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoints go once the frames that read them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Commit the changes of a batch, not a snapshot; do not look each key up just to count rows.

@@ -20,7 +20,10 @@ def write_date_partitioned(df: DataFrame, path: str, ts: str = "timestamp") -> N
         write_parquet(df, path)
         return
     parts = {"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)}
-    (df.withColumns(parts).hint("rebalance", *parts)
+    dealt = df.withColumns(parts).hint("rebalance", *parts)
+    # Rows of a road lie together, in time order, so that row groups can be skipped by either.
+    order = [c for c in ("road_id", ts) if c in df.columns]
+    (dealt.sortWithinPartitions(*parts, *order)
        .write.option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
        .mode("overwrite").partitionBy(*parts).parquet(path))
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions import parse_ts
-from ..operators.quality import CORRUPT, reading_error
+from ..functions import parse_ts, valid_coordinates
+from ..operators.quality import CORRUPT, in_range, reading_error
 from ..schemas import READING
 
 EVENT_TIME = "timestamp_parsed"
@@ -34,9 +34,19 @@ def with_event_time(readings: DataFrame, ts: str = "timestamp") -> DataFrame:
     return readings.withColumn(EVENT_TIME, parse_ts(F.col(ts)))
 
 
-def clean_stream(readings: DataFrame, max_speed: float | None = None) -> DataFrame:
-    """Readings that break no rule; `max_speed` adds a cap on the speed. Keeps no state."""
-    return readings.where(reading_error(readings, max_speed).isNull()).drop(CORRUPT, "value")
+def clean_stream(readings: DataFrame, max_speed: float | None = None, strict: bool = False) -> DataFrame:
+    """Readings with a count and speed of 0 or more and coordinates on the globe. Keeps no state.
+
+    `max_speed` adds a cap on the speed. A record that is no JSON has no count and goes; a mistyped field that no rule
+    reads is null. `strict` leaves out all that `quarantine` takes: also readings without a sensor or a time.
+    """
+    if strict:
+        kept = reading_error(readings, max_speed).isNull()
+    else:
+        kept = in_range(max_speed)
+        if {"latitude", "longitude"} <= set(readings.columns):
+            kept = kept & valid_coordinates(F.col("latitude"), F.col("longitude"))
+    return readings.where(kept).drop(CORRUPT, "value")
 
 
 def dedupe_stream(readings: DataFrame, keys: tuple[str, ...] = ("sensor_id", EVENT_TIME),
