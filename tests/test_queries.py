@@ -10,10 +10,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
 from conftest import DATA, plan, rows  # noqa: E402
+from viaduct.plans import ORACLES, QUERIES  # noqa: E402
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 # Operators that would pair everything with everything, or leave the JVM.
 UNWANTED = ("CartesianProduct", "NestedLoop", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 WITHOUT_SQL = {"train_linear_all_features", "train_forest", "train_gbt", "train_boosted_subsampled"}
@@ -44,6 +44,10 @@ def test_query_gives_what_its_sql_gives(spark, oracle, name):
     assert by_name(frame.columns, [tuple(r) for r in frame.collect()]) == by_name(columns, expected.fetchall())
 
 
+def test_the_contract_lists_them_all():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_only_fitted_models_lack_sql():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
 

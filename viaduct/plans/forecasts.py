@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import forecast
 from ..functions import round_numeric, time_features
 from ..forecast import FEATURES
+from ..forecast.features import LABEL
 from ..session import shared_dir, shared_path
 from .catalog import query, rounded
 from .model import ntz
@@ -208,9 +209,9 @@ def _prepared_split(m) -> tuple[DataFrame, DataFrame]:
     return forecast.split(prepared, "event_id")
 
 
-def _trained(m, train_model, **size) -> DataFrame:
+def _trained(m, train_model) -> DataFrame:
     train, test = _prepared_split(m)
-    return forecast.evaluate_regression(train_model(train, **size).transform(test))
+    return forecast.evaluate_regression(train_model(train).transform(test))
 
 
 @query("train_linear_all_features")
@@ -218,16 +219,35 @@ def train_linear_all_features(m):
     return _trained(m, forecast.train_linear)
 
 
+_PRODUCTS = " UNION ALL ".join(f"SELECT '{name}' AS feature" for name in ("one", *FEATURES))
+
+
+@query("train_linear_normal_equations", f"""
+SELECT feature, 0e0 AS mean_product, (SELECT count(*) FROM {TRAINING_SQL} WHERE NOT ({IN_TEST})) AS training_rows
+FROM ({_PRODUCTS})""")
+def train_linear_normal_equations(m):
+    """A fit is least squares exactly if its residuals sum to zero on the training rows, alone and by each feature."""
+    train, _ = _prepared_split(m)
+    fitted = forecast.train_linear(train).transform(train)
+    residual = F.col(LABEL) - F.col("prediction")
+    means = fitted.agg(
+        F.count(F.lit(1)).alias("training_rows"), F.avg(residual).alias("one"),
+        *[F.avg(residual * F.col(name)).alias(name) for name in FEATURES])
+    return means.select("training_rows", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("feature"), F.round(F.abs(F.col(name)), 3).alias("mean_product"))
+        for name in ("one", *FEATURES)]))).select("feature", "mean_product", "training_rows")
+
+
 @query("train_forest")
 def train_forest(m):
-    return _trained(m, forecast.train_forest, trees=20)
+    return _trained(m, forecast.train_forest)
 
 
 @query("train_gbt")
 def train_gbt(m):
-    return _trained(m, forecast.train_gbt, stages=10)
+    return _trained(m, forecast.train_gbt)
 
 
 @query("train_boosted_subsampled")
 def train_boosted_subsampled(m):
-    return _trained(m, forecast.train_boosted_subsampled, stages=10)
+    return _trained(m, forecast.train_boosted_subsampled)
