@@ -5,18 +5,17 @@ is shorter. Documents with 100 * |intersection| >= 80 * |union| are linked, and
 
 1. One pass hashes every whole text to its set, a sketch of the set (`setsketch`) and one key per band. Documents with
    the same set are one class from here on, so that copies are never compared.
-2. Classes that share a band key are candidates. Buckets may be large, so pairs are not enumerated: each class is
-   compared with the smallest class of its buckets, and goes on to verification with the best of these only. That
-   links large groups of near copies, whose members share their smallest classes.
-3. What is left are buckets whose classes are still in several components. Their classes are compared by sketch, in
-   blocks of at most BLOCK classes, and pairs of different components go on if the estimated similarity is within
-   SLACK_SDS standard deviations of the threshold: first the best pair between any two components, then, where this
-   did not join them, all the others.
-4. A link counts only if the two full sets confirm it. Only texts of candidates are read again for this; a filter of
-   fixed size (`bloom`) keeps all other texts out of the shuffle.
-
-A pair at the threshold shares no band with probability (1 - 0.8**5)**30, which is 7 in a million; more similar pairs
-are missed less often. There is no cap on buckets, partners or candidates.
+2. Classes that share a band key are candidates. Buckets may be large, so pairs are not enumerated: a bucket is led by
+   the class that meets most others, each class is estimated against the leaders of its buckets, and goes on with the
+   best of them if the estimate is within SLACK_SDS standard deviations of the threshold. The full sets confirm the
+   link. That joins large groups of near copies around their middle.
+3. What is left are buckets whose classes are still in several components. Their full sets are compared, in blocks of
+   BLOCK classes, until no two components of a block could be joined; only the links that join go on.
+
+Only texts of candidates are read again for their full sets; a filter of fixed size (`bloom`) keeps all other texts out
+of the shuffle. A pair at the threshold shares no band with probability (1 - 0.8**5)**30, which is 7 in a million; more
+similar pairs are missed less often. There is no cap on buckets, partners or candidates, and every pair that shares a
+band and is not joined through others is compared in full.
 
 Null texts, empty texts and texts without words have no shingles, are linked with nothing and are kept. Documents
 without an id are linked with nothing, have a null component and are kept. Rows that share an id are one document.
@@ -165,45 +164,23 @@ def _similar_size(first: str, second: str, percent: int):
 
 
 def _in_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within a bucket whose estimate is near the threshold or above.
+    """Links (a, b) of sets that share a bucket, as many as it takes to join what belongs together.
 
-    `members` holds (bucket, id, component, n, registers). Blocks of a large bucket meet pairwise in their own groups;
-    a group has at most 2 * BLOCK rows on average and streams through a task that holds one group at a time.
+    `members` holds (bucket, id, component, shingles). Blocks of a large bucket meet pairwise in their own groups; a
+    group has at most 2 * BLOCK rows on average, and a task holds one group at a time. Every set is compared in full
+    with all sets of its group that are in another component by then, so that a group gives fewer links than rows.
     """
     # Read back, so that the join deals out both sides itself and can split the members of a large bucket.
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).transform(stored)
+    sizes = (members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+             .transform(stored))
     placed = (members.join(sizes, "bucket")
               .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     placed = placed.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                           "mine", "id", "component", "n", "registers")
+                           "mine", "id", "component", "shingles")
     dealt = placed.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     id_type = members.schema["id"].dataType
-    kinds = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type),
-                          T.StructField("estimate", T.DoubleType())])
-    least = least_estimate(percent)
-
-    def compare(table: pa.Table):
-        same_block = table.column("i")[0] == table.column("j")[0]
-        n = table.column("n").to_numpy()
-        mine, i = table.column("mine").to_numpy(), table.column("i")[0].as_py()
-        registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(len(n), -1)
-        component = np.unique(np.array(table.column("component").to_pylist()), return_inverse=True)[1]
-        ids = table.column("id").combine_chunks()
-        rows = np.arange(len(n))
-        for row in rows if same_block else rows[mine == i]:
-            others = rows[row + 1:] if same_block else rows[mine != i]
-            others = others[(component[others] != component[row])
-                            & (100 * np.minimum(n[others], n[row]) >= percent * np.maximum(n[others], n[row]))]
-            if len(others):
-                value = setsketch.estimate(np.broadcast_to(registers[row], (len(others), registers.shape[1])),
-                                           registers[others], np.full(len(others), n[row]), n[others])
-                near = value >= least
-                if near.any():
-                    hits = others[near]
-                    yield pa.RecordBatch.from_pydict({
-                        "a": ids.take(pa.array(np.full(len(hits), row))), "b": ids.take(pa.array(hits)),
-                        "estimate": pa.array(value[near], pa.float64())})
+    kinds = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
 
     def run(batches):
         held, current = [], None
@@ -214,57 +191,80 @@ def _in_blocks(members: DataFrame, percent: int) -> DataFrame:
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             for start, end in zip([0, *cuts], [*cuts, len(keys)], strict=True):
                 if held and (keys[start] != current).any():
-                    yield from compare(pa.Table.from_batches(held))
+                    yield from _joining_links(pa.Table.from_batches(held), percent)
                     held = []
                 current = keys[start]
                 held.append(batch.slice(start, end - start))
         if held:
-            yield from compare(pa.Table.from_batches(held))
-
-    pairs = dealt.mapInArrow(run, kinds)
-    return (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "estimate")
-            .groupBy("a", "b").agg(F.max("estimate").alias("estimate")))
+            yield from _joining_links(pa.Table.from_batches(held), percent)
+
+    return dealt.mapInArrow(run, kinds).distinct()
+
+
+def _joining_links(group: pa.Table, percent: int):
+    """The links of one group, in an Arrow batch (a, b)."""
+    ids = group.column("id").combine_chunks()
+    component = np.unique(np.array(group.column("component").to_pylist()), return_inverse=True)[1]
+    if component.max() == 0:
+        return
+    sets = [np.frombuffer(one, np.uint64) for one in group.column("shingles").to_pylist()]
+    size = np.array([len(one) for one in sets])
+    place = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+    # Within one block all pairs are met; of two blocks only pairs across, as each block also meets itself.
+    first, second = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    mine = group.column("mine").to_numpy()
+    rows = range(len(size)) if first == second else np.flatnonzero(mine == first)
+    marked = np.zeros(place.max() + 1, np.int32)
+    found = []
+    for row in rows:
+        across = component != component[row]
+        if first != second:
+            across &= mine == second
+        if not across.any():
+            continue
+        own = place[starts[row]:starts[row] + size[row]]
+        marked[own] = 1
+        common = np.add.reduceat(marked[place], starts)
+        marked[own] = 0
+        linked = across & (100 * common >= percent * (size + size[row] - common))
+        for other in np.flatnonzero(linked):
+            if component[other] != component[row]:
+                found.append((row, other))
+                component[component == component[other]] = component[row]
+    if found:
+        a, b = (ids.take(pa.array(np.array(side, np.int64))) for side in zip(*found, strict=True))
+        yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
 
 def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(node, component) of every class that is linked with another."""
-    least = least_estimate(percent)
     keyed = classes.select(F.explode("bands").alias("bucket"), "id", "n")
-    smallest = (keyed.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("first"), F.count(F.lit(1)).alias("size"))
-                .filter("size > 1").select("bucket", "first").transform(stored))
-    crowded = keyed.join(smallest, "bucket").transform(stored)
-    led = (crowded.filter((F.col("id") != F.col("first.id")) & _similar_size("n", "first.n", percent))
-           .select(F.col("id").alias("a"), F.col("first.id").alias("b")).distinct())
-    led = _estimated(led, classes).filter(F.col("estimate") >= least)
+    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").transform(stored)
+    crowded = keyed.join(sizes, "bucket").transform(stored)
+    # A bucket is led by the class that meets most others over all its buckets: the middle of a group of near copies.
+    met = crowded.groupBy("id").agg(F.sum("size").alias("met")).transform(stored)
+    leaders = (crowded.join(met, "id").groupBy("bucket").agg(F.max(F.struct("met", "id", "n")).alias("first"))
+               .select("bucket", F.col("first.id").alias("b"), F.col("first.n").alias("nb")).transform(stored))
+    led = (crowded.join(leaders, "bucket").filter((F.col("id") != F.col("b")) & _similar_size("n", "nb", percent))
+           .select(F.col("id").alias("a"), "b").distinct())
+    led = _estimated(led, classes).filter(F.col("estimate") >= least_estimate(percent))
     led = led.groupBy("a").agg(F.max_by("b", "estimate").alias("b")).transform(stored)
     links = _confirmed(led, docs, classes, shingle, percent)
     labels = components(links).transform(stored)
 
-    def labelled(frame: DataFrame, labels: DataFrame, name: str, label: str) -> DataFrame:
-        known = labels.select(F.col("node").alias(name), F.col("component").alias(label))
-        return frame.join(known, name, "left").withColumn(label, F.coalesce(label, name))
-
-    members = labelled(crowded.select("bucket", "id"), labels, "id", "component")
+    known = labels.select(F.col("node").alias("id"), "component")
+    members = (crowded.select("bucket", "id").join(known, "id", "left")
+               .select("bucket", "id", F.coalesce("component", "id").alias("component")).transform(stored))
     split = (members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low <> high").select("bucket").transform(stored))
-    members = members.join(split, "bucket").join(classes.select("id", "n", "registers"), "id")
-    pairs = _in_blocks(members.select("bucket", "id", "component", "n", "registers"), percent).transform(stored)
-    tested = led.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a"))
-    pairs = pairs.join(tested, ["a", "b"], "left_anti").transform(stored)
-
-    def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        both = labelled(labelled(pairs, labels, "a", "ca"), labels, "b", "cb")
-        return both.filter("ca <> cb")
-
-    best = (across(pairs, labels).groupBy(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
-            .agg(F.max_by(F.struct("a", "b"), "estimate").alias("pair")).select("pair.*").transform(stored))
-    links = links.unionByName(_confirmed(best, docs, classes, shingle, percent)).transform(stored)
-    labels = components(links).transform(stored)
-    rest = across(pairs, labels).select("a", "b").join(best, ["a", "b"], "left_anti").transform(stored)
-    if not rest.isEmpty():
-        links = links.unionByName(_confirmed(rest, docs, classes, shingle, percent)).transform(stored)
-        labels = components(links).transform(stored)
-    return labels
+    members = members.join(split, "bucket").transform(stored)
+    if members.isEmpty():
+        return labels
+    wanted = classes.select("id", "key").join(members.select("id").distinct(), "id").transform(stored)
+    sets = _shingles_of(docs, wanted, shingle).select("id", "shingles").dropDuplicates(["id"]).transform(stored)
+    more = _in_blocks(members.join(sets, "id"), percent).transform(stored)
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
