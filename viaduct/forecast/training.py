@@ -15,7 +15,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_dir
-from .evaluation import best_model, compare_models
+from .evaluation import best_model, compare_predictions
 from .features import FEATURES, LABEL, SCALED, bucket_of, feature_stages
 
 SEED = 42
@@ -90,10 +90,19 @@ def train_models(train: DataFrame, test: DataFrame, regressors: dict[str, Estima
     shared_dir(train.sparkSession)
     train, test = train.checkpoint(), test.checkpoint()
     models = {name: _fit(train, regressor) for name, regressor in regressors.items()}
-    metrics = compare_models({name: model.transform(test) for name, model in models.items()}).checkpoint()
+    metrics = compare_predictions(*score_all(models, test)).checkpoint()
     return TrainedModels(models, metrics, best_model(metrics).first()["model_name"])
 
 
+def score_all(models: dict[str, PipelineModel], rows: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with one prediction column per model, and the names of these columns."""
+    own, columns = rows.columns, {}
+    for place, (name, model) in enumerate(models.items()):
+        columns[name] = f"prediction_{place}"
+        rows = model.transform(rows).withColumnRenamed("prediction", columns[name]).select(*own, *columns.values())
+    return rows, columns
+
+
 def cross_validated(train: DataFrame, regressor: Estimator, key: str, grid: list | None = None,
                     folds: int = 5) -> CrossValidator:
     """Choose parameters by cross-validation on R2, with folds by a hash of the key."""
