@@ -1,7 +1,8 @@
 """A filter of fixed size that tells which hashes may occur more than once.
 
 Each hash hits two places; a place hit by two rows belongs to the `twice` plane. Rows whose places are all in that
-plane may be repeated; all others are certainly single. Equal hashes hit the same places, so a repeated hash is never missed; a chance hit only sends a single row the longer way.
+plane may be repeated; all others are certainly single. Equal hashes hit the same places, so a repeated hash is never
+missed; a chance hit only sends a single row the longer way.
 
 Tasks reduce their rows to places with a count of 1 or 2 before the shuffle. The planes are dealt out by block, and
 the finished plane has at most `MOST_BITS` bits, however large the table is; beyond that the share of chance hits

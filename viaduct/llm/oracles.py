@@ -100,7 +100,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 _OP7 = f"""
-WITH digests AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS text_sha256 FROM documents),
+WITH digests AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS text_sha256 FROM documents),
 best AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM digests GROUP BY text_sha256)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM digests JOIN best USING (text_sha256)"""
 
@@ -118,7 +119,8 @@ filled AS (SELECT *, cap * (sum(w) OVER () - coalesce(sum(w) OVER before, 0))
 targets AS (SELECT source, source_size, CASE WHEN clamped THEN cap::DOUBLE ELSE
   (w * (sum(source_size) OVER () - coalesce(sum(cap) FILTER (clamped) OVER (), 0)))::DOUBLE
   / (sum(w) FILTER (NOT clamped) OVER ())::DOUBLE END AS target FROM filled),
-parts AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS repeats FROM targets),
+parts AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS repeats
+  FROM targets),
 placed AS (SELECT s.doc_id, size, source_size, target, repeats,
   floor(target - repeats * source_size + 0.5)::BIGINT - coalesce(sum(size) OVER (
     PARTITION BY s.source ORDER BY md5('{SEED}|' || coalesce(s.doc_id::VARCHAR, '')), s.doc_id, size

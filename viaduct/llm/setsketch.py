@@ -24,7 +24,8 @@ _GRID = 64
 
 
 def _odd_numbers(seed: int, count: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**63, count, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+    drawn = np.random.Generator(np.random.PCG64(seed)).integers(0, 2**63, count, dtype=np.uint64)
+    return drawn << np.uint64(1) | np.uint64(1)
 
 
 _FACTORS, _SHIFTS = _odd_numbers(1, REGISTERS)[:, None], _odd_numbers(2, REGISTERS)[:, None]

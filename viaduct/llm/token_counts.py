@@ -71,8 +71,9 @@ class ByteCounter:
             self.pairs[vocabulary[left] << 16 | vocabulary[right]] = rank << 16 | vocabulary[left + right]
         newer = newer_letters()
         self.newer = regex.compile(f"[{newer}]").search
-        older = (PATTERN.replace(r"[^\s\p{L}\p{N}]", f"(?:[^\\s\\p{{L}}\\p{{N}}]|[{newer}])")
-                 .replace(r"?\p{L}+", f"?(?:(?![{newer}])\\p{{L}})+").replace(r"?\p{N}+", f"?(?:(?![{newer}])\\p{{N}})+"))
+        older = PATTERN.replace(r"[^\s\p{L}\p{N}]", f"(?:[^\\s\\p{{L}}\\p{{N}}]|[{newer}])")
+        for kind in (r"\p{L}", r"\p{N}"):
+            older = older.replace(f" ?{kind}+", f" ?(?:(?![{newer}]){kind})+")
         self.usual_chunks = regex.compile(PATTERN).findall
         self.older_chunks = regex.compile(older).findall
         special = [token["content"] for token in described.get("added_tokens", ())]
@@ -109,7 +110,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """Per document: doc_id, n_bytes (UTF-8), n_tokens, over_limit. `path` names the file on every executor."""
     ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))
-    kinds = rows.select("doc_id", F.lit(0).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_tokens")).schema
+    kinds = rows.select("doc_id", *[F.lit(0).cast("long").alias(name) for name in ("n_bytes", "n_tokens")]).schema
 
     def run(batches):
         count = counter(path).count

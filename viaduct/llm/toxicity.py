@@ -170,8 +170,8 @@ class Model:
         if not vector:
             return float(self.base), ""
         vote, near = self.vote(vector)
-        evidence = ",".join([f"{self.ids[i]}:{int(self.labels[i])}:{similarity:.3f}" for i, similarity in near[:EVIDENCE]])
-        return float(np.interp(vote, self.edges, self.rates)), evidence
+        evidence = [f"{self.ids[i]}:{int(self.labels[i])}:{similarity:.3f}" for i, similarity in near[:EVIDENCE]]
+        return float(np.interp(vote, self.edges, self.rates)), ",".join(evidence)
 
     def score(self, text: str) -> tuple[float, str]:
         """Probability of the label, and the nearest examples as id:label:similarity."""

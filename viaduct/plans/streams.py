@@ -12,7 +12,7 @@ from ..functions import round_numeric
 from ..operators.quality import CORRUPT, quarantine
 from ..session import shared_path
 from ..sinks import parquet_micro_batch, sink_micro_batch, sink_raw_parquet
-from ..streaming import clean_stream, dedupe_stream, parse_readings, run_stream, windowed_metrics
+from ..streaming import clean_stream, conformed_batches, dedupe_stream, parse_readings, run_stream, windowed_metrics
 from ..streaming.readings import EVENT_TIME
 from .catalog import query, rounded
 from .model import PROVIDED, TrafficModel, ntz
@@ -140,6 +140,51 @@ def micro_batch_sink(m):
     return m.spark.read.parquet(f"{path}/data").drop("batch_id")
 
 
+@query("stream_conformed_events", """
+SELECT e.event_id, e.sensor_id, e.road_id, e."timestamp", e.vehicle_count, e.average_speed_kmh, e.congestion_index,
+       e.congestion_level, w.weather_id, e.hour
+FROM traffic_events e ASOF LEFT JOIN weather_data w ON e."timestamp" >= w."timestamp"
+""")
+def conformed_stream(m):
+    """Each batch is written twice, as after a failure; the table must hold its rows once."""
+    path = shared_path(m.spark, "conformed")
+    write = conformed_batches(lambda: (m.sensors, m.roads, m.weather), parquet_micro_batch(f"{path}/data"))
+
+    def write_twice(batch, batch_id):
+        sent = batch.select("event_id", "sensor_id", "vehicle_count", "average_speed_kmh",
+                            ntz(F.col("timestamp")).alias("timestamp"))
+        write(sent, batch_id)
+        write(sent, batch_id)
+    sink_micro_batch(_streamed_events(m), write_twice, f"{path}/checkpoint", availableNow=True).awaitTermination()
+    return m.spark.read.parquet(f"{path}/data").select(
+        "event_id", "sensor_id", "road_id", "timestamp", "vehicle_count", "average_speed_kmh", "congestion_index",
+        "congestion_level", "weather_id", "hour")
+
+
+@query("stream_dead_letters", """
+SELECT 'coordinates out of range' AS error, sensor_id, vehicle_count, "timestamp" AS event_ts FROM readings
+WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND sensor_id IS NOT NULL AND latitude > 90
+UNION ALL
+SELECT 'count or speed out of range', sensor_id, vehicle_count, "timestamp" FROM readings
+WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND sensor_id IS NOT NULL AND latitude <= 90
+  AND (vehicle_count < 0 OR average_speed_kmh < 0)""")
+def dead_letters(m):
+    """The dead letters of two rules, read again from the payload that was kept."""
+    path = shared_path(m.spark, "dead-letters")
+    m.messages.write.text(f"{path}/messages")
+
+    def landing(df, checkpoint):
+        return sink_raw_parquet(df, f"{path}/dead_letters", checkpoint, (), availableNow=True)
+    running = run_stream(m.spark.readStream.text(f"{path}/messages"), {}, landing, f"{path}/checkpoints")
+    for stream in running.values():
+        stream.awaitTermination()
+    bad = m.spark.read.parquet(f"{path}/dead_letters").where("error LIKE '%out of range'")
+    sent = parse_readings(bad.select(F.col("original_payload").alias("value")))
+    fields = _times_without_zone(sent).select("value", "sensor_id", "vehicle_count", "event_ts").distinct()
+    return (bad.select("error", F.col("original_payload").alias("value")).join(fields, "value")
+            .select("error", "sensor_id", "vehicle_count", "event_ts"))
+
+
 @query("run_stream", """
 SELECT CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'malformed JSON' WHEN sensor_id IS NULL THEN 'missing core field'
             WHEN latitude > 90 THEN 'coordinates out of range'
