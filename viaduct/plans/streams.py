@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import round_numeric
 from ..operators.quality import CORRUPT, quarantine
+from ..schemas import WEATHER_MESSAGE
 from ..session import shared_path
 from ..sinks import parquet_micro_batch, sink_micro_batch, sink_raw_parquet
-from ..streaming import clean_stream, conformed_batches, dedupe_stream, parse_readings, run_stream, windowed_metrics
+from ..streaming import (clean_stream, conformed_batches, dedupe_stream, parse_messages, parse_readings, run_stream,
+                         windowed_metrics, with_event_time)
 from ..streaming.readings import EVENT_TIME
 from .catalog import query, rounded
 from .model import PROVIDED, TrafficModel, ntz
@@ -43,6 +45,17 @@ WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND sensor_id IS NOT NULL AND la
   AND vehicle_count >= 0 AND average_speed_kmh >= 0"""
 
 
+@query("parse_weather_messages", """
+SELECT "timestamp" AS event_ts, temperature_celsius, humidity_percent, rain_mm, wind_speed_kmh, weather_condition
+FROM weather_data""")
+def parse_weather(m):
+    measures = ("temperature_celsius", "humidity_percent", "rain_mm", "wind_speed_kmh", "weather_condition")
+    sent_at = F.date_format(F.col("timestamp").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    sent = m.weather.select(F.to_json(F.struct(sent_at.alias("timestamp"), *measures)).alias("value"))
+    parsed = parse_messages(sent, WEATHER_MESSAGE).transform(with_event_time)
+    return _times_without_zone(parsed).select("event_ts", *measures)
+
+
 @query("clean_stream", """
 SELECT sensor_id, vehicle_count, average_speed_kmh, latitude, "timestamp" AS event_ts FROM readings
 WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND latitude BETWEEN -90 AND 90
