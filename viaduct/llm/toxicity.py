@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
 Texts become TF-IDF vectors over a vocabulary of terms that go with the label: whole words, and beginnings of words,
-which stand for the compounds of a stem. A term enters by how densely a text uses it, in steps of a factor of two, so
+which stand for the compounds of a stem. A term enters by how densely a text uses it, in steps of a factor of four, so
 that each step is a term of its own with its own inverse document frequency. Scores are found in three parts:
 
 * `fit` draws at most MOST_EXAMPLES labelled rows by the hash of their ids, chooses the vocabulary by how far the
@@ -36,12 +36,12 @@ from .merging import Remembered
 from .shipping import ship
 from .words import text_of
 
-MOST_EXAMPLES = 20_000   # labelled rows that are learned from
+MOST_EXAMPLES = 8_000    # labelled rows that are learned from
 MOST_TERMS = 4_096       # words and stems in the vocabulary
 LEAST_ROWS = 4           # labelled rows with a term
 LEAST_DEPARTURE = 5.0    # standard deviations that a term's positive count exceeds chance
 STEMS = (4, 5, 6, 7)     # letters of a word's beginning that are terms
-STEPS = 8                # steps of density, from 1 in 2 ** (STEPS + 2) words on, by a factor of two
+STEPS = 4                # steps of density, by a factor of four: below 1 in 256 words, from there, 1 in 64, 1 in 16
 NEIGHBOURS = 25
 POWER = 4                # of the similarity, as the weight of a vote
 BASE_VOTES = 1.0         # votes for the base rate
@@ -58,8 +58,8 @@ def word_terms(word: str) -> tuple[str, ...]:
 
 
 def density_steps(count: int, words: int) -> int:
-    """How many of the steps 2 ** -(STEPS + 2), ..., 2 ** -3 a term's share of the words reaches; at least one."""
-    return max(1, min(STEPS, floor(log2(count / words)) + STEPS + 3))
+    """How many of the steps a term's share of the words reaches; at least one."""
+    return max(1, min(STEPS, floor(log2(count / words) / 2) + STEPS + 2))
 
 
 class Vectorizer:
@@ -111,7 +111,7 @@ class BlockMaxIndex:
             return []
         rest = np.append(np.cumsum([top for top, _, _ in lists][::-1])[::-1], 0.0)
         sums = np.zeros(len(self.vectors))
-        worst = 0.0
+        worst = most = 0.0
         for place, (_, weight, term) in enumerate(lists):
             ids, weights, tops = self.lists[term]
             # A block matters to an example outside the sums if its top and all later lists reach the worst.
@@ -122,8 +122,12 @@ class BlockMaxIndex:
                 blocks = np.arange(len(ids)) // BLOCK
                 read = able[blocks] | (sums[ids] > 0)
                 sums[ids[read]] += weight * weights[read]
-            if len(self.vectors) > count:
-                worst = np.partition(sums, -count - 1)[-count - 1]
+            # The worst matters once the later lists together reach no further than the best sum so far.
+            most = max(most, sums[ids].max())
+            if rest[place + 1] <= most:
+                held = sums[sums > 0]
+                if len(held) > count:
+                    worst = np.partition(held, -count - 1)[-count - 1]
         if without >= 0:
             sums[without] = 0.0
         order = np.flatnonzero(sums > 0)
@@ -231,8 +235,13 @@ def _vocabulary(drawn: DataFrame, rows: int, positive: int) -> list[str]:
     rate = positive / rows
     departure = (F.col("positive") - F.col("rows") * rate) / F.sqrt(F.col("rows") * rate * (1 - rate))
     chosen = (_term_counts(drawn).filter(F.col("rows") >= LEAST_ROWS).withColumn("d", departure)
-              .filter(F.col("d") >= LEAST_DEPARTURE).orderBy(F.desc("d"), "term").limit(MOST_TERMS))
-    return [row["term"] for row in chosen.select("term").collect()]
+              .filter(F.col("d") >= LEAST_DEPARTURE).orderBy(F.desc("d"), "term").limit(MOST_TERMS)
+              .select("term", "rows", "positive").collect())
+    # A term that occurs in just the rows of a beginning of it says nothing more.
+    seen = {(row["term"], row["rows"], row["positive"]) for row in chosen}
+    return [row["term"] for row in chosen if not any(
+        (row["term"].removeprefix("=")[:size], row["rows"], row["positive"]) in seen
+        for size in STEMS if size < len(row["term"]))]
 
 
 def _document_frequencies(docs: DataFrame, terms: list[str]) -> dict[int, int]:
