@@ -30,7 +30,7 @@ def test_nearest_against_all_cosines():
 
 
 def test_density_steps():
-    assert [density_steps(1, n) for n in (1, 8, 9, 1024, 10**6)] == [8, 8, 7, 1, 1]
+    assert [density_steps(1, n) for n in (1, 16, 17, 64, 65, 256, 257, 10**6)] == [4, 4, 3, 3, 2, 2, 1, 1]
 
 
 def labelled(spark, count=400):
