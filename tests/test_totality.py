@@ -147,3 +147,12 @@ def test_only_the_days_asked_for_are_opened(spark, tmp_path):
     assert read_date_partitions(spark, path, dt.date(2030, 1, 1), dt.date(2030, 1, 2), schema).count() == 0
     with pytest.raises(SourceNotFound):
         read_date_partitions(spark, path, dt.date(2030, 1, 1), dt.date(2030, 1, 2))
+
+
+@pytest.mark.parametrize("name, most", [("current_status", 2), ("conform_events", 1), ("check_references", 2)])
+def test_events_are_read_at_most_twice_besides_the_dimensions(spark, name, most):
+    from conftest import DATA
+
+    from viaduct.plans import QUERIES
+    frame = QUERIES[name](spark, DATA)
+    assert 0 < plan(frame).count("events.parquet]") <= most

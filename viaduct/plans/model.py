@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import functions as V
 from ..operators.dimensions import join_dim, sized
 from ..operators.features import ROAD_DEFAULTS, derive_features
+from ..session import shared_dir
 
 # Schemas of the provided files, so that opening one needs no job to look into it.
 PROVIDED = {
@@ -53,14 +54,19 @@ class TrafficModel:
             (2 + key % 3).cast("int").alias("num_lanes"), limit.cast("int").alias("speed_limit_kmh"),
             F.lit("Cairo").alias("city"))
 
+    def _computed_once(self, dimension: DataFrame) -> DataFrame:
+        """A dimension made from all events, computed here and then read by every join and size check of a query."""
+        shared_dir(self.spark)
+        return dimension.checkpoint()
+
     @cached_property
     def sensors(self) -> DataFrame:
         user = F.col("user_id")
-        return self.read("events").select("user_id").distinct().select(
+        return self._computed_once(self.read("events").select("user_id").distinct().select(
             _sensor_id().alias("sensor_id"), _road_id().alias("road_id"),
             _latitude().alias("latitude"), _longitude().alias("longitude"),
             F.date_add(F.lit("2023-01-01").cast("date"), (user % 365).cast("int")).alias("installation_date"),
-            (user % 7 != 0).alias("is_active"))
+            (user % 7 != 0).alias("is_active")))
 
     @cached_property
     def weather(self) -> DataFrame:
@@ -73,8 +79,8 @@ class TrafficModel:
             (35 + k % 45).cast("double").alias("humidity_percent"),
             F.when(k % 10 == 0, 8.0).when(k % 10 == 1, 2.5).otherwise(0.0).alias("rain_mm"),
             (5 + (k * 11) % 30).cast("double").alias("wind_speed_kmh"))
-        return observed.withColumn("weather_condition", V.classify_weather(
-            F.col("rain_mm"), F.col("humidity_percent"), F.col("temperature_celsius"), F.col("wind_speed_kmh")))
+        return self._computed_once(observed.withColumn("weather_condition", V.classify_weather(
+            F.col("rain_mm"), F.col("humidity_percent"), F.col("temperature_celsius"), F.col("wind_speed_kmh"))))
 
     @cached_property
     def raw_events(self) -> DataFrame:
