@@ -163,10 +163,10 @@ def _similar_size(first: str, second: str, percent: int):
     return 100 * F.least(first, second) >= percent * F.greatest(first, second)
 
 
-def _in_blocks(members: DataFrame, percent: int) -> DataFrame:
+def _in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of sets that share a bucket, as many as it takes to join what belongs together.
 
-    `members` holds (bucket, id, component, shingles). Blocks of a large bucket meet pairwise in their own groups; a
+    `members` holds (bucket, id, component), `sets` (id, shingles). Blocks of a large bucket meet pairwise in their own groups; a
     group has at most 2 * BLOCK rows on average, and a task holds one group at a time. Every set is compared in full
     with all sets of its group that are in another component by then, so that a group gives fewer links than rows.
     """
@@ -177,8 +177,9 @@ def _in_blocks(members: DataFrame, percent: int) -> DataFrame:
               .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     placed = placed.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                           "mine", "id", "component", "shingles")
-    dealt = placed.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+                           "mine", "id", "component")
+    # The sets, which are large, join last and are dealt out once.
+    dealt = placed.join(sets, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     id_type = members.schema["id"].dataType
     kinds = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
 
@@ -256,14 +257,19 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     known = labels.select(F.col("node").alias("id"), "component")
     members = (crowded.select("bucket", "id").join(known, "id", "left")
                .select("bucket", "id", F.coalesce("component", "id").alias("component")).transform(stored))
-    split = (members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .filter("low <> high").select("bucket").transform(stored))
+    # Similar classes share many bands: of buckets with the same members one is enough. Their number and two sums of
+    # hashes, 128 bits, stand for the members.
+    split = (members.groupBy("bucket").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"),
+                *[F.sum(F.xxhash64("id", F.lit(k)).cast("decimal(20,0)")).alias(f"sum{k}") for k in (1, 2)])
+             .filter("low <> high").groupBy("size", "sum1", "sum2").agg(F.min("bucket").alias("bucket"))
+             .select("bucket").transform(stored))
     members = members.join(split, "bucket").transform(stored)
     if members.isEmpty():
         return labels
     wanted = classes.select("id", "key").join(members.select("id").distinct(), "id").transform(stored)
     sets = _shingles_of(docs, wanted, shingle).select("id", "shingles").dropDuplicates(["id"]).transform(stored)
-    more = _in_blocks(members.join(sets, "id"), percent).transform(stored)
+    more = _in_blocks(members, sets, percent).transform(stored)
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
