@@ -29,6 +29,44 @@ def test_article_without_its_surroundings(html):
     assert main_text(html) == TEXT
 
 
+@pytest.mark.parametrize("html", [
+    page(inner=f"<div class='content-sidebar-wrap'><article>{STORY}</article></div>"),
+    page(inner=f"<div class='content has-sidebar'>{STORY}</div>"),
+    page("<p>Hi</p>", inner=f"<div class='sidebar-wrapper'><main>{STORY}</main></div>").replace("<p>Hi</p>", ""),
+    page(inner=f"<div class='widget'>{STORY}</div>", after="<div class='comments'><p>First!</p></div>"),
+    page(inner=f"<div class='search'><div id=notice><article>{STORY}</article></div></div>"),
+    page(inner=f"<div class='modal'><div role=main>{STORY}</div></div><div class=sidebar><p>Old posts</p></div>"),
+    page(inner=f"<article>{STORY.replace('<p>It', '<section id=related-work><p>It')}</section></article>"),
+    page(inner=f"<article>{STORY.replace('<p>It', '<section id=search-algorithms><p>It')}</section></article>"),
+    page(inner=f"<article>{STORY.replace('<p>It', '<section id=legal><p>It')}</section></article>"),
+    page(inner=f"<article>{STORY.replace('<p>It', '<div class=notice><p>It')}</div></article>"),
+    page(inner=f"<article>{STORY.replace('<p>It', '<section id=navigation><p>It')}</section></article>"),
+    page(inner=f"<div class=post>{STORY.replace('<p>It', '<section id=copyright><p>It')}</section></div>"),
+    page(inner=f"<div class=post>{STORY.replace('<p>The', '<p title=display:none data-x=&quot;hidden&quot;>The')}</div>"),
+    page(inner=STORY.replace("<p>The", "<p class='not hidden here' data-style='display:none'>The")),
+    page(inner=f"<article>{STORY}<ul class='related'><li><a href=/a>Another story</a></li></ul></article>"),
+    page(inner=f"<article>{STORY}<div class='newsletter'><p>Get our letter</p></div></article>"),
+    page(inner=f"<article>{STORY}</article><div class='comment-list'><article class=comment-body><p>"
+               + "I think so too. " * 40 + "</p></article></div>"),
+    page(inner=f"<article>{STORY}</article><div style='color:red; DISPLAY : none !important'>never seen</div>"),
+    page(inner=f"<article>{STORY}</article><p aria-hidden = 'true'>never seen</p>"),
+])
+def test_names_of_parts_are_evidence_only(html):
+    assert main_text(html) == TEXT
+
+
+def test_names_do_not_empty_a_page():
+    parts = [f"<div class={name}><p>Some text of part {name}.</p></div>" for name in ("search", "notice", "social")]
+    assert main_text(page(inner="".join(parts))) == "\n".join(f"Some text of part {n}." for n in ("search", "notice", "social"))
+
+
+def test_headings_are_not_left_out_by_their_ids():
+    html = page(inner="<div class=post><h2 id='legal'>Legal</h2><p>The court sat for a long day and more.</p>"
+                      "<h2 id='search'>Search</h2><p>They looked in every house of the town.</p></div>")
+    assert main_text(html) == ("Legal\nThe court sat for a long day and more.\nSearch\n"
+                               "They looked in every house of the town.")
+
+
 def test_title_and_short_paragraphs_stay():
     html = page("<nav><a href=/>Home</a></nav>", "<footer>x</footer>",
                 "<article><header><h1>A title</h1></header><p>A longer paragraph of some words here.</p><p>Ah.</p>"

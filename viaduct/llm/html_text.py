@@ -1,8 +1,8 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. Parts that are never article text (scripts, styles, forms, menus, headers and
-footers of the page, and elements whose role, class or id names such a part) are left out with all below them. For
-every node that is left, the density is its characters per tag, adjusted for links:
+footers of the page, and hidden elements) are left out with all below them. For every node that is left, the density
+is its characters per tag, adjusted for links:
 
     C / T * log(C / Cn * Cl + Cb' / Cb * C + e)-based(C / Cl * T / Tl)
 
@@ -15,6 +15,21 @@ the text is that of all nodes so given.
 White space inside a block becomes one blank; blocks are trimmed and joined in page order by one line feed; a block
 is what block-level tags enclose. Character references are decoded. Nothing else is dropped or capped.
 
+A role, class or id may name a part that is not the article, but is only evidence. It must name such a part as a whole:
+every word of `site-sidebar` does, not so `has-sidebar` or `related-work`. Elements so named are left out unless
+
+- they hold `main`, or an `article` without such a name while none stands outside named parts (or, if the name has
+  other meanings, the longest `article`);
+- they hold more than half of the body's text outside links (for SURE names only if no `article` or `main` with text
+  stands outside named parts);
+- they lie in an `article` (or in `main`, if the page has no `article`), less than a third of their text is links, and
+  the name is not a SURE one, or only an id;
+- on pages without `article` and `main`, the name is none of SURE and PLACES, less than a third of their text is links,
+  and they lie in a node given by density other than the body, or are a `section` in the body.
+
+If no text is left otherwise, no names but SURE ones count. Headings, `html`, `body`, `main` and `article` are not left
+out by name.
+
 Null and empty pages give the empty text, and so do pages without text outside the parts that are left out. Markup that
 is cut off or not closed is closed at its end. Pages of any length are read whole in time that grows with their
 length. Repeated rows are treated alike; an empty table gives an empty result. Columns other than page_id, url and
@@ -47,50 +62,84 @@ CLOSED_BY = {  # an open element of this name ends when one of these begins
     "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "option": frozenset(["option"]), "thead": frozenset(["tbody", "tfoot"]), "tbody": frozenset(["tbody", "tfoot"]),
 }
-# Words in a role, class or id that name a part which is not the article.
-PART_NAMES = frozenset((
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar "
-    "navigation menu menubar breadcrumb breadcrumbs sidebar aside footer masthead topbar toolbar cookie cookies "
-    "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login comment "
-    "comments commentlist disqus respond reply replies share sharing social related recommended recommendations "
-    "pagination pager copyright legal disclaimer skip widget search contentinfo complementary").split())
+# Words in a role, class or id that name a part which is not the article: whatever it stands in,
+SURE = frozenset((
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation "
+    "menubar breadcrumb breadcrumbs toolbar cookie cookies consent gdpr popup modal overlay newsletter subscribe "
+    "subscription signup login comment comments commentlist disqus respond replies share sharing recommended "
+    "recommendations pagination pager").split())
+# by its place on the page,
+PLACES = frozenset("banner sidebar aside footer masthead topbar widget contentinfo complementary".split())
+# or where the word is not a topic or a remark.
+PART_NAMES = SURE | PLACES | frozenset((
+    "menu notice notices alert reply social related copyright legal disclaimer skip search").split())
+# Words that may stand in such a name without changing what it names.
+COMPANIONS = frozenset((
+    "site page main left right top bottom primary secondary global list box bar block container wrap wrapper inner "
+    "section area link links item items group body title button buttons icons form thread post posts article articles "
+    "story stories").split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that are the article, or hold it, whatever else their names say.
 HOLDERS = frozenset("html body main article".split())
+MOST_LINKS = 1 / 3  # share of links in the text of a part that may yet belong to the article
 
 _TAG = re.compile(r"<(?:!--(?P<note>.*?)(?:--!?>|\Z)|(?P<mark>[!?])[^>]*(?:>|\Z)"
                   r"|/(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
                   r"|(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?P<shut>>|\Z)"
                   r"|(?P<broken>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z))", re.S)
-_NAMED = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _PARTS = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _BLANKS = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parts", "chars", "tags", "link_chars", "link_tags", "density", "score", "out")
+    __slots__ = ("name", "parts", "chars", "tags", "link_chars", "link_tags", "density", "score", "out", "named",
+                 "by_id", "holder")
 
     def __init__(self, name: str, out: bool):
         self.name, self.out = name, out
         self.parts: list = []  # texts and nodes, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.score = 0.0
+        self.named: frozenset = frozenset()  # words of its names that name a part which is not the article
+        self.by_id = False  # whether it is so named by its id only
+        self.holder = name if name in ("main", "article") else ""
 
 
-def _left_out(name: str, rest: str, inside_article: bool) -> bool:
-    if name in LEFT_OUT:
-        return True
-    if name == "header":  # an article's own header holds its title
-        return not inside_article
-    if not rest or name in HOLDERS:
-        return False
-    if _HIDDEN.search(rest):
-        return True
-    for _, a, b, c in _NAMED.findall(rest):
-        if PART_NAMES.intersection(_PARTS.findall(_CAMEL.sub(" ", a or b or c).lower())):
-            return True
-    return False
+def _attributes(rest: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(rest):
+        found.setdefault(name.lower(), unescape(a or b or c))
+    return found
+
+
+def _part_words(name: str) -> frozenset:
+    """The words by which a role, class or id names a part as a whole; none if any other word stands in it."""
+    words = _PARTS.findall(_CAMEL.sub(" ", name).lower())
+    if all(word in PART_NAMES or word in COMPANIONS or word[0].isdigit() for word in words):
+        return PART_NAMES.intersection(words)
+    return frozenset()
+
+
+def _describe(node: Node, rest: str, inside_article: bool) -> None:
+    """Whether the node is left out, and what its attributes say of it."""
+    if node.name in LEFT_OUT or node.name == "header" and not inside_article:  # an article's own holds its title
+        node.out = True
+    if node.out or not rest:
+        return
+    told = _attributes(rest)
+    roles = told.get("role", "").lower().split()
+    node.holder = next((role for role in roles if role in ("main", "article")), node.holder)
+    if node.name not in HOLDERS and node.name != "header" and (
+            told.get("hidden", "until-found").lower() != "until-found"
+            or told.get("aria-hidden", "").strip().lower() == "true" or _NOT_SHOWN.search(told.get("style", ""))):
+        node.out = True
+    if node.name not in HEADINGS and node.name not in ("html", "body", "header"):
+        named = frozenset().union(*map(_part_words, roles + told.get("class", "").split()))
+        node.by_id = not named
+        node.named = named or _part_words(told.get("id", ""))
 
 
 def parse(html: str) -> Node:
@@ -126,7 +175,8 @@ def parse(html: str) -> Node:
                     while len(stack) > level:
                         dropped = _pop(stack, depth, dropped)
             rest = found["rest"] or ""
-            node = Node(name, bool(dropped) or _left_out(name, rest, bool(depth.get("article") or depth.get("main"))))
+            node = Node(name, bool(dropped))
+            _describe(node, rest, bool(depth.get("article") or depth.get("main")))
             if not dropped:
                 stack[-1].parts.append(node)
             if name in VOID or rest.endswith("/") and name not in BLOCK:
@@ -166,8 +216,9 @@ def _in_order(root: Node) -> list[Node]:
     return nodes
 
 
-def _measure(nodes: list[Node], body: Node) -> None:
+def _count(nodes: list[Node]) -> None:
     for node in reversed(nodes):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for part in node.parts:
             if type(part) is str:
                 node.chars += len("".join(part.split()))
@@ -179,6 +230,10 @@ def _measure(nodes: list[Node], body: Node) -> None:
                 node.link_tags += part.tags + 1 if link else part.link_tags
         if node.name == "a":
             node.link_chars, node.link_tags = node.chars, node.tags
+
+
+def _measure(nodes: list[Node], body: Node) -> None:
+    _count(nodes)
     share = body.link_chars / body.chars if body.chars else 0.0
     for node in nodes:
         chars, tags = node.chars, max(1, node.tags)
@@ -193,14 +248,82 @@ def _measure(nodes: list[Node], body: Node) -> None:
                           if type(part) is Node and not part.out and part.name in BLOCK])
 
 
+def _parents(nodes: list[Node]) -> dict[int, Node]:
+    return {id(part): node for node in nodes for part in node.parts if type(part) is Node and not part.out}
+
+
+def _own(node: Node) -> int:
+    return node.chars - node.link_chars
+
+
+def _few_links(node: Node) -> bool:
+    return node.chars > 0 and node.link_chars < MOST_LINKS * node.chars
+
+
+def _above(nodes: list[Node], parent: dict[int, Node]) -> list[Node]:
+    found, seen = [], set()
+    for node in nodes:
+        while id(node) in parent and id(parent[id(node)]) not in seen:
+            node = parent[id(node)]
+            seen.add(id(node))
+            found.append(node)
+    return found
+
+
+def _leave_out_named(body: Node) -> list[tuple[Node, list[Node]]]:
+    """Leaves out the named parts for which nothing speaks. Gives those which may yet turn out to lie in the article,
+    each with the nodes above it."""
+    nodes = _in_order(body)
+    if not any(node.named for node in nodes):
+        return []
+    _count(nodes)
+    parent = _parents(nodes)
+    inside = {}  # per node, whether it is or lies in a named part, in `article`, in `main`
+    for node in nodes:
+        above = inside[id(parent[id(node)])] if node is not body else (False, False, False)
+        inside[id(node)] = (above[0] or bool(node.named), above[1] or node.holder == "article",
+                            above[2] or node.holder == "main")
+    holders = [node for node in nodes if node.holder and node.chars]
+    articles = [node for node in holders if node.holder == "article" and not node.named]
+    free = any(not inside[id(node)][0] for node in holders)
+    free_article = any(not inside[id(node)][0] for node in articles)
+    longest = max(articles, key=_own, default=None)
+    # The nodes above `main` or the only articles there are, and those above the longest article.
+    speaking = [node for node in holders if node.holder == "main"] + ([] if free_article else articles)
+    above_holder = {id(up) for up in _above(speaking, parent)}
+    above_longest = {id(up) for up in _above([longest] if longest else [], parent)}
+    out, pending = [], []
+    for node in nodes:
+        if not node.named or node.holder or node is body:
+            continue
+        sure = not SURE.isdisjoint(node.named)
+        _, in_article, in_main = inside[id(node)]
+        if (id(node) in above_holder or not sure and id(node) in above_longest
+                or 2 * _own(node) > _own(body) and not (sure and free)
+                or (in_article or in_main and not articles) and _few_links(node) and (not sure or node.by_id)):
+            continue
+        out.append(node)
+        if not holders and not sure and PLACES.isdisjoint(node.named) and _few_links(node):
+            pending.append(node)
+    above = [(node, _above([node], parent)) for node in pending]
+    for node in out:
+        node.out = True
+    _count(_in_order(body))
+    if not body.chars:
+        for node in out:
+            node.out = not SURE.isdisjoint(node.named)
+    return above
+
+
 def main_nodes(root: Node) -> list[Node]:
     """The subtrees that hold the main text, in page order; none lies within another."""
     body = next((part for part in root.parts if type(part) is Node and part.name == "body"), root)
+    pending_parts = _leave_out_named(body)
     nodes = _in_order(body)
     _measure(nodes, body)
     if not body.chars:
         return []
-    parent = {id(part): node for node in nodes for part in node.parts if type(part) is Node and not part.out}
+    parent = _parents(nodes)
     best = max(nodes, key=lambda node: node.score)  # of equal scores the one nearest the body
     threshold, up = best.density, best
     while up is not body:
@@ -222,6 +345,11 @@ def main_nodes(root: Node) -> list[Node]:
             found.append(node)
         else:
             pending += [part for part in reversed(node.parts) if type(part) is Node and not part.out]
+    given = {id(node) for node in found}
+    for node, above in pending_parts:
+        inside = any(id(up) in given for up in above if up is not body)
+        if inside or id(body) in given and node.name == "section":
+            node.out = False
     return found
 
 
