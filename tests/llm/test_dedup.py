@@ -111,5 +111,20 @@ def test_near_copies_of_odd_rows(spark):
     assert kept.filter("doc_id IS NULL").count() == 1
 
 
+def test_near_copies_of_one_id_on_several_texts(spark):
+    def text(name, changed=None):
+        return " ".join(f"{name}{k}" if k != changed else "other" for k in range(100))
+
+    rows = [(1, text("a")), (1, text("b")), (2, text("a", 50)), (3, text("b", 50)), (6, text("a", 20)), (6, text("d")),
+            (7, text("e")), (7, text("e", 30)), (8, text("f")), (8, text("g")), (8, text("g")), (9, text("g"))]
+    docs = documents(spark, rows)
+    found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect())
+    assert found == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (6, 1, False), (6, 6, True),
+                     (7, 7, False), (7, 7, True), (8, 8, True), (8, 8, True), (8, 8, True), (9, 8, False)]
+    stay = [(r["doc_id"], r["text"]) for r in drop_near_duplicates(docs).collect()]
+    assert sorted(t for i, t in stay if i != 7) == sorted(
+        text(n) for n in ("a", "b", "d", "f", "g", "g")) and sum(i == 7 for i, _ in stay) == 1
+
+
 def test_empty_table_has_no_near_copies(spark):
     assert near_duplicates(empty(spark)).count() == 0

@@ -18,8 +18,9 @@ similar pairs are missed less often. There is no cap on buckets, partners or can
 band and is not joined through others is compared in full.
 
 Null texts, empty texts and texts without words have no shingles, are linked with nothing and are kept. Documents
-without an id are linked with nothing, have a null component and are kept. Rows that share an id are one document.
-An empty table gives an empty result. Columns other than doc_id and text are not read by `near_duplicates`.
+without an id are linked with nothing, have a null component and are kept. Rows that share an id and a text are one
+document; other texts with the same id are documents of their own, linked, kept or dropped each by itself. A component
+is named by the smallest id of its documents, and of several texts with that id one stays. An empty table gives an empty result. Columns other than doc_id and text are not read by `near_duplicates`.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import setsketch
 from .bloom import once_plane, passes
@@ -61,11 +62,16 @@ def least_estimate(percent: int) -> float:
     return j - SLACK_SDS * sqrt(j * (1 - j) / setsketch.REGISTERS)
 
 
+def _seal() -> Column:
+    """Tells texts that share an id from each other."""
+    return F.xxhash64(text_of())
+
+
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """Per document: doc_id, n_shingles, key (of the set), bands, registers."""
+    """Per document: doc_id, seal (of the text), n_shingles, key (of the set), bands, registers."""
     ship(docs.sparkSession)
-    rows = docs.select("doc_id", text_of().alias("text"))
-    kinds = rows.select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(b"").alias("key"),
+    rows = docs.select("doc_id", text_of().alias("text"), _seal().alias("seal"))
+    kinds = rows.select("doc_id", "seal", F.lit(0).cast("long").alias("n_shingles"), F.lit(b"").alias("key"),
                         F.lit(None).cast("array<bigint>").alias("bands"),
                         F.lit(None).cast("binary").alias("registers")).schema
 
@@ -80,7 +86,7 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 bands.append(setsketch.band_keys(sketch) if len(hashes) else None)
                 registers.append(sketch.tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n_shingles": pa.array(n, pa.int64()),
+                "doc_id": batch.column("doc_id"), "seal": batch.column("seal"), "n_shingles": pa.array(n, pa.int64()),
                 "key": pa.array(keys, pa.binary()), "bands": pa.array(bands, pa.list_(pa.int64())),
                 "registers": pa.array(registers, pa.binary())})
 
@@ -106,41 +112,41 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, kinds)
 
 
-def _shingles_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(id, key, shingles) of the wanted (id, key). Other documents' texts do not reach the shuffle."""
+def _shingles_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(id, shingles) of the classes with these ids. Other documents' texts do not reach the shuffle."""
+    wanted = classes.select("id", "key", "doc_id", "seal").join(ids, "id").transform(stored)
     plane = docs.sparkSession.sparkContext.broadcast(
-        once_plane(wanted.select(F.xxhash64("id").alias("_hash")), wanted.count()))
-    rows = docs.select(F.col("doc_id").alias("id"), text_of().alias("text"), F.xxhash64("doc_id").alias("_hash"))
+        once_plane(wanted.select(F.xxhash64("doc_id", "seal").alias("_hash")), wanted.count()))
+    rows = (docs.select("doc_id", text_of().alias("text"), _seal().alias("seal"))
+            .withColumn("_hash", F.xxhash64("doc_id", "seal")))
 
     def sift(batches):
         for batch in batches:
             keep = passes(plane.value, batch.column("_hash").to_numpy())
-            yield batch.select(["id", "text"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["doc_id", "text", "seal"]).filter(pa.array(keep, pa.bool_()))
 
-    texts = rows.mapInArrow(sift, rows.drop("_hash").schema).join(wanted, "id")
-    kinds = texts.select("id", "key", F.lit(b"").alias("shingles")).schema
+    texts = rows.mapInArrow(sift, rows.drop("_hash").schema).join(wanted, ["doc_id", "seal"])
+    kinds = texts.select("id", F.lit(b"").alias("shingles")).schema
 
     def run(batches):
         for batch in batches:
-            ids, keys, sets = [], [], []
+            ids, sets = [], []
             for i, key, text in zip(*(batch.column(c).to_pylist() for c in ("id", "key", "text")), strict=True):
                 hashes = shingle_set(text, shingle)
-                if set_key(hashes) == key:  # a repeated id may have other texts
+                if set_key(hashes) == key:  # seals of unlike texts may be alike
                     ids.append(i)
-                    keys.append(key)
                     sets.append(hashes.tobytes())
             yield pa.RecordBatch.from_pydict({
-                "id": pa.array(ids, batch.column("id").type), "key": pa.array(keys, pa.binary()),
-                "shingles": pa.array(sets, pa.binary())})
+                "id": pa.array(ids, batch.column("id").type), "shingles": pa.array(sets, pa.binary())})
 
-    return texts.select("id", "key", "text").mapInArrow(run, kinds)
+    # Rows that repeat both id and text give the same set.
+    return texts.select("id", "key", "text").mapInArrow(run, kinds).dropDuplicates(["id"]).transform(stored)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = classes.select("id", "key").join(ids, "id").transform(stored)
-    sets = _shingles_of(docs, wanted, shingle).select("id", "shingles").dropDuplicates(["id"]).transform(stored)
+    sets = _shingles_of(docs, classes, ids, shingle)
     joined = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
               .select("a", "b", "sa", "sb"))
@@ -267,31 +273,41 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     members = members.join(split, "bucket").transform(stored)
     if members.isEmpty():
         return labels
-    wanted = classes.select("id", "key").join(members.select("id").distinct(), "id").transform(stored)
-    sets = _shingles_of(docs, wanted, shingle).select("id", "shingles").dropDuplicates(["id"]).transform(stored)
+    sets = _shingles_of(docs, classes, members.select("id").distinct(), shingle)
     more = _in_blocks(members, sets, percent).transform(stored)
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id that can be reached), kept."""
+def _judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The rows of `near_duplicates`, with the seals of their texts."""
     sketched = sketches(docs, shingle).transform(stored)
     linkable = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    # A class has a number of its own, as an id may have several texts; it holds for the stored table.
     classes = (linkable.groupBy("key")
-               .agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "bands", "registers")).alias("c"))
-               .select("key", F.col("c.doc_id").alias("id"), "c.n", "c.bands", "c.registers").transform(stored))
-    labels = _links(docs, classes, shingle, percent)
-    known = (classes.select("key", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-             .select("key", F.coalesce("component", "id").alias("component_id")).transform(stored))
-    rows = sketched.select("doc_id", "n_shingles",
+               .agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "bands", "registers", "seal")).alias("c"))
+               .select("key", F.monotonically_increasing_id().alias("id"), "c.*").transform(stored))
+    labels = _links(docs, classes, shingle, percent).withColumnRenamed("node", "id")
+    linked = classes.select("id", "key", "doc_id").join(labels, "id").transform(stored)
+    first = linked.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("first")).transform(stored)
+    known = (linked.join(first, "component")
+             .select("key", F.col("first.doc_id").alias("component_id"), (F.col("key") == F.col("first.key")).alias("leads")))
+    known = (classes.select("key", "doc_id").join(known, "key", "left")
+             .select("key", F.coalesce("component_id", "doc_id").alias("component_id"),
+                     F.coalesce("leads", F.lit(True)).alias("leads")).transform(stored))
+    rows = sketched.select("doc_id", "seal", "n_shingles",
                            F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
     found = rows.join(known, "key", "left")
     component = F.coalesce("component_id", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return found.select("doc_id", "seal", "n_shingles", component.alias("component_id"),
+                        F.coalesce((F.col("doc_id") == component) & F.col("leads"), F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (smallest doc_id that can be reached), kept."""
+    return _judged(docs, shingle, percent).drop("seal")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents that stay, one of each component, with all their columns."""
-    gone = near_duplicates(docs, shingle, percent).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = _judged(docs, shingle, percent).filter("NOT kept").select("doc_id", F.col("seal").alias("_seal")).distinct()
+    return docs.withColumn("_seal", _seal()).join(gone, ["doc_id", "_seal"], "left_anti").select(*docs.columns)
