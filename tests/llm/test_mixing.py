@@ -67,6 +67,22 @@ def test_empty_table_and_texts_without_words(spark):
     assert mix(blank).count() == 0
 
 
+def test_the_part_of_a_document_keeps_its_layout(spark):
+    text = " \n" + "".join(f"w{k}\t\n\n  " for k in range(50))
+    rows = [(k, text) for k in range(1, 9)]
+    docs = documents(spark, rows)
+    plan = plan_mix(docs).collect()
+    found = [(r["doc_id"], r["text"]) for r in mix(docs).collect()]
+    expected, cuts = [], 0
+    for r in plan:
+        expected += [(r["doc_id"], text)] * (r["repeats"] + (0 < r["extra"] == r["size"]))
+        if 0 < r["extra"] < r["size"]:
+            word = f"w{r['extra'] - 1}\t" if r["doc_id"] != 11 else "a "
+            expected.append((r["doc_id"], text[:text.index(word) + len(word) - 1]))
+            cuts += 1
+    assert cuts and sorted(found) == sorted(expected)
+
+
 def test_no_python_in_the_plan(spark):
     for frame in (plan_mix(documents(spark)), mix(documents(spark))):
         text = frame._jdf.queryExecution().executedPlan().toString()

@@ -21,7 +21,7 @@ from math import lcm
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .words import text_of, word_count, word_list
+from .words import BLANKS, text_of, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -75,8 +75,8 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
         seed: str = SEED) -> DataFrame:
     """The mixed documents with the columns they came with: each row as often as its source is read in whole, once
-    more if the sample holds it, and the first words, joined by one blank, of the document taken in part. Rows from
-    which no words are taken are left out, and so are texts without words."""
+    more if the sample holds it, and of the document taken in part the beginning as it stands, up to the last word
+    taken. Rows from which no words are taken are left out, and so are texts without words."""
     names = docs.columns
     rows = _sized(docs, F.struct(*names).alias("_row"))
     placed = _placed(rows, _sized(docs).checkpoint(), weights, max_epochs, seed).filter("taken > 0")
@@ -84,11 +84,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
     copies = (F.col("repeats") + F.when(F.col("extra") > 0, 1).otherwise(0)).cast("int")
     copied = placed.select("_row", "extra", cut.alias("_cut"), "repeats",
                            F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))
-    first_words = F.array_join(F.slice(word_list(text_of("_row.text")), 1, F.col("extra").cast("int")), " ")
-    text = F.when(F.col("_cut") & (F.col("_copy") > F.col("repeats")), first_words).otherwise(F.col("_row.text"))
+    text = F.when(F.col("_cut") & (F.col("_copy") > F.col("repeats")), _beginning(text_of("_row.text"), F.col("extra"))).otherwise(F.col("_row.text"))
     return copied.select(*[text.alias(c) if c == "text" else F.col("_row").getField(c).alias(c) for c in names])
 
 
+def _beginning(text: Column, words: Column) -> Column:
+    """The text up to the end of that many words, fewer than it has."""
+    leading = F.when(text.rlike("^" + BLANKS), 1).otherwise(0)  # the split begins with an empty part
+    rest = F.element_at(F.split(text, BLANKS, (words + 1 + leading).cast("int")), -1)
+    return F.rtrim(F.substring(text, F.lit(1), F.length(text) - F.length(rest)), F.lit(" \t\n\x0b\f\r"))
+
+
 def _sized(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select("doc_id", F.col("source").cast("string").alias("source"),
                        word_count(text_of()).alias("size"), *more)
