@@ -31,3 +31,17 @@ def documents(spark, texts=TEXTS):
 
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+VECTORS = T.StructType([
+    T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
+    T.StructField("label", T.IntegerType()),
+    *[T.StructField(name, T.StringType()) for name in
+      ("id", "x", "a", "b", "n", "own", "low", "code", "error", "of", "key", "block", "home", "unit", "weight", "node",
+       "component", "links")],
+])
+
+
+def vectors(spark, rows):
+    """Embeddings for rows of (vec_id, vector, label), with columns named as operators name theirs."""
+    return spark.createDataFrame([(i, v, k, *[None] * (len(VECTORS) - 3)) for i, v, k in rows], VECTORS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .compression import ENTRIES, PARTS, SCALE
 from .mixing import MAX_EPOCHS, SEED, WEIGHTS
 from .quality import STOP_FORMS, SYMBOLS, THRESHOLDS
 from .url_filter import RULES, TWO_PART_SUFFIXES, Reputation
@@ -130,9 +131,38 @@ SELECT doc_id, size, source_size, target,
   (repeats * size + greatest(0, least(size, room)))::BIGINT AS taken FROM placed"""
 
 
+def _op13() -> str:
+    """Codebooks after two rounds, each round as a join of all parts with all entries."""
+    def assigned(n: int) -> str:
+        return f"""a{n} AS (SELECT r, p, any_value(x) AS x, arg_min(k, d * {ENTRIES} + k) AS k, min(d) AS d FROM (
+  SELECT r, p, x, k, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM parts JOIN c{n} USING (p)) GROUP BY r, p)"""
+
+    def moved(n: int) -> str:
+        return f"""c{n + 1} AS (SELECT p, k, coalesce(m, c) AS c FROM c{n} LEFT JOIN (
+  SELECT p, k, list(m ORDER BY i) AS m FROM (
+    SELECT p, k, i, CAST(floor(CAST(sum(x[i]) AS DOUBLE) / count(*)) AS BIGINT) AS m
+    FROM a{n}, (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM parts))) AS i) GROUP BY p, k, i) GROUP BY p, k) USING (p, k))"""
+
+    return f"""
+WITH whole AS (
+  SELECT row_number() OVER (ORDER BY vec_id, v) AS r, * FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+parts AS (SELECT r, p, v[p * (len(v) // {PARTS}) + 1 : (p + 1) * (len(v) // {PARTS})] AS x
+          FROM whole, (SELECT unnest(range({PARTS})) AS p)),
+c0 AS (SELECT p, r - 1 AS k, x AS c FROM parts WHERE r <= {ENTRIES}),
+{assigned(0)}, {moved(0)}, {assigned(1)}, {moved(1)}, {assigned(2)},
+coded AS (SELECT r, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) FROM c2) AS codebooks_sha256
+FROM whole JOIN coded USING (r)"""
+
+
 ORACLES = {
     "op4_url_filter": _op4(),
     "op5_quality_rules": _op5(),
     "op7_exact_dedup": _OP7,
     "op10_source_mixing": _op10(),
+    "op13_vector_codes": _op13(),
 }

@@ -6,6 +6,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .compression import vector_codes
 from .exact_dedup import duplicate_groups
 from .html_text import extract_text
 from .mixing import plan_mix
@@ -99,3 +100,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
