@@ -6,6 +6,7 @@ from .compression import ENTRIES, PARTS, SCALE
 from .mixing import MAX_EPOCHS, SEED, WEIGHTS
 from .quality import STOP_FORMS, SYMBOLS, THRESHOLDS
 from .url_filter import RULES, TWO_PART_SUFFIXES, Reputation
+from .vector_dedup import COSINE
 from .words import BLANKS, LOWER, UPPER, WORD
 
 
@@ -159,10 +160,24 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM whole JOIN coded USING (r)"""
 
 
+_OP12 = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+  ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= {COSINE}),
+reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+named AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM named"""
+
+
 ORACLES = {
     "op4_url_filter": _op4(),
     "op5_quality_rules": _op5(),
     "op7_exact_dedup": _OP7,
     "op10_source_mixing": _op10(),
+    "op12_embedding_dedup": _OP12,
     "op13_vector_codes": _op13(),
 }

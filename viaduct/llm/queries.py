@@ -17,6 +17,7 @@ from .quality import judge_quality
 from .token_counts import count_tokens
 from .toxicity import fit, score_toxicity
 from .url_filter import judge_urls
+from .vector_dedup import linked_vectors
 
 QUERIES = {}
 
@@ -102,6 +103,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"))
