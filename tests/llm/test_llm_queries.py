@@ -23,6 +23,7 @@ COLUMNS = {
     "op8_near_dedup": {"doc_id", "n_shingles", "component_id", "kept"},
     "op9_sentencepiece": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
     "op10_source_mixing": {"doc_id", "size", "source_size", "target", "taken"},
+    "op11_spelling_variants": {"word", "form", "root", "n", "n_near", "form_n"},
     "op12_embedding_dedup": {"vec_id", "n_links", "component_id", "kept"},
     "op13_vector_codes": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
 }

@@ -14,6 +14,7 @@ from .near_dedup import near_duplicates
 from .pieces import encode_digests
 from .pii import find_personal_data
 from .quality import judge_quality
+from .spelling import spelling_variants, word_counts
 from .token_counts import count_tokens
 from .toxicity import fit, score_toxicity
 from .url_filter import judge_urls
@@ -103,6 +104,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(table(spark, sf_dir, "documents"), shorten_every=199))
+
+
 @query
 def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_vectors(table(spark, sf_dir, "embeddings"))

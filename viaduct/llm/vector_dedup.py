@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .cover_tree import RADII, SLACK, CoverTree, Traversal, depth_first, distance, levels_of
+from .grouping import groups_of
 from .shipping import ship
 from .stored import forget, stored
 from .vectors import usable, vector_of
@@ -153,24 +154,6 @@ def plan(stats: list[tuple[int, int, int, float]], centres: dict[int, np.ndarray
     return Plan(homes, meets, (pairs + base) // 2)
 
 
-def _groups(batches, keys: list[str]):
-    """Tables of the rows with the same keys, of sorted batches."""
-    held, current = [], None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = np.stack([batch.column(c).to_numpy() for c in keys], axis=1)
-        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
-        for start, end in zip([0, *cuts], [*cuts, len(values)], strict=True):
-            if held and (values[start] != current).any():
-                yield pa.Table.from_batches(held)
-                held = []
-            current = values[start]
-            held.append(batch.slice(start, end - start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _indexed(placed: DataFrame, partitions: int) -> DataFrame:
     """(block, base, at, level, parent, node, weight, vector): every block's tree, in depth-first order."""
     rows = placed.repartition(partitions, "block").sortWithinPartitions("block", "node")
@@ -178,7 +161,7 @@ def _indexed(placed: DataFrame, partitions: int) -> DataFrame:
                           "node", "weight", "vector").schema
 
     def run(batches):
-        for block in _groups(batches, ["block"]):
+        for block in groups_of(batches, ["block"]):
             level, parent = levels_of(_unit(block.column("vector").to_pylist()))
             order = depth_first(level, parent)
             place = np.argsort(order)
@@ -207,7 +190,7 @@ def _met(index: DataFrame, meets: DataFrame, partitions: int, cosine: float) ->
     kinds = rows.select("node", F.lit(0).cast("long").alias("gain"), F.lit(0).cast("long").alias("root")).schema
 
     def run(batches):
-        for rows in _groups(batches, ["i", "j"]):
+        for rows in groups_of(batches, ["i", "j"]):
             node = rows.column("node").to_numpy()
             mine = rows.column("block").to_numpy() == rows.column("i")[0].as_py()
             one = _tree(rows.filter(pa.array(mine)))
