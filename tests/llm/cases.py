@@ -8,7 +8,8 @@ SCHEMA = T.StructType([
     T.StructField("n_chars", T.LongType()),
     # Extra columns with names that operators use inside.
     *[T.StructField(name, T.StringType()) for name in
-      ("id", "key", "n", "a", "b", "_hash", "_row", "_doc", "_again", "size", "target", "bucket", "score", "kept")],
+      ("id", "key", "n", "a", "b", "_hash", "_row", "_doc", "_again", "size", "target", "bucket", "score", "kept",
+       "_seal", "seal", "row", "stays", "_digest", "toxic", "_order", "word", "_key", "_bin", "_ticket", "of", "form")],
 ])
 
 LONG = " ".join(f"w{i % 997}x{i % 89}" for i in range(30_000))

@@ -101,3 +101,7 @@ def test_rows(spark, model):
 def test_long_texts_take_time_in_proportion(model):
     for text in ("x" * 300_000 + "1", "1" * 200_000, "a@" * 50_000, "+1" + " " * 100_000, "1.1.1." * 20_000):
         pii.find_spans([text], *model)
+
+
+def test_shape_reads_the_whole_word():
+    assert pii.shape("a" * 50 + "1") != pii.shape("a" * 50 + "-") and pii.shape("ab-" * 30 + "1") != pii.shape("ab-" * 30 + "2x")

@@ -1,10 +1,11 @@
 import hashlib
+import json
 import random
 
 import pytest
 from cases import TEXTS, documents, empty
 
-from viaduct.llm.merging import Remembered, merge, merge_short
+from viaduct.llm.merging import Remembered, merge, merge_short, portions
 from viaduct.llm.pieces import PieceTable, encode, encode_digests
 from viaduct.llm.queries import vocabulary
 from viaduct.llm.token_counts import ByteCounter, count_tokens
@@ -45,9 +46,35 @@ def test_heap_merges_as_repeated_search_does():
 
 
 def test_remembered_is_bounded():
-    held = Remembered(len, room=10)
-    assert [held["x" * (i % 30)] for i in range(200)] == [i % 30 for i in range(200)]
-    assert len(held) <= 10 and held["y" * 100] == 100 and "y" * 100 not in held
+    made = []
+    held, other = (Remembered(lambda key: made.append(key) or len(key), most_bytes=5000) for _ in range(2))
+    for i in range(200):
+        assert held["x" * (i % 30)] == i % 30
+        held.trim()
+        assert held.bytes <= 5000
+    made.clear()
+    assert [held["y" * 2000], held["y" * 2000], other["z"]] == [2000, 2000, 1] and made == ["y" * 2000, "z"]
+    Remembered.only(held)
+    assert len(held) and not len(other)
+
+
+def test_portions_hold_all_texts_in_turn():
+    texts = ["", "x" * 3_000_000, "", "y" * 2_000_000, "z" * 9_000_000, "a", ""]
+    assert sum(portions(texts), []) == texts and list(portions([])) == []
+    assert all(len(part) == 1 or sum(map(len, part)) <= 4 << 20 for part in portions(texts))
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}},
+    {"added_tokens": [{"id": 0, "content": "<x>", "lstrip": True}]},
+])
+def test_other_vocabularies_are_refused(tmp_path, change):
+    with open(vocabulary(BYTES)) as file:
+        described = json.load(file)
+    (tmp_path / "other.json").write_text(json.dumps({**described, **change}))
+    with pytest.raises(ValueError, match="byte-level"):
+        ByteCounter(str(tmp_path / "other.json"))
 
 
 def test_counts_are_those_of_the_library():

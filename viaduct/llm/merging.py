@@ -10,6 +10,8 @@ A pair table maps `left << 16 | right` to `rank << 16 | merged`, with symbols be
 from __future__ import annotations
 
 from heapq import heapify, heappop, heappush
+from sys import getsizeof
+from weakref import ref
 
 NO_SYMBOL = 0xFFFF  # stands for characters that are in no vocabulary; it is in no pair
 _PLACE = (1 << 32) - 1
@@ -83,24 +85,58 @@ def merge_short(symbols: list[int], pairs: dict[int, int]) -> list[int]:
 
 
 class Remembered(dict):
-    """What `compute` gives for short keys, kept until `room` keys are held and then begun anew.
+    """What `compute` gives for each key, until `trim` finds more than `most_bytes` held and begins anew.
 
-    Only saves time: results do not depend on what is held.
+    Between two calls of `trim` every distinct key is computed once, whatever its length. Results do not depend on what
+    is held.
     """
 
-    LONGEST = 64
+    ENTRY = 110  # bytes of a dictionary entry, besides key and value
+    _live: list[ref] = []
 
-    def __init__(self, compute, room: int = 600_000):
+    def __init__(self, compute, most_bytes: int = 96 << 20):
         super().__init__()
-        self.compute, self.room = compute, room
+        self.compute, self.most_bytes, self.bytes = compute, most_bytes, 0
+        Remembered._live.append(ref(self))
 
     def __missing__(self, key):
         value = self.compute(key)
-        if len(key) <= self.LONGEST:
-            self[key] = value
+        self.hold(key, value)
         return value
 
-    def __setitem__(self, key, value):
-        if len(self) >= self.room:
-            self.clear()
-        super().__setitem__(key, value)
+    def hold(self, key, value) -> None:
+        if key not in self:
+            self.bytes += getsizeof(key) + getsizeof(value) + self.ENTRY
+        self[key] = value
+
+    def trim(self) -> None:
+        if self.bytes > self.most_bytes:
+            self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.bytes = 0
+
+    @classmethod
+    def only(cls, *tables: Remembered) -> None:
+        """Empties all other tables of this process: worker processes live on from one operator to the next."""
+        live = [(one, one()) for one in cls._live]
+        cls._live = [one for one, table in live if table is not None]
+        for _, table in live:
+            if table is not None and not any(table is kept for kept in tables):
+                table.forget()
+
+
+PORTION_BYTES = 4 << 20
+
+
+def portions(texts: list[str]):
+    """The texts in turn, in lists of some PORTION_BYTES, or of one text that is longer."""
+    start = held = 0
+    for at, text in enumerate(texts):
+        if held and held + len(text) > PORTION_BYTES:
+            yield texts[start:at]
+            start, held = at, 0
+        held += len(text)
+    if start < len(texts):
+        yield texts[start:]

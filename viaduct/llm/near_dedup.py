@@ -20,7 +20,9 @@ band and is not joined through others is compared in full.
 Null texts, empty texts and texts without words have no shingles, are linked with nothing and are kept. Documents
 without an id are linked with nothing, have a null component and are kept. Rows that share an id and a text are one
 document; other texts with the same id are documents of their own, linked, kept or dropped each by itself. A component
-is named by the smallest id of its documents, and of several texts with that id one stays. An empty table gives an empty result. Columns other than doc_id and text are not read by `near_duplicates`.
+is named by the smallest id of its documents; `kept` tells the documents with that id, and where it has several texts
+`drop_near_duplicates` lets one of them stay. An empty table gives an empty result. Columns other than doc_id and text
+are not read by `near_duplicates`.
 """
 
 from __future__ import annotations
@@ -279,7 +281,7 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
 
 
 def _judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The rows of `near_duplicates`, with the seals of their texts."""
+    """The rows of `near_duplicates`, with the seals of their texts and `stays`: kept, but for one text of each id only."""
     sketched = sketches(docs, shingle).transform(stored)
     linkable = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     # A class has a number of its own, as an id may have several texts; it holds for the stored table.
@@ -298,16 +300,19 @@ def _judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                            F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
     found = rows.join(known, "key", "left")
     component = F.coalesce("component_id", "doc_id")
+    kept = F.col("doc_id") == component
     return found.select("doc_id", "seal", "n_shingles", component.alias("component_id"),
-                        F.coalesce((F.col("doc_id") == component) & F.col("leads"), F.lit(True)).alias("kept"))
+                        F.coalesce(kept, F.lit(True)).alias("kept"),
+                        F.coalesce(kept & F.col("leads"), F.lit(True)).alias("stays"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id that can be reached), kept."""
-    return _judged(docs, shingle, percent).drop("seal")
+    return _judged(docs, shingle, percent).drop("seal", "stays")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents that stay, one of each component, with all their columns."""
-    gone = _judged(docs, shingle, percent).filter("NOT kept").select("doc_id", F.col("seal").alias("_seal")).distinct()
-    return docs.withColumn("_seal", _seal()).join(gone, ["doc_id", "_seal"], "left_anti").select(*docs.columns)
+    gone = _judged(docs, shingle, percent).filter("NOT stays").select("doc_id", "seal").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", _seal().alias("seal"))
+    return rows.join(gone, ["doc_id", "seal"], "left_anti").select("row.*")

@@ -2,8 +2,10 @@
 
 In vocabularies where no piece holds a whitespace marker after another character, no merge can cross from one word to
 the next marker. The marked text then falls into chunks, a run of markers with the word after it, which are
-segmented on their own. Each distinct chunk of a batch is segmented once, unless the worker's table already holds it;
-the texts are put together again from the table by position, and decoded the same way.
+segmented on their own. A batch of texts is taken in portions of a few megabytes; each distinct chunk of a portion,
+however long, is segmented once, unless the worker's table still holds it from an earlier portion, and the texts are
+put together again from the table by position, and decoded the same way. Tables begin anew between portions once they
+hold more than their share of memory, and at once when the worker turns to another operator.
 
 Segmenting is byte-pair merging by score (`merging`) from single characters; characters that are in no piece
 become their UTF-8 bytes' pieces. Identifiers and decoded text are those of the `sentencepiece` library for the same
@@ -24,7 +26,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .merging import NO_SYMBOL, Remembered, merge, merge_short
+from .merging import NO_SYMBOL, Remembered, merge, merge_short, portions
 from .shipping import ship
 from .words import text_of
 
@@ -35,6 +37,7 @@ _BYTE = re.compile("<0x([0-9A-F]{2})>").fullmatch
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
+TABLE_BYTES = 240 << 20  # of a worker's two tables
 SHORT = 32  # symbols up to which searching the list beats keeping a heap
 
 
@@ -96,8 +99,7 @@ class PieceTable:
 
     def _written(self, chunk: str) -> str:
         ids = self._segment(chunk)
-        if len(chunk) <= Remembered.LONGEST:
-            self.texts[chunk] = self.surface(ids)  # both tables hold the chunk from here on
+        self.texts.hold(chunk, self.surface(ids))  # both tables hold the chunk from here on
         return ",".join(map(str, ids))
 
     def surface(self, ids) -> str:
@@ -130,6 +132,12 @@ class PieceTable:
         """What the ids of these chunks decode to. No character spans chunks, so that they decode on their own."""
         return "".join(map(self.texts.__getitem__, chunks)).removeprefix(" ")
 
+    def trim(self) -> None:
+        """Lets the tables go together, as one fills the other."""
+        if self.written.bytes + self.texts.bytes > TABLE_BYTES:
+            self.written.forget()
+            self.texts.forget()
+
     def encode(self, text: str) -> list[int]:
         written = self.ids(self.chunks(text))
         return list(map(int, written.split(","))) if written else []
@@ -154,9 +162,14 @@ def _mapped(docs: DataFrame, path: str, kinds: str, columns) -> DataFrame:
 
     def run(batches):
         table = piece_table(path)
+        Remembered.only(table.written, table.texts)
         for batch in batches:
-            found = columns(table, batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **found})
+            at = 0
+            for texts in portions(batch.column("text").to_pylist()):
+                found = columns(table, texts)
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(at, len(texts)), **found})
+                at += len(texts)
+                table.trim()
 
     return rows.mapInArrow(run, schema)
 

@@ -98,7 +98,7 @@ def sequences(text: str) -> list[list[tuple[int, int]]]:
 
 def shape(word: str) -> str:
     """The word with letters as x or X and digits as 0; runs of letters count once."""
-    plain = re.sub(r"[0-9]", "0", word[:40])
+    plain = re.sub(r"[0-9]", "0", word)
     return re.sub(r"X+", "X", re.sub(r"x+", "x", re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", plain)))
 
 

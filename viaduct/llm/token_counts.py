@@ -18,7 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .merging import Remembered, merge
+from .merging import Remembered, merge, portions
 from .shipping import ship
 from .words import text_of
 
@@ -50,6 +50,20 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _refuse_others(described: dict) -> None:
+    """Only what is counted below is read: byte-level pre-tokenising by the usual pattern, no normaliser, plain
+    byte-pair merging, and special strings that are cut out wherever they stand."""
+    before, model = described.get("pre_tokenizer") or {}, described["model"]
+    usual = (before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+             and described.get("normalizer") is None and model.get("type") == "BPE"
+             and not any(model.get(name) for name in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                      "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+             and not any(token.get(name) for token in described.get("added_tokens", ())
+                         for name in ("single_word", "lstrip", "rstrip", "normalized")))
+    if not usual:
+        raise ValueError("a byte-level byte-pair vocabulary without normaliser is needed")
+
+
 class ByteCounter:
     """Counts for one vocabulary file."""
 
@@ -58,6 +72,7 @@ class ByteCounter:
 
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
+        _refuse_others(described)
         model = described["model"]
         vocabulary = model["vocab"]
         if max(vocabulary.values()) >= 0xFFFF:
@@ -113,12 +128,15 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     kinds = rows.select("doc_id", *[F.lit(0).cast("long").alias(name) for name in ("n_bytes", "n_tokens")]).schema
 
     def run(batches):
-        count = counter(path).count
+        table = counter(path)
+        Remembered.only(table.counts)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "n_bytes": pa.array([len(text.encode()) for text in texts], pa.int64()),
-                "n_tokens": pa.array([count(text) for text in texts], pa.int64())})
+            n_bytes, n_tokens = [], []
+            for texts in portions(batch.column("text").to_pylist()):
+                n_bytes += [len(text.encode()) for text in texts]
+                n_tokens += map(table.count, texts)
+                table.counts.trim()
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_bytes": pa.array(n_bytes, pa.int64()),
+                                              "n_tokens": pa.array(n_tokens, pa.int64())})
 
     return rows.mapInArrow(run, kinds).withColumn("over_limit", F.col("n_tokens") > limit)

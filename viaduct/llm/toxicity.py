@@ -1,20 +1,20 @@
 """Toxicity by the nearest labelled examples.
 
 Texts become TF-IDF vectors over a vocabulary of terms that go with the label: whole words, and beginnings of words,
-which stand for the compounds of a stem. A term enters by how densely a text uses it, in steps of a factor of four, so
+which stand for the compounds of a stem. A term enters by how densely a text uses it, in steps of a factor of two, so
 that each step is a term of its own with its own inverse document frequency. Scores are found in three parts:
 
 * `fit` draws at most MOST_EXAMPLES labelled rows by the hash of their ids, chooses the vocabulary by how far the
   terms' label counts depart from chance, counts document frequencies over all documents of the corpus, and builds an
   inverted index of the examples whose lists are cut into blocks with the largest weight of each (`BlockMaxIndex`).
 * Scoring finds the NEIGHBOURS examples of largest cosine exactly: lists are read in order of their largest possible
-  contribution, blocks that cannot lift an example above the worst neighbour are skipped, and examples that are left
+  contribution, blocks that cannot lift an example above the worst neighbour are not read, and examples that are left
   are scored in full. Votes are weighted by a power of the similarity, with a share of the vote for the base rate.
 * The vote becomes a probability by isotonic regression on the examples, each scored without itself.
 
 A document without any term of the vocabulary, such as an empty one, has the base rate of the examples without terms.
 The label is the only label that is read; language, source and id are no inputs. Rows whose label is null teach
-nothing. Without examples of both labels every score is the base rate (0 without any labelled row).
+nothing; an id with conflicting labels counts as toxic. Without examples of both labels every score is the base rate (0 without any labelled row).
 
 Null texts count as empty. Whole texts are read. Repeated rows are scored alike; ties of similarity go to the example
 that comes first by hash. An empty table gives an empty result. Columns other than doc_id, text (and the label table's
@@ -30,24 +30,25 @@ from math import floor, log, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .merging import Remembered
 from .shipping import ship
 from .words import text_of
 
-MOST_EXAMPLES = 8_000    # labelled rows that are learned from
+MOST_EXAMPLES = 20_000   # labelled rows that are learned from
 MOST_TERMS = 4_096       # words and stems in the vocabulary
 LEAST_ROWS = 4           # labelled rows with a term
 LEAST_DEPARTURE = 5.0    # standard deviations that a term's positive count exceeds chance
 STEMS = (4, 5, 6, 7)     # letters of a word's beginning that are terms
-STEPS = 4                # steps of density, by a factor of four: below 1 in 256 words, from there, 1 in 64, 1 in 16
+STEPS = 8                # steps of density, from 1 in 2 ** (STEPS + 2) words on, by a factor of two
 NEIGHBOURS = 25
 POWER = 4                # of the similarity, as the weight of a vote
 BASE_VOTES = 1.0         # votes for the base rate
 BLOCK = 64
 THRESHOLD = 0.3
 EVIDENCE = 5
+PORTION_ROWS = 512
 
 _words = re.compile(r"\w+").findall
 
@@ -58,8 +59,8 @@ def word_terms(word: str) -> tuple[str, ...]:
 
 
 def density_steps(count: int, words: int) -> int:
-    """How many of the steps a term's share of the words reaches; at least one."""
-    return max(1, min(STEPS, floor(log2(count / words) / 2) + STEPS + 2))
+    """How many of the steps 2 ** -(STEPS + 2), ..., 2 ** -3 a term's share of the words reaches; at least one."""
+    return max(1, min(STEPS, floor(log2(count / words)) + STEPS + 3))
 
 
 class Vectorizer:
@@ -73,6 +74,7 @@ class Vectorizer:
         return tuple([self.place[t] for t in word_terms(word) if t in self.place])
 
     def steps(self, text: str) -> list[int]:
+        self.known.trim()
         words = _words(text.lower())
         counts: Counter = Counter()
         for terms in map(self.known.__getitem__, words):
@@ -91,43 +93,55 @@ class BlockMaxIndex:
         for example, vector in enumerate(vectors):
             for term, weight in vector.items():
                 lists.setdefault(term, []).append((example, weight))
+        # Blocks are rows of BLOCK postings; what fills the last one up is an example that does not exist.
         self.lists = {}
         for term, postings in lists.items():
-            ids = np.array([i for i, _ in postings], np.int32)
-            weights = np.array([w for _, w in postings])
-            tops = np.array([weights[at:at + BLOCK].max() for at in range(0, len(weights), BLOCK)])
-            self.lists[term] = ids, weights, tops
+            blocks = -(-len(postings) // BLOCK)
+            ids = np.full(blocks * BLOCK, len(vectors), np.int32)
+            weights = np.zeros(blocks * BLOCK)
+            ids[:len(postings)], weights[:len(postings)] = zip(*postings, strict=True)
+            ids, weights = ids.reshape(blocks, BLOCK), weights.reshape(blocks, BLOCK)
+            last = np.where(ids < len(vectors), ids, -1).max(axis=1)
+            self.lists[term] = ids, weights, weights.max(axis=1), ids[:, 0], last
+        self.read = 0  # blocks, for tests
 
     def nearest(self, vector: dict[int, float], count: int, without: int = -1) -> list[tuple[int, float]]:
         """The `count` examples of largest cosine above 0, ties by place; `without` is left out.
 
         Lists come in order of their largest contribution. Once the rest of the lists together could not lift an
-        unseen example above the worst of the `count` best partial sums, no new examples are admitted; and of a list
-        only blocks are read that hold an admitted example or could still admit one.
+        unseen example above the worst of the `count` best partial sums, a block is read only if it could still admit
+        an example or if an example between its first and its last has been admitted; other blocks are not touched.
         """
         lists = sorted(((weight * self.lists[term][2].max(), weight, term) for term, weight in vector.items()
                         if term in self.lists), reverse=True)
         if not lists:
             return []
         rest = np.append(np.cumsum([top for top, _, _ in lists][::-1])[::-1], 0.0)
-        sums = np.zeros(len(self.vectors))
+        sums = np.zeros(len(self.vectors) + 1)
         worst = most = 0.0
+        admitted = None  # places of admitted examples, counted up, once blocks are left out
         for place, (_, weight, term) in enumerate(lists):
-            ids, weights, tops = self.lists[term]
+            ids, weights, tops, first, last = self.lists[term]
             # A block matters to an example outside the sums if its top and all later lists reach the worst.
             able = weight * tops + rest[place + 1] >= worst - 1e-9
-            if able.all():
-                sums[ids] += weight * weights
-            else:
-                blocks = np.arange(len(ids)) // BLOCK
-                read = able[blocks] | (sums[ids] > 0)
-                sums[ids[read]] += weight * weights[read]
+            if not able.all():
+                if admitted is None:
+                    admitted = np.append(0, np.cumsum(sums[:-1] > 0))
+                able |= admitted[last + 1] > admitted[first]
+                ids, weights = ids[able], weights[able]
+            self.read += len(ids)
+            if not len(ids):
+                continue
+            sums[ids] += weight * weights
+            sums[-1] = 0.0
             # The worst matters once the later lists together reach no further than the best sum so far.
             most = max(most, sums[ids].max())
             if rest[place + 1] <= most:
                 held = sums[sums > 0]
                 if len(held) > count:
                     worst = np.partition(held, -count - 1)[-count - 1]
+                admitted = None
+        sums = sums[:-1]
         if without >= 0:
             sums[without] = 0.0
         order = np.flatnonzero(sums > 0)
@@ -153,7 +167,7 @@ class Model:
     def __post_init__(self):
         self.vectorizer = Vectorizer(self.terms)
         self.index = BlockMaxIndex(self.vectors)
-        self.found = Remembered(self._score_of)
+        self.found = Remembered(self._score_of, 32 << 20)
 
     def __reduce__(self):
         return Model, (self.terms, self.weights, self.vectors, self.labels, self.ids, self.base, self.edges, self.rates)
@@ -179,12 +193,15 @@ class Model:
 
     def score(self, text: str) -> tuple[float, str]:
         """Probability of the label, and the nearest examples as id:label:similarity."""
+        self.found.trim()
         return self.found[tuple(self.vectorizer.steps(text))]
 
-    def calibrate(self) -> None:
-        """Isotonic regression of the labels on the votes that each example gets from the others."""
-        placed = [i for i, vector in enumerate(self.vectors) if vector]
-        votes = np.array([self.vote(self.vectors[i], without=i)[0] for i in placed])
+    def begin(self) -> None:
+        """At the start of a task: lets the tables of other operators in this worker go."""
+        Remembered.only(self.found, self.vectorizer.known)
+
+    def calibrate(self, placed: list[int], votes: np.ndarray) -> None:
+        """Isotonic regression of the labels on the votes that the examples in these places get from the others."""
         order = np.argsort(votes, kind="stable")
         pools: list[list[float]] = []  # sum of votes, sum of labels, rows
         for vote, label in zip(votes[order], self.labels[placed][order], strict=True):
@@ -199,15 +216,20 @@ class Model:
             self.rates = np.maximum.accumulate(self.rates)
 
 
+def _labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic), one row per id; an id with conflicting labels counts as toxic."""
+    return (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
+            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
+
+
 def examples(docs: DataFrame, labels: DataFrame, most: int = MOST_EXAMPLES) -> DataFrame:
     """At most `most` labelled rows, the first by the hash of their ids: doc_id, text, toxic. A random sample that
-    does not depend on how the tables are partitioned."""
+    does not depend on how the tables are partitioned. Of rows that share an id the one whose text is first in order
+    stands for all."""
     order = F.md5(F.concat(F.lit("examples|"), F.col("doc_id").cast("string")).cast("binary"))
-    drawn = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-             .orderBy(order, "doc_id").limit(most))
+    drawn = _labels(labels).withColumn("_order", order).orderBy("_order", "doc_id").limit(most)
     return (docs.select("doc_id", text_of().alias("text")).join(F.broadcast(drawn), "doc_id")
-            .select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), order.alias("_order")))
+            .groupBy("doc_id", "toxic", "_order").agg(F.min("text").alias("text")))
 
 
 def _term_counts(drawn: DataFrame) -> DataFrame:
@@ -291,10 +313,29 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_EXAMPLES) -> Model:
     base = (labels_of[empty].sum() + 0.5 * labels_of.mean()) / (empty.sum() + 0.5)
     model = Model(terms, weights, [], labels_of, [row["doc_id"] for row in rows], float(base))
     model = Model(terms, weights, [model.vector(row["steps"]) for row in rows], labels_of, model.ids, float(base))
-    model.calibrate()
+    model.calibrate(*_left_out_votes(docs.sparkSession, model))
     return model
 
 
+def _left_out_votes(spark: SparkSession, model: Model) -> tuple[list[int], np.ndarray]:
+    """The examples that have terms, and the vote that each gets from the others; searched in tasks."""
+    shared = spark.sparkContext.broadcast(model)
+    partitions = min(4 * spark.sparkContext.defaultParallelism, 1 + len(model.vectors) // 64)
+
+    def run(batches):
+        shared.value.begin()
+        for batch in batches:
+            mine = [i for i in batch.column(0).to_pylist() if shared.value.vectors[i]]
+            yield pa.RecordBatch.from_pydict({
+                "place": pa.array(mine, pa.int64()),
+                "vote": pa.array([shared.value.vote(shared.value.vectors[i], without=i)[0] for i in mine], pa.float64())})
+
+    places = spark.range(0, len(model.vectors), 1, partitions)
+    found = sorted(map(tuple, places.mapInArrow(run, "place long, vote double").collect()))
+    shared.unpersist()
+    return [place for place, _ in found], np.array([vote for _, vote in found])
+
+
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, score, predicted, evidence (nearest examples as id:label:similarity)."""
     ship(docs.sparkSession)
@@ -303,6 +344,7 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     kinds = rows.select("doc_id", F.lit(0.0).alias("score"), F.lit("").alias("evidence")).schema
 
     def run(batches):
+        shared.value.begin()
         for batch in batches:
             found = [shared.value.score(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
@@ -321,8 +363,13 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     rows = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches):
+        shared.value.begin()
         for batch in batches:
-            keep = [shared.value.score(text or "")[0] < threshold for text in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            # One text at a time, and the rows that stay are sliced out in a portion each: neither all texts nor
+            # all rows of a batch exist twice.
+            for start in range(0, batch.num_rows, PORTION_ROWS):
+                some = batch.slice(start, PORTION_ROWS)
+                keep = [shared.value.score(text.as_py() or "")[0] < threshold for text in some.column(at)]
+                yield some.filter(pa.array(keep, pa.bool_()))
 
     return rows.mapInArrow(run, rows.schema)
