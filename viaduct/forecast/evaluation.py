@@ -39,8 +39,10 @@ def compare_models(scored: dict[str, DataFrame], prediction: str = "prediction",
     return evaluate_regression(reduce(DataFrame.unionAll, named), "prediction", "actual", by=("model_name",))
 
 
-def compare_predictions(scored: DataFrame, predictions: dict[str, str], actual: str = "vehicle_count") -> DataFrame:
-    """One row of measures per model over one frame that holds all predictions; `predictions` names their columns.
+def compare_predictions(scored: DataFrame, predictions: dict[str, str], actual: str = "vehicle_count",
+                        by: tuple[str, ...] = ()) -> DataFrame:
+    """One row of measures per model, and per group of `by`, over one frame that holds all predictions; `predictions`
+    names their columns.
 
     The rows are read once, however many models there are.
     """
@@ -48,8 +50,8 @@ def compare_predictions(scored: DataFrame, predictions: dict[str, str], actual:
         raise ValueError("no model to compare")
     each = F.array(*[F.struct(F.lit(name).alias("model_name"), F.col(column).cast("double").alias("prediction"))
                      for name, column in predictions.items()])
-    long = scored.select(F.col(actual).cast("double").alias("actual"), F.inline(each))
-    return evaluate_regression(long, "prediction", "actual", by=("model_name",))
+    long = scored.select(*by, F.col(actual).cast("double").alias("actual"), F.inline(each))
+    return evaluate_regression(long, "prediction", "actual", by=("model_name", *by))
 
 
 def best_model(metrics: DataFrame) -> DataFrame:

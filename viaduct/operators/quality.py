@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions import valid_coordinates
+from ..session import shared_dir
+from .dimensions import DEFAULT_LIMIT, BroadcastLimit, measure, within
 
 CORE_COLUMNS = ("sensor_id", "vehicle_count", "average_speed_kmh", "timestamp")
 MAX_SPEED_KMH = 200.0
@@ -42,9 +44,34 @@ def filter_coordinates(df: DataFrame) -> DataFrame:
     return df.where(valid_coordinates(F.col("latitude"), F.col("longitude")))
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Whole-row distinct. Copies collapse before the shuffle, however many there are."""
-    return df.dropDuplicates()
+def row_digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a whole row, as `__digest_0` and `__digest_1`. A hash passes over nulls, so where they stand
+    is hashed too."""
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in df.columns])
+    return [F.xxhash64(F.lit(k), nulls, *[F.col(f"`{c}`") for c in df.columns]).alias(f"__digest_{k}") for k in (0, 1)]
+
+
+def drop_exact_duplicates(df: DataFrame, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+    """Whole-row distinct, for tables most of whose rows are single.
+
+    Only digests of rows go through a shuffle to find those that occur again; single rows stay where they are, and the
+    distinct of whole rows runs over the rest. Rows with one digest are compared in full there, so chance hits change
+    nothing. The digests are read from `df` when this is called, so it must give the same rows when read again. If too
+    many digests are repeated for a broadcast, whole rows are compared at once: copies collapse before that shuffle.
+    A stream keeps its rows in state.
+    """
+    if df.isStreaming:
+        return df.dropDuplicates()
+    names, keys = df.columns, ["__digest_0", "__digest_1"]
+    shared_dir(df.sparkSession)
+    repeated = (df.select(*row_digest(df)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                .select(*keys).checkpoint())
+    if not within(measure(repeated), limit):
+        return df.dropDuplicates()
+    marked = df.select("*", *row_digest(df)).join(
+        F.broadcast(repeated.withColumn("__again", F.lit(True))), keys, "left")
+    single = marked.where("__again IS NULL").select(*names)
+    return single.unionByName(marked.where("__again").select(*names).dropDuplicates())
 
 
 def clean_readings(df: DataFrame, max_speed: float | None = MAX_SPEED_KMH,

@@ -10,6 +10,7 @@ from .. import forecast
 from ..functions import round_numeric, time_features
 from ..forecast import FEATURES
 from ..forecast.features import LABEL
+from ..forecast.training import linear
 from ..session import shared_dir, shared_path
 from .catalog import query, rounded
 from .model import ntz
@@ -127,12 +128,9 @@ MODEL_SCORES = f"""(SELECT 'capacity_rule' AS model_name, vehicle_count, predict
 
 
 def _compared(m) -> DataFrame:
-    scored = _scored_by_rule(m)
-    return forecast.compare_models({
-        "capacity_rule": scored.withColumn("prediction", F.col("predicted_count")),
-        "flat_capacity": scored.withColumn("prediction", F.col("num_lanes") * 75.0),
-        "speed_rule": scored.withColumn("prediction", F.col("average_speed_kmh")),
-    })
+    scored = _scored_by_rule(m).withColumns({"flat": F.col("num_lanes") * 75.0})
+    return forecast.compare_predictions(scored, {
+        "capacity_rule": "predicted_count", "flat_capacity": "flat", "speed_rule": "average_speed_kmh"})
 
 
 @query("compare_models", _measures_sql(MODEL_SCORES, "p", "model_name,") + " GROUP BY model_name")
@@ -186,20 +184,73 @@ def _predicted(model, test: DataFrame) -> DataFrame:
     return model.transform(test).select("event_id", round_numeric(F.col("prediction"), 4).alias("prediction"))
 
 
-@query("train_linear", LINEAR_SQL)
-def train_linear(m):
+@query("train_linear_one_feature", LINEAR_SQL)
+def train_linear_one_feature(m):
     train, test = _prepared_split(m)
     return _predicted(forecast.train_linear(train, features=("average_speed_kmh",)), test)
 
 
-@query("save_and_load_model", LINEAR_SQL)
+# A label that is linear in the ten features, so that the fit must give it back. The fraction keeps counts, speeds and
+# indexes away from where rounding turns.
+KNOWN_COUNT = """(20.137e0 + 3 * hour + 2 * day_of_week + 8 * CAST(is_weekend AS DOUBLE) + 25 * CAST(is_rush_hour AS DOUBLE)
+  + 4 * temperature_celsius + humidity_percent - 2 * average_speed_kmh + 12 * num_lanes + speed_limit_kmh)"""
+KNOWN_SQL = f"SELECT event_id, {rounded(KNOWN_COUNT, 4)} AS prediction FROM {TRAINING_SQL} WHERE {IN_TEST}"
+
+
+def _known_split(m) -> tuple[DataFrame, DataFrame]:
+    return tuple(rows.withColumn(LABEL, F.expr(KNOWN_COUNT)) for rows in _prepared_split(m))
+
+
+@query("train_linear", KNOWN_SQL)
+def train_linear(m):
+    train, test = _known_split(m)
+    return _predicted(forecast.train_linear(train), test)
+
+
+@query("save_and_load_model", f"""
+SELECT *, 'linear_regression' AS best_algorithm, '{",".join(FEATURES)}' AS feature_columns, 1e0 AS r2,
+       '2024-01-31T00:00:00' AS trained_timestamp FROM ({KNOWN_SQL})""")
 def save_and_load_model(m):
-    train, test = _prepared_split(m)
+    """The loaded model scores the test rows, beside what the record says of it."""
+    train, test = _known_split(m)
     path = shared_path(m.spark, "model")
-    forecast.save_model(forecast.train_linear(train, features=("average_speed_kmh",)), path, name="linear_regression",
-                        metrics={}, trained_at=dt.datetime(2024, 1, 31))
+    fitted = forecast.train_linear(train)
+    measures = forecast.evaluate_regression(fitted.transform(test)).first().asDict()
+    forecast.save_model(fitted, path, name="linear_regression", metrics=measures, trained_at=dt.datetime(2024, 1, 31))
+    model, record = forecast.load_model(m.spark, path)
+    return _predicted(model, test).withColumns({
+        "best_algorithm": F.lit(record["best_algorithm"]), "feature_columns": F.lit(",".join(record["feature_columns"])),
+        "r2": F.lit(round(record["metrics"]["R2"], 6)), "trained_timestamp": F.lit(record["trained_timestamp"])})
+
+
+@query("score_congestion_by_model", f"""
+SELECT event_id, CAST(trunc(predicted_count) AS INT) AS predicted_vehicle_count,
+       round_even(speed * 10, 0) / 10 AS predicted_average_speed, round_even(idx * 100, 0) / 100 AS predicted_congestion_index,
+       {LEVEL_OF_IDX} AS predicted_congestion_level
+FROM (SELECT *, CASE WHEN speed >= speed_limit_kmh THEN 0e0 ELSE 1e0 - speed / speed_limit_kmh END AS idx
+      FROM (SELECT *, speed_limit_kmh * greatest(0.1e0, least(1.1e0, 1e0 - predicted_count / (num_lanes * 150 * 1.5e0))) AS speed
+            FROM (SELECT *, greatest(0e0, {KNOWN_COUNT}) AS predicted_count FROM {TRAINING_SQL} WHERE {IN_TEST})))""")
+def score_congestion_by_model(m):
+    """Scores of a model that was fitted, kept and loaded, not of the rule."""
+    train, test = _known_split(m)
+    path = shared_path(m.spark, "model")
+    forecast.save_model(forecast.train_linear(train), path, name="linear_regression", metrics={},
+                        trained_at=dt.datetime(2024, 1, 31))
     model, _ = forecast.load_model(m.spark, path)
-    return _predicted(model, test)
+    return forecast.score_congestion(test.drop(LABEL), model).select(
+        "event_id", "predicted_vehicle_count", "predicted_average_speed", "predicted_congestion_index",
+        "predicted_congestion_level")
+
+
+@query("forecast_24h_by_model", f"""
+SELECT event_id, lpad(CAST(hour AS VARCHAR), 2, '0') || ':00' AS hour_label,
+       CAST(trunc(greatest(0e0, {KNOWN_COUNT})) AS INT) AS predicted_vehicles
+FROM (SELECT t.* EXCLUDE (hour, is_rush_hour), CAST(h AS INT) AS hour, h IN (7, 8, 9, 17, 18, 19) AS is_rush_hour
+      FROM (SELECT * FROM {TRAINING_SQL} WHERE {IN_TEST}) t, range(24) r(h))""")
+def forecast_24h_by_model(m):
+    train, test = _known_split(m)
+    forecasts = forecast.forecast_24h(test.drop(LABEL), forecast.train_linear(train))
+    return forecasts.select("event_id", "hour_label", "predicted_vehicles")
 
 
 def _prepared_split(m) -> tuple[DataFrame, DataFrame]:
@@ -251,3 +302,63 @@ def train_gbt(m):
 @query("train_boosted_subsampled")
 def train_boosted_subsampled(m):
     return _trained(m, forecast.train_boosted_subsampled)
+
+
+# A label in steps, which trees of every kind must come close to.
+STEPS = "(100e0 + CASE WHEN hour >= 12 THEN 50 ELSE 0 END + CASE WHEN num_lanes >= 3 THEN 30 ELSE 0 END)"
+STEPS_SQL = f"SELECT event_id, {STEPS} AS expected, TRUE AS met FROM {TRAINING_SQL} WHERE {IN_TEST}"
+
+
+def _steps_met(m, train_model, tolerance: float, label: str = STEPS) -> DataFrame:
+    """Whether the predictions of the test rows lie within the tolerance of the label."""
+    train, test = (rows.withColumn(LABEL, F.expr(label)) for rows in _prepared_split(m))
+    scored = train_model(train).transform(test)
+    near = F.abs(F.col("prediction") - F.col(LABEL)) <= tolerance
+    return scored.select("event_id", F.col(LABEL).alias("expected"), near.alias("met"))
+
+
+@query("train_forest_on_steps", STEPS_SQL)
+def train_forest_on_steps(m):
+    return _steps_met(m, forecast.train_forest, 9.0)
+
+
+@query("train_gbt_on_steps", STEPS_SQL)
+def train_gbt_on_steps(m):
+    return _steps_met(m, forecast.train_gbt, 1.0)
+
+
+# Of 100 trees with a tenth's step only those that draw a feature come closer to its steps: one feature, a wide step.
+STEP = "(100e0 + CASE WHEN hour >= 12 THEN 60 ELSE 0 END)"
+
+
+@query("train_boosted_subsampled_on_steps", STEPS_SQL.replace(STEPS, STEP))
+def train_boosted_subsampled_on_steps(m):
+    return _steps_met(m, forecast.train_boosted_subsampled, 15.0, STEP)
+
+
+FOLD = "CAST('0x' || substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 5"
+_FOLDED = f"(SELECT *, {FOLD} AS fold FROM {TRAINING_SQL} WHERE NOT ({IN_TEST}))"
+_LINES = " UNION ALL ".join(f"""
+SELECT '{name}' AS model_name, f.fold, vehicle_count, base + slope * {feature} AS p
+FROM {_FOLDED} f JOIN (SELECT k.fold, regr_slope(vehicle_count, {feature}) AS slope, regr_intercept(vehicle_count, {feature}) AS base
+  FROM (SELECT DISTINCT fold FROM {_FOLDED}) k JOIN {_FOLDED} t ON t.fold <> k.fold GROUP BY k.fold) l ON f.fold = l.fold"""
+                            for name, feature in (("by_speed", "average_speed_kmh"), ("by_hour", "hour")))
+
+
+@query("cross_validate", _measures_sql(f"({_LINES})", "p", "model_name, CAST(fold AS INT) AS fold,") + " GROUP BY model_name, fold")
+def cross_validate(m):
+    train, _ = _prepared_split(m)
+    searched = forecast.grid_search(train, {"by_speed": (linear(), ("average_speed_kmh",)), "by_hour": (linear(), ("hour",))},
+                                    key="event_id")
+    return _tidy_measures(searched.by_fold)
+
+
+@query("cross_validate_best", f"""
+SELECT model_name FROM ({_measures_sql(f"({_LINES})", "p", "model_name, fold,")} GROUP BY model_name, fold)
+GROUP BY model_name ORDER BY avg("R2") DESC LIMIT 1""")
+def cross_validate_best(m):
+    """Kept by the means over the folds; the folds are looked at as in `cross_validate`."""
+    train, _ = _prepared_split(m)
+    searched = forecast.grid_search(train, {"by_speed": (linear(), ("average_speed_kmh",)), "by_hour": (linear(), ("hour",))},
+                                    key="event_id")
+    return m.spark.createDataFrame([(searched.best_name,)], "model_name string")

@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from .. import jobs
+from .. import forecast, jobs
+from ..functions import round_numeric
 from ..session import shared_path
-from .catalog import ORACLES, query
+from .catalog import ORACLES, query, rounded
+from .forecasts import IN_TEST, TRAINING_SQL
 from .model import at
 from .reports import AS_OF, REPORT_DAY, _report_sql, _rounded
 from .scalars import DERIVED_COLUMNS
@@ -54,3 +56,20 @@ def job_etl(m):
 
 
 ORACLES["job_etl"] = ORACLES["clean_and_derive"]
+
+
+@query("job_training", f"""
+SELECT event_id, {rounded("40.137e0 + 3 * hour + 2 * average_speed_kmh", 4)} AS prediction,
+       'linear_regression' AS best_algorithm, 1e0 AS r2, 4 AS models
+FROM {TRAINING_SQL} WHERE {IN_TEST}""")
+def job_training(m):
+    """All four regressors at full size on a label that is linear; the model read back scores the test rows."""
+    path = shared_path(m.spark, "training")
+    events = m.events.withColumn("vehicle_count", F.expr("40.137D + 3 * hour + 2 * average_speed_kmh"))
+    trained = jobs.run_training(events, m.roads, m.weather, path, CREATED)
+    model, record = forecast.load_model(m.spark, path)
+    rows = forecast.prepare_features(forecast.build_training_set(events, m.roads, m.weather), keep=("event_id",))
+    scored = model.transform(forecast.split(rows, "event_id")[1])
+    return scored.select("event_id", round_numeric(F.col("prediction"), 4).alias("prediction"),
+                         F.lit(record["best_algorithm"]).alias("best_algorithm"),
+                         F.lit(round(record["metrics"]["R2"], 6)).alias("r2"), F.lit(len(trained.models)).alias("models"))

@@ -15,27 +15,24 @@ def windowed_metrics(readings: DataFrame, ts: str = "timestamp_parsed", *, minut
                      delay: str = "10 minutes", by: str = "road_name") -> DataFrame:
     """Averages over windows of `minutes` that start each `every` minutes, per road.
 
-    On a stream, readings more than `delay` behind the latest are dropped, and in append mode a
-    window is given out once the watermark has passed its end. On a batch frame all windows are given.
+    Readings are summed per slide, and slides are added up to windows. On a stream both steps keep state under one
+    watermark: readings more than `delay` behind the latest are dropped, a slide's sums are closed once the watermark
+    has passed its end, and a window is given out once it has passed the window's end (append mode). On a batch frame
+    all windows are given.
     """
-    keys = ["window_start", "window_end", by]
-    if readings.isStreaming:
-        framed = readings.withWatermark(ts, delay).groupBy(
-            F.window(ts, f"{minutes} minutes", f"{every} minutes"), by)
-        means = framed.agg(*[F.avg(source).alias(name) for name, source in MEASURES.items()])
-        return means.select(F.col("window.start").alias("window_start"),
-                            F.col("window.end").alias("window_end"), by, *MEASURES)
     if minutes % every:
         raise ValueError("the window must be a multiple of its slide")
+    timed = readings.withWatermark(ts, delay) if readings.isStreaming else readings.where(F.col(ts).isNotNull())
     # Aggregate once per slide, then add the slides up: readings are not repeated for each window.
-    panes = readings.where(F.col(ts).isNotNull()).groupBy(F.window(ts, f"{every} minutes").alias("pane"), by)
-    parts = panes.agg(*[part for source in MEASURES.values() for part in
-                        (F.sum(source).alias(f"{source}_sum"), F.count(source).alias(f"{source}_n"))])
-    pane_start = F.col("pane.start")
-    slide, reach = F.expr(f"INTERVAL {every} MINUTES"), F.expr(f"INTERVAL {minutes - every} MINUTES")
-    windows = parts.withColumn("window_start", F.explode(F.sequence(pane_start - reach, pane_start, slide)))
-    windows = windows.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {minutes} MINUTES"))
-    return windows.groupBy(*keys).agg(*[_mean(source).alias(name) for name, source in MEASURES.items()])
+    panes = timed.groupBy(F.window(ts, f"{every} minutes").alias("pane"), by).agg(
+        *[part for source in MEASURES.values() for part in
+          (F.sum(source).alias(f"{source}_sum"), F.count(source).alias(f"{source}_n"))])
+    # A stream's panes are given out as the watermark passes them, and carry their time on to the second aggregation.
+    pane_time = F.window_time("pane") if readings.isStreaming else F.col("pane.start")
+    windows = panes.groupBy(F.window(pane_time, f"{minutes} minutes", f"{every} minutes").alias("window"), by)
+    means = windows.agg(*[_mean(source).alias(name) for name, source in MEASURES.items()])
+    return means.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), by,
+                        *MEASURES)
 
 
 def _mean(source: str) -> Column:
