@@ -153,7 +153,8 @@ def test_single_rows_are_not_shuffled_whole(spark, tmp_path):
             metrics = node.metrics()
             if node.nodeName().startswith("Exchange") and metrics.contains("shuffleBytesWritten"):
                 bytes_ += metrics.apply("shuffleBytesWritten").value()
-            inner = {"AdaptiveSparkPlan": "executedPlan", "ShuffleQueryStage": "plan", "BroadcastQueryStage": "plan"}
+            inner = {"AdaptiveSparkPlan": "executedPlan", "ShuffleQueryStage": "plan", "BroadcastQueryStage": "plan",
+                     "ResultQueryStage": "plan"}
             if node.nodeName() in inner:
                 todo.append(getattr(node, inner[node.nodeName()])())
             todo += [node.children().apply(k) for k in range(node.children().size())]
