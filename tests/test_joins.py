@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from viaduct.operators.asof import asof_join, asof_weather
+from viaduct.operators.asof import CELLS, _CellBuckets, asof_join, asof_weather
 from viaduct.operators.dimensions import BroadcastLimit, join_dim, measure, within
 from viaduct.operators.joins import join_sensors, join_weather_inner, join_weather_left
 
@@ -89,7 +89,7 @@ def _brute(events, observations, by_city):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("bucket", [3600, 600, 86400])
+@pytest.mark.parametrize("bucket", [None, 3600, 600, 86400])
 @pytest.mark.parametrize("by_city", [False, True])
 @pytest.mark.parametrize("limit", [None, TINY])
 def test_asof_against_brute_force(spark, bucket, by_city, limit):
@@ -123,3 +123,55 @@ def test_asof_shuffles_no_events(spark, model):
     events_side = text.split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in events_side
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_asof_in_micro_batches_stores_what_the_batch_can_meet(spark, tmp_path):
+    base, sizes = 1_700_000_000, []
+    events = [(i, "A" if i % 2 else "B", base + 400_000 + i) for i in range(50)] + [(99, "A", None)]
+    for history in (100, 4000):
+        observations = [("AB"[i % 2], i, base + 400_000 - 90 * (history - i)) for i in range(history + 1)]
+        for by in ((), ("city",)):
+            before = set(checkpoints(spark))
+            found = asof_join(_events(spark, events), _series(spark, observations).withColumnRenamed("timestamp", "seen"),
+                              event_ts="timestamp", series_ts="seen", tie_break="weather_id", by=by, prune=True) if by else (
+                asof_join(_events(spark, events).drop("city"),
+                          _series(spark, observations).drop("city").withColumnRenamed("timestamp", "seen"),
+                          event_ts="timestamp", series_ts="seen", tie_break="weather_id", prune=True))
+            assert rows(found.select("event_id", "weather_id")) == _brute(events, observations, bool(by))
+            written = [c for c in checkpoints(spark) if c not in before]
+            sizes.append(sum(checkpoints(spark)[c] for c in written))
+    # The second pair has forty times the history.
+    assert sizes[2] <= 1.5 * sizes[0] and sizes[3] <= 1.5 * sizes[1]
+
+
+def checkpoints(spark):
+    """Bytes by checkpoint folder."""
+    from pathlib import Path
+    root = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    return {str(d): sum(f.stat().st_size for f in d.rglob("part-*")) for d in root.iterdir() if d.is_dir()}
+
+
+def test_a_burst_after_a_gap_does_not_share_a_bucket(spark):
+    """Ten years of silence, then 4,000 observations within a second."""
+    micros = [0, *(315_360_000_000_000 + 250 * k for k in range(4000))]
+    bounds = sorted({micros[len(micros) * k // CELLS] for k in range(CELLS)})
+    buckets = _CellBuckets(bounds, micros[-1], len(micros))
+    frame = spark.createDataFrame([(m,) for m in micros], "m long").select(F.timestamp_micros("m").alias("t"))
+    placed = frame.select(buckets.of(F.col("t")).alias("b")).groupBy("b").count()
+    worst, first, last = placed.agg(F.max("count"), F.min("b"), F.max("b")).first()
+    assert worst <= 4 and first == buckets.first and last <= buckets.last
+    apart = spark.createDataFrame([(-1,), (micros[-1] + 1,), (None,)], "m long").select(F.timestamp_micros("m").alias("t"))
+    assert [r[0] for r in apart.select(buckets.of(F.col("t"))).collect()] == [-1, buckets.last + 1, None]
+    observations = [("x", k, m // 1_000_000 + k) for k, m in enumerate(micros[:300])]
+    events = [(k, "x", t) for k, (_, _, t) in enumerate(observations)] + [(900, "x", 5_000_000), (901, "x", -5)]
+    joined = asof_join(_events(spark, events).drop("city"),
+                       _series(spark, observations).drop("city").withColumnRenamed("timestamp", "seen"),
+                       event_ts="timestamp", series_ts="seen", tie_break="weather_id")
+    assert rows(joined.select("event_id", "weather_id")) == _brute(events, observations, False)
+
+
+def test_asof_of_events_with_a_map(spark):
+    events = _events(spark, [(1, "A", 100), (2, "A", 10_000_000)]).withColumn("tags", F.create_map(F.lit("k"), F.lit(1)))
+    found = asof_join(events, _series(spark, [("x", 5, 50)]).drop("city").withColumnRenamed("timestamp", "seen"),
+                      event_ts="timestamp", series_ts="seen", tie_break="weather_id")
+    assert [r["weather_id"] for r in found.collect()] == [5, 5]

@@ -57,17 +57,18 @@ def clean_and_derive(df: DataFrame, max_speed: float | None = MAX_SPEED_KMH) ->
 
 def conform_events(readings: DataFrame, sensors: DataFrame, roads: DataFrame, weather: DataFrame, *,
                    ts: str = "timestamp", weather_ts: str = "timestamp", bucket_seconds: int | None = None,
-                   limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
+                   limit: BroadcastLimit = DEFAULT_LIMIT, prune: bool = False) -> DataFrame:
     """Fit raw readings to the event table; `ts` names their event time.
 
     Adds the road of the sensor, what the road's size and limit imply, and the weather id as of the
     reading, and leaves out every column the table does not have. Readings of unknown sensors or
-    roads are left out, since the table could not hold them; `check_references` lists them.
+    roads are left out, since the table could not hold them; `check_references` lists them. `prune` is that of
+    `asof_join`.
     """
     own = [c for c in ("event_id", "sensor_id", "vehicle_count", "average_speed_kmh") if c in readings.columns]
     placed = join_dim(readings.select(*own, F.col(ts).alias("timestamp")),
                       sensors.select("sensor_id", "road_id"), "sensor_id", limit=limit)
     placed = join_dim(placed, roads.select("road_id", *ROAD_DEFAULTS), "road_id", limit=limit)
     timed = asof_weather(derive_features(placed), weather.select("weather_id", F.col(weather_ts).alias("timestamp")),
-                         bucket_seconds=bucket_seconds, limit=limit)
+                         bucket_seconds=bucket_seconds, limit=limit, prune=prune)
     return timed.select(*[c for c in EVENT_COLUMNS if c in timed.columns])

@@ -13,7 +13,7 @@ from ..operators.quality import CORRUPT, quarantine
 from ..schemas import WEATHER_MESSAGE
 from ..session import shared_path
 from ..sinks import parquet_micro_batch, sink_micro_batch, sink_raw_parquet
-from ..streaming import (clean_stream, conformed_batches, dedupe_stream, parse_messages, parse_readings, run_stream,
+from ..streaming import (clean_stream, conformed_batches, dedupe_closed, dedupe_stream, parse_messages, parse_readings, run_stream,
                          windowed_metrics, with_event_time)
 from ..streaming.readings import EVENT_TIME
 from .catalog import query, rounded
@@ -141,6 +141,18 @@ def stream_dedupe(m):
     return landed.select("sensor_id", ntz(F.col("timestamp")).alias("event_ts"))
 
 
+@query("stream_dedupe_closed", """
+SELECT sensor_id, "timestamp" AS event_ts, min(event_id) AS event_id FROM traffic_events
+WHERE "timestamp" <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY sensor_id, "timestamp" """)
+def stream_dedupe_closed(m):
+    """A third of the rows are copies of readings of one sensor."""
+    copies = F.when(F.col("sensor_id") == "SENSOR_1", 50).otherwise(2)
+    flood = _streamed_events(m).withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies)))
+    landed = _run_dry(m, dedupe_closed(flood.select("event_id", "sensor_id", "timestamp"), ("sensor_id", "timestamp"),
+                                       "timestamp"), "closed", partition_by=())
+    return landed.select("sensor_id", ntz(F.col("timestamp")).alias("event_ts"), "event_id")
+
+
 @query("sink_micro_batch", "SELECT event_id, sensor_id, vehicle_count FROM raw_events")
 def micro_batch_sink(m):
     path = shared_path(m.spark, "batches")

@@ -17,9 +17,10 @@ def conformed_batches(load: LoadDimensions, write: BatchWriter, **names) -> Batc
     """A writer for `sink_micro_batch` that fits each batch to the event table and hands it to `write`.
 
     The dimensions are loaded anew for every batch, so that weather which arrives after the stream has started is
-    matched from the next batch on. `names` goes to `conform_events`. Repeating a batch gives the same rows as long as
+    matched from the next batch on; of its history a batch stores and joins only what its time span can meet. `names`
+    goes to `conform_events`. Repeating a batch gives the same rows as long as
     the dimensions have not changed; `write` must replace or complete what the first attempt wrote.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(conform_events(batch, *load(), **names), batch_id)
+        write(conform_events(batch, *load(), prune=True, **names), batch_id)
     return run
