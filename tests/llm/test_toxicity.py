@@ -11,23 +11,27 @@ from viaduct.llm.toxicity import (
     NEIGHBOURS, BlockMaxIndex, Model, density_steps, drop_toxic, examples, fit, score_toxicity)
 
 
-def vectors(draw, count, terms):
-    made = []
-    for _ in range(count):
-        vector = {t: draw.random() + 0.1 for t in draw.sample(range(terms), draw.randrange(0, 6))}
-        size = sum(w * w for w in vector.values()) ** 0.5
-        made.append({t: w / size for t, w in vector.items()} if size else {})
-    return made
+def levels(draw, count, terms):
+    return [{t: draw.randrange(1, 9) for t in draw.sample(range(terms), draw.randrange(0, 6))} for _ in range(count)]
+
+
+def weights(worth, one):
+    """The vector over the steps of the terms, spelt out."""
+    vector = {(t, s): sqrt(worth[t, s + 1] - worth[t, s]) for t, l in one.items() for s in range(l)}
+    size = sqrt(sum(w * w for w in vector.values()))
+    return {s: w / size for s, w in vector.items()} if size else {}
 
 
 def test_nearest_against_all_cosines():
     draw = random.Random(8)
     for terms in (6, 40):
-        examples = vectors(draw, 1500, terms)
-        index = BlockMaxIndex(examples)
-        for place, query in enumerate(vectors(draw, 60, terms)):
-            without = place if place % 2 else -1
-            cosines = [(i, sum(w * query.get(t, 0.0) for t, w in v.items())) for i, v in enumerate(examples) if i != without]
+        worth = np.array([np.cumsum([0.0, *(draw.random() * draw.choice([1, 30]) for _ in range(8))]) for _ in range(terms)])
+        known = levels(draw, 1500, terms)
+        vectors = [weights(worth, one) for one in known]
+        index = BlockMaxIndex(known, worth)
+        for place, query in enumerate(levels(draw, 60, terms)):
+            without, vector = place if place % 2 else -1, weights(worth, query)
+            cosines = [(i, sum(w * vector.get(s, 0.0) for s, w in v.items())) for i, v in enumerate(vectors) if i != without]
             expected = sorted([c for c in cosines if c[1] > 0], key=lambda c: (-round(c[1], 9), c[0]))[:NEIGHBOURS]
             found = index.nearest(query, NEIGHBOURS, without)
             assert [i for i, _ in found] == [i for i, _ in expected]
@@ -95,11 +99,9 @@ def test_examples_hold_one_row_per_id(spark):
 
 def test_blocks_that_cannot_matter_are_not_read():
     # One rare, heavy term settles the neighbours; the blocks of a common one hold no example that could catch up.
-    vectors_ = [{1: 1.0} for _ in range(6400)]
-    for i in range(0, 40):
-        vectors_[i] = {0: 0.99, 1: 0.1}
-    index = BlockMaxIndex(vectors_)
-    found = index.nearest({0: 0.995, 1: 0.0999}, NEIGHBOURS)
+    worth = np.array([[0.0, 99.0], [0.0, 1.0], [0.0, 50.0]])
+    index = BlockMaxIndex([{0: 1, 1: 1} if i < 40 else {1: 1, 2: 1} for i in range(6400)], worth)
+    found = index.nearest({0: 1, 1: 1}, NEIGHBOURS)
     assert [i for i, _ in found] == list(range(NEIGHBOURS)) and index.read == 2  # of 101
 
 

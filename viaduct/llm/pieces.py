@@ -37,7 +37,7 @@ _BYTE = re.compile("<0x([0-9A-F]{2})>").fullmatch
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
-TABLE_BYTES = 240 << 20  # of a worker's two tables
+TABLE_BYTES = 160 << 20  # of a worker's table
 SHORT = 32  # symbols up to which searching the list beats keeping a heap
 
 
@@ -78,10 +78,11 @@ class PieceTable:
                 left, right = normal.get(piece[:cut]), normal.get(piece[cut:])
                 if left and right:
                     self.pairs[left[0] << 16 | right[0]] = ranks[score] << 16 | i
-        # Distinct chunks to their ids, comma-joined, and to the text of these. Strings only: a table of many small
-        # tuples would be walked again and again by the garbage collector.
-        self.written = Remembered(self._written)
-        self.texts = Remembered(lambda chunk: self.surface(self._segment(chunk)))
+        # Distinct chunks to their ids, comma-joined. Strings only: a table of many small tuples would be walked again
+        # and again by the garbage collector.
+        self.written = Remembered(self._written, TABLE_BYTES)
+        # The few chunks that do not decode to themselves, with what they decode to; filled and emptied with `written`.
+        self.odd: dict[str, str] = {}
 
     def _segment(self, chunk: str) -> list[int]:
         symbols = [self.symbol.get(letter, NO_SYMBOL) for letter in chunk]
@@ -99,7 +100,9 @@ class PieceTable:
 
     def _written(self, chunk: str) -> str:
         ids = self._segment(chunk)
-        self.texts.hold(chunk, self.surface(ids))  # both tables hold the chunk from here on
+        surface = self.surface(ids)
+        if surface != chunk.replace(MARK, " "):
+            self.odd[chunk] = surface
         return ",".join(map(str, ids))
 
     def surface(self, ids) -> str:
@@ -129,14 +132,17 @@ class PieceTable:
         return ",".join(map(self.written.__getitem__, chunks))
 
     def text(self, chunks: list[str]) -> str:
-        """What the ids of these chunks decode to. No character spans chunks, so that they decode on their own."""
-        return "".join(map(self.texts.__getitem__, chunks)).removeprefix(" ")
+        """What the ids of these chunks, all of them in the table, decode to. No character spans chunks, so that they
+        decode on their own."""
+        if self.odd and not self.odd.keys().isdisjoint(chunks):
+            chunks = [self.odd.get(chunk, chunk) for chunk in chunks]
+        return "".join(chunks).replace(MARK, " ").removeprefix(" ")
 
     def trim(self) -> None:
-        """Lets the tables go together, as one fills the other."""
-        if self.written.bytes + self.texts.bytes > TABLE_BYTES:
-            self.written.forget()
-            self.texts.forget()
+        """Between portions of texts."""
+        self.written.trim()
+        if not self.written:
+            self.odd.clear()
 
     def encode(self, text: str) -> list[int]:
         written = self.ids(self.chunks(text))
@@ -162,7 +168,7 @@ def _mapped(docs: DataFrame, path: str, kinds: str, columns) -> DataFrame:
 
     def run(batches):
         table = piece_table(path)
-        Remembered.only(table.written, table.texts)
+        Remembered.only(table.written)
         for batch in batches:
             at = 0
             for texts in portions(batch.column("text").to_pylist()):

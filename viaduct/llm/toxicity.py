@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
-from math import floor, log, log2, sqrt
+from math import floor, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -64,83 +64,99 @@ def density_steps(count: int, words: int) -> int:
 
 
 class Vectorizer:
-    """Texts to vectors over `terms`; a term's steps have the ids term * STEPS, ... ."""
+    """Texts to the levels of their terms: how many steps of density each reaches."""
 
     def __init__(self, terms: list[str]):
         self.place = {term: i for i, term in enumerate(terms)}
-        self.known = Remembered(self._terms_of)
+        self.known = Remembered(self._terms_of, 48 << 20)
 
     def _terms_of(self, word: str) -> tuple[int, ...]:
         return tuple([self.place[t] for t in word_terms(word) if t in self.place])
 
-    def steps(self, text: str) -> list[int]:
+    def levels(self, text: str) -> dict[int, int]:
         self.known.trim()
         words = _words(text.lower())
         counts: Counter = Counter()
         for terms in map(self.known.__getitem__, words):
             if terms:
                 counts.update(terms)
-        return sorted([term * STEPS + step for term, count in counts.items()
-                       for step in range(density_steps(count, len(words)))])
+        return {term: density_steps(count, len(words)) for term, count in counts.items()}
 
 
 class BlockMaxIndex:
-    """Examples by term, with the largest weight of every block, for exact nearest neighbours by cosine."""
-
-    def __init__(self, vectors: list[dict[int, float]]):
-        self.vectors = vectors
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for example, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                lists.setdefault(term, []).append((example, weight))
+    """Examples by term, with the largest weight of every block, for exact nearest neighbours by cosine.
+
+    `worth[t, l]` is the sum of the squared weights of the first l steps of term t. As a text that reaches a step has
+    all steps below it, the product of two texts' vectors at a term is the worth of the lower level, and one list per
+    term serves all its steps.
+    """
+
+    def __init__(self, examples: list[dict[int, int]], worth: np.ndarray):
+        self.worth = worth
+        sizes = np.fromiter(map(len, examples), np.int64, len(examples))
+        self.ends = np.cumsum(sizes)
+        self.terms = np.fromiter((t for e in examples for t in e), np.int32, int(sizes.sum()))
+        self.levels = np.fromiter((l for e in examples for l in e.values()), np.int8, len(self.terms))
+        norms = np.zeros(len(examples))
+        np.add.at(norms, np.repeat(np.arange(len(examples)), sizes), worth[self.terms, self.levels])
+        self.inverse = np.append(1.0 / np.sqrt(np.where(norms > 0, norms, np.inf)), 0.0)
         # Blocks are rows of BLOCK postings; what fills the last one up is an example that does not exist.
-        self.lists = {}
-        for term, postings in lists.items():
-            blocks = -(-len(postings) // BLOCK)
-            ids = np.full(blocks * BLOCK, len(vectors), np.int32)
-            weights = np.zeros(blocks * BLOCK)
-            ids[:len(postings)], weights[:len(postings)] = zip(*postings, strict=True)
-            ids, weights = ids.reshape(blocks, BLOCK), weights.reshape(blocks, BLOCK)
-            last = np.where(ids < len(vectors), ids, -1).max(axis=1)
-            self.lists[term] = ids, weights, weights.max(axis=1), ids[:, 0], last
+        nobody, steps = len(examples), worth.shape[1]
+        owner = np.repeat(np.arange(len(examples), dtype=np.int32), sizes)
+        order = np.lexsort((owner, self.terms))
+        self.lists, self.best = {}, {}
+        for part in np.split(order, np.flatnonzero(np.diff(self.terms[order])) + 1) if len(order) else ():
+            term, blocks = int(self.terms[part[0]]), -(-len(part) // BLOCK)
+            ids, levels = np.full(blocks * BLOCK, nobody, np.int32), np.zeros(blocks * BLOCK, np.int8)
+            ids[:len(part)], levels[:len(part)] = owner[part], self.levels[part]
+            ids, levels = ids.reshape(blocks, BLOCK), levels.reshape(blocks, BLOCK)
+            tops = np.stack([(worth[term, np.minimum(levels, k)] * self.inverse[ids]).max(axis=1)
+                             for k in range(steps)], axis=1)
+            last = np.where(ids < nobody, ids, -1).max(axis=1)
+            self.lists[term] = ids, levels, tops, ids[:, 0], last
+            self.best[term] = tops.max(axis=0)
         self.read = 0  # blocks, for tests
 
-    def nearest(self, vector: dict[int, float], count: int, without: int = -1) -> list[tuple[int, float]]:
-        """The `count` examples of largest cosine above 0, ties by place; `without` is left out.
+    def nearest(self, query: dict[int, int], count: int, without: int = -1) -> list[tuple[int, float]]:
+        """The `count` examples of largest cosine above 0 with a text of these levels, ties by place; `without` is left
+        out.
 
         Lists come in order of their largest contribution. Once the rest of the lists together could not lift an
         unseen example above the worst of the `count` best partial sums, a block is read only if it could still admit
         an example or if an example between its first and its last has been admitted; other blocks are not touched.
         """
-        lists = sorted(((weight * self.lists[term][2].max(), weight, term) for term, weight in vector.items()
-                        if term in self.lists), reverse=True)
+        size = sqrt(sum([self.worth[t, l] for t, l in query.items()]))
+        if not size:
+            return []
+        lists = sorted(((self.best[t][l], t, l) for t, l in query.items() if t in self.lists), reverse=True)
         if not lists:
             return []
         rest = np.append(np.cumsum([top for top, _, _ in lists][::-1])[::-1], 0.0)
-        sums = np.zeros(len(self.vectors) + 1)
+        sums = np.zeros(len(self.inverse))
         worst = most = 0.0
         admitted = None  # places of admitted examples, counted up, once blocks are left out
-        for place, (_, weight, term) in enumerate(lists):
-            ids, weights, tops, first, last = self.lists[term]
+        for place, (_, term, level) in enumerate(lists):
+            ids, levels, tops, first, last = self.lists[term]
             # A block matters to an example outside the sums if its top and all later lists reach the worst.
-            able = weight * tops + rest[place + 1] >= worst - 1e-9
-            if not able.all():
-                if admitted is None:
-                    admitted = np.append(0, np.cumsum(sums[:-1] > 0))
-                able |= admitted[last + 1] > admitted[first]
-                ids, weights = ids[able], weights[able]
+            if worst:
+                able = tops[:, level] + rest[place + 1] >= worst * (1 - 1e-9)
+                if not able.all():
+                    if admitted is None:
+                        admitted = np.append(0, np.cumsum(sums[:-1] > 0))
+                    able |= admitted[last + 1] > admitted[first]
+                    ids, levels = ids[able], levels[able]
             self.read += len(ids)
             if not len(ids):
                 continue
-            sums[ids] += weight * weights
-            sums[-1] = 0.0
-            # The worst matters once the later lists together reach no further than the best sum so far.
+            sums[ids] += self.worth[term, np.minimum(levels, level)] * self.inverse[ids]
+            # The worst matters once the later lists together reach no further than the best sum so far. It is looked
+            # up after the first lists and then ever more rarely, as it moves less and less.
             most = max(most, sums[ids].max())
-            if rest[place + 1] <= most:
+            if rest[place + 1] <= most and (place & (place + 1)) == 0:
                 held = sums[sums > 0]
                 if len(held) > count:
                     worst = np.partition(held, -count - 1)[-count - 1]
-                admitted = None
+            admitted = None
         sums = sums[:-1]
         if without >= 0:
             sums[without] = 0.0
@@ -148,16 +164,25 @@ class BlockMaxIndex:
         # Sums of examples that were admitted late lack early lists; those who might be nearest are scored in full.
         if len(order) > count:
             edge = np.partition(sums[order], -count)[-count]
-            order = order[sums[order] + 1e-9 >= edge - 1e-9]
-        exact = [(int(i), sum([w * vector[t] for t, w in self.vectors[i].items() if t in vector])) for i in order]
-        return sorted(exact, key=lambda pair: (-round(pair[1], 9), pair[0]))[:count]
+            order = order[sums[order] >= edge * (1 - 1e-9)]
+        exact = self._products(order, query) * self.inverse[order] / size
+        return sorted(zip(order.tolist(), exact.tolist(), strict=True), key=lambda pair: (-round(pair[1], 9), pair[0]))[:count]
+
+    def _products(self, examples: np.ndarray, query: dict[int, int]) -> np.ndarray:
+        """Of each example, all of which have terms, the worth that it shares with the query."""
+        own = np.zeros(len(self.worth), np.int8)
+        own[list(query)] = list(query.values())
+        sizes = self.ends[examples] - np.where(examples > 0, self.ends[examples - 1], 0)
+        starts = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) - np.repeat(starts, sizes) + np.repeat(self.ends[examples] - sizes, sizes)
+        return np.add.reduceat(self.worth[self.terms[at], np.minimum(self.levels[at], own[self.terms[at]])], starts)
 
 
 @dataclass
 class Model:
     terms: list[str]
-    weights: dict[int, float]            # inverse document frequency by step
-    vectors: list[dict[int, float]]
+    worth: np.ndarray                    # term, level -> squared inverse document frequencies of the steps up to it
+    examples: list[dict[int, int]]       # levels of the terms of each
     labels: np.ndarray
     ids: list
     base: float                          # rate among examples without terms
@@ -166,35 +191,34 @@ class Model:
 
     def __post_init__(self):
         self.vectorizer = Vectorizer(self.terms)
-        self.index = BlockMaxIndex(self.vectors)
+        self.index = BlockMaxIndex(self.examples, self.worth)
         self.found = Remembered(self._score_of, 32 << 20)
 
-    def __reduce__(self):
-        return Model, (self.terms, self.weights, self.vectors, self.labels, self.ids, self.base, self.edges, self.rates)
+    def __getstate__(self):
+        # The examples are in the index, as arrays.
+        return {**self.__dict__, "vectorizer": None, "found": None, "examples": None}
 
-    def vector(self, steps) -> dict[int, float]:
-        weighed = {step: self.weights[step] for step in steps if step in self.weights}
-        size = sqrt(sum([w * w for w in weighed.values()]))
-        return {step: w / size for step, w in weighed.items()} if size else {}
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.vectorizer, self.found = Vectorizer(self.terms), Remembered(self._score_of, 32 << 20)
 
-    def vote(self, vector: dict[int, float], without: int = -1) -> tuple[float, list]:
-        near = self.index.nearest(vector, NEIGHBOURS, without)
+    def vote(self, levels: dict[int, int], without: int = -1) -> tuple[float, list]:
+        near = self.index.nearest(levels, NEIGHBOURS, without)
         weights = [similarity ** POWER for _, similarity in near]
         yes = sum([w * self.labels[i] for w, (i, _) in zip(weights, near, strict=True)])
         return (yes + BASE_VOTES * self.base) / (sum(weights) + BASE_VOTES), near
 
-    def _score_of(self, steps: tuple[int, ...]) -> tuple[float, str]:
-        vector = self.vector(steps)
-        if not vector:
+    def _score_of(self, levels: tuple[tuple[int, int], ...]) -> tuple[float, str]:
+        if not levels or not any(self.worth[t, l] for t, l in levels):
             return float(self.base), ""
-        vote, near = self.vote(vector)
+        vote, near = self.vote(dict(levels))
         evidence = [f"{self.ids[i]}:{int(self.labels[i])}:{similarity:.3f}" for i, similarity in near[:EVIDENCE]]
         return float(np.interp(vote, self.edges, self.rates)), ",".join(evidence)
 
     def score(self, text: str) -> tuple[float, str]:
         """Probability of the label, and the nearest examples as id:label:similarity."""
         self.found.trim()
-        return self.found[tuple(self.vectorizer.steps(text))]
+        return self.found[tuple(sorted(self.vectorizer.levels(text).items()))]
 
     def begin(self) -> None:
         """At the start of a task: lets the tables of other operators in this worker go."""
@@ -266,53 +290,61 @@ def _vocabulary(drawn: DataFrame, rows: int, positive: int) -> list[str]:
         for size in STEMS if size < len(row["term"]))]
 
 
-def _document_frequencies(docs: DataFrame, terms: list[str]) -> dict[int, int]:
-    """Documents with each step of each term, over all documents."""
+def _document_frequencies(docs: DataFrame, terms: list[str]) -> np.ndarray:
+    """(term, step) -> documents that reach the step, over all documents."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
-        vectorizer, counts = Vectorizer(shared.value), Counter()
+        vectorizer, counts = Vectorizer(shared.value), np.zeros((len(shared.value), STEPS + 1), np.int64)
+        Remembered.only(vectorizer.known)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update(vectorizer.steps(text))
-        yield pa.RecordBatch.from_pydict({"step": pa.array(list(counts), pa.int64()),
-                                          "n": pa.array(list(counts.values()), pa.int64())})
+            for text in batch.column("text"):
+                for term, level in vectorizer.levels(text.as_py()).items():
+                    counts[term, level] += 1
+        term, level = np.nonzero(counts)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(term), "level": pa.array(level), "n": pa.array(counts[term, level])})
 
-    counted = docs.select(text_of().alias("text")).mapInArrow(run, "step bigint, n bigint")
-    return {row["step"]: row["n"] for row in counted.groupBy("step").agg(F.sum("n").alias("n")).collect()}
+    counted = docs.select(text_of().alias("text")).mapInArrow(run, "term bigint, level bigint, n bigint")
+    at_level = np.zeros((len(terms), STEPS + 1), np.int64)
+    for row in counted.groupBy("term", "level").agg(F.sum("n").alias("n")).collect():
+        at_level[row["term"], row["level"]] = row["n"]
+    return np.cumsum(at_level[:, :0:-1], axis=1)[:, ::-1]
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_EXAMPLES) -> Model:
-    """A model from the labelled documents. What reaches the driver is bounded: the examples' steps, at most
+    """A model from the labelled documents. What reaches the driver is bounded: the examples' levels, at most
     MOST_TERMS terms and STEPS counts for each."""
     ship(docs.sparkSession)
     drawn = examples(docs, labels, most).checkpoint()
     sums = drawn.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("positive")).first()
     if not 0 < sums["positive"] < sums["rows"]:
         base = float(sums["positive"] > 0)
-        return Model([], {}, [], np.zeros(0), [], base)
+        return Model([], np.zeros((0, STEPS + 1)), [], np.zeros(0), [], base)
     terms = _vocabulary(drawn, sums["rows"], sums["positive"])
     frequencies = _document_frequencies(docs, terms)
-    total = docs.count()
-    weights = {step: log((1 + total) / n) for step, n in frequencies.items() if n <= total}
+    weights = np.where(frequencies > 0, np.log((1 + docs.count()) / np.maximum(frequencies, 1)), 0.0)
+    worth = np.concatenate([np.zeros((len(terms), 1)), np.cumsum(np.maximum(weights, 0.0) ** 2, axis=1)], axis=1)
     shared = docs.sparkSession.sparkContext.broadcast(terms)
-    kinds = drawn.select("doc_id", "toxic", "_order", F.lit(None).cast("array<int>").alias("steps")).schema
+    kinds = drawn.select("doc_id", "toxic", "_order", F.lit(None).cast("array<int>").alias("terms"),
+                         F.lit(None).cast("array<int>").alias("levels")).schema
 
     def run(batches):
         vectorizer = Vectorizer(shared.value)
+        Remembered.only(vectorizer.known)
         for batch in batches:
-            steps = [vectorizer.steps(text) for text in batch.column("text").to_pylist()]
+            levels = [dict(sorted(vectorizer.levels(text.as_py()).items())) for text in batch.column("text")]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"), "_order": batch.column("_order"),
-                "steps": pa.array(steps, pa.list_(pa.int32()))})
+                "terms": pa.array(map(list, levels), pa.list_(pa.int32())),
+                "levels": pa.array([list(one.values()) for one in levels], pa.list_(pa.int32()))})
 
     rows = drawn.select("doc_id", "text", "toxic", "_order").mapInArrow(run, kinds)
-    rows = sorted(rows.collect(), key=lambda r: (r["_order"], r["toxic"], r["steps"]))
+    rows = sorted(rows.collect(), key=lambda r: r["_order"])
     labels_of = np.array([float(row["toxic"] > 0) for row in rows])
-    empty = np.array([not row["steps"] for row in rows])
+    empty = np.array([not row["terms"] for row in rows])
     base = (labels_of[empty].sum() + 0.5 * labels_of.mean()) / (empty.sum() + 0.5)
-    model = Model(terms, weights, [], labels_of, [row["doc_id"] for row in rows], float(base))
-    model = Model(terms, weights, [model.vector(row["steps"]) for row in rows], labels_of, model.ids, float(base))
+    model = Model(terms, worth, [dict(zip(row["terms"], row["levels"], strict=True)) for row in rows], labels_of,
+                  [row["doc_id"] for row in rows], float(base))
     model.calibrate(*_left_out_votes(docs.sparkSession, model))
     return model
 
@@ -320,18 +352,19 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_EXAMPLES) -> Model:
 def _left_out_votes(spark: SparkSession, model: Model) -> tuple[list[int], np.ndarray]:
     """The examples that have terms, and the vote that each gets from the others; searched in tasks."""
     shared = spark.sparkContext.broadcast(model)
-    partitions = min(4 * spark.sparkContext.defaultParallelism, 1 + len(model.vectors) // 64)
+    placed = [i for i, levels in enumerate(model.examples) if levels]
+    partitions = min(4 * spark.sparkContext.defaultParallelism, 1 + len(placed) // 64)
+    rows = spark.createDataFrame([(i, list(levels), list(levels.values())) for i, levels in enumerate(model.examples)
+                                  if levels], "place int, terms array<int>, levels array<int>").repartition(partitions)
 
     def run(batches):
         shared.value.begin()
         for batch in batches:
-            mine = [i for i in batch.column(0).to_pylist() if shared.value.vectors[i]]
-            yield pa.RecordBatch.from_pydict({
-                "place": pa.array(mine, pa.int64()),
-                "vote": pa.array([shared.value.vote(shared.value.vectors[i], without=i)[0] for i in mine], pa.float64())})
+            votes = [shared.value.vote(dict(zip(terms, levels, strict=True)), without=i)[0]
+                     for i, terms, levels in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)]
+            yield pa.RecordBatch.from_pydict({"place": batch.column("place"), "vote": pa.array(votes, pa.float64())})
 
-    places = spark.range(0, len(model.vectors), 1, partitions)
-    found = sorted(map(tuple, places.mapInArrow(run, "place long, vote double").collect()))
+    found = sorted(map(tuple, rows.mapInArrow(run, "place int, vote double").collect())) if placed else []
     shared.unpersist()
     return [place for place, _ in found], np.array([vote for _, vote in found])
 
@@ -346,7 +379,7 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     def run(batches):
         shared.value.begin()
         for batch in batches:
-            found = [shared.value.score(text) for text in batch.column("text").to_pylist()]
+            found = [shared.value.score(text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "score": pa.array([s for s, _ in found], pa.float64()),
                 "evidence": pa.array([e for _, e in found], pa.string())})
