@@ -11,7 +11,7 @@ from . import forecast
 from .operators.features import clean_and_derive
 from .operators.reports import daily_report, road_congestion_summary
 from .operators.serving import current_status
-from .sinks import write_date_partitioned
+from .sinks import merge_date_partitioned, write_date_partitioned
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame], as_of: dt.datetime | Column | None = None,
@@ -52,10 +52,19 @@ def run_daily_report(events: DataFrame, report_date: dt.date, target: str, creat
     return spark.read.parquet(target).where(F.col("report_id") > last)
 
 
-def run_etl(raw: DataFrame, target: str, ts: str = "timestamp") -> DataFrame:
-    """Raw readings to the lake by day: cleaned, enriched, and in place of the days they hold."""
-    write_date_partitioned(clean_and_derive(raw), target, ts)
-    return raw.sparkSession.read.parquet(target)
+def run_etl(raw: DataFrame, target: str, ts: str = "timestamp", key: tuple[str, ...] | None = None) -> DataFrame:
+    """Raw readings to the lake by day, cleaned and enriched; returns the days they touched, as they are then.
+
+    With a key late readings are merged into their days. Without one the batch takes the place of the days it holds.
+    """
+    clean = clean_and_derive(raw)
+    if key is None:
+        write_date_partitioned(clean, target, ts)
+    else:
+        merge_date_partitioned(clean, target, key, ts)
+    days = raw.select(F.to_date(ts).alias("__day")).distinct()  # bounded by the calendar
+    lake = raw.sparkSession.read.parquet(target)
+    return lake.join(F.broadcast(days), F.make_date("year", "month", "day") == F.col("__day"), "left_semi")
 
 
 def run_training(events: DataFrame, roads: DataFrame, weather: DataFrame, path: str, trained_at: dt.datetime,

@@ -100,6 +100,14 @@ def period_report(events: DataFrame, period: str, ts: str = "timestamp") -> Data
     return report.transform(_dated, period, F.col("__start")).transform(select_report_columns)
 
 
+def report_of_parts(parts: DataFrame, period: str) -> DataFrame:
+    """The report from rows of `road_hour_parts` of any finer grain, dated by their column `__start`."""
+    keys = ("__start", "road_id")
+    sums = [c for c in parts.columns if c not in (*keys, "date", "hour")]
+    summed = parts.groupBy(*keys, "hour").agg(*[F.sum(c).alias(c) for c in sums])
+    return _report(summed, keys).transform(_dated, period, F.col("__start")).transform(select_report_columns)
+
+
 def lookback_filter(df: DataFrame, as_of: dt.datetime | Column, hours: int = 24, ts: str = "timestamp",
                     date_partitioned: bool = False) -> DataFrame:
     """Rows later than `as_of` less `hours`. A literal `as_of` reaches the Parquet scan.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import forecast
 from ..functions import round_numeric, time_features
-from ..forecast import FEATURES
+from ..forecast import FEATURES, demand
 from ..forecast.features import LABEL
 from ..forecast.training import linear
 from ..session import shared_dir, shared_path
@@ -362,3 +362,66 @@ def cross_validate_best(m):
     searched = forecast.grid_search(train, {"by_speed": (linear(), ("average_speed_kmh",)), "by_hour": (linear(), ("hour",))},
                                     key="event_id")
     return m.spark.createDataFrame([(searched.best_name,)], "model_name string")
+
+
+PANEL_SINCE, PANEL_UNTIL = dt.datetime(1995, 1, 1), dt.datetime(2001, 8, 1)
+ORIGINS = [dt.datetime(2000, 1, 3), dt.datetime(2001, 1, 1), dt.datetime(2001, 7, 2)]
+TEST_DAYS = 7
+_PANEL_SQL = f"""(SELECT p.road_id, p."at", coalesce(n, 0) AS rides FROM (
+   SELECT road_id, unnest(range(TIMESTAMP '{PANEL_SINCE}', TIMESTAMP '{PANEL_UNTIL + dt.timedelta(days=1)}', INTERVAL 1 DAY)) AS "at" FROM roads) p
+ LEFT JOIN (SELECT pickup_road_id AS road_id, date_trunc('day', "timestamp") AS "at", count(*) AS n FROM ride_requests GROUP BY 1, 2) r
+   ON p.road_id = r.road_id AND p."at" = r."at")"""
+_DEMAND_SQL = f"""(SELECT *, {", ".join(f'lag(rides, {k}) OVER s AS lag_{k}' for k in demand.LAGS)},
+  {", ".join(f"""CASE WHEN count(*) OVER (s ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) = {k}
+     THEN CAST(sum(rides) OVER (s ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) AS DOUBLE) / {k} END AS mean_{k}""" for k in demand.FRAMES)}
+ FROM {_PANEL_SQL} WINDOW s AS (PARTITION BY road_id ORDER BY "at"))"""
+_ORIGINS_SQL = f"""(SELECT d.*, origin, "at" >= origin AS is_test FROM {_DEMAND_SQL} d
+ JOIN (SELECT unnest([{", ".join(f"TIMESTAMP '{o}'" for o in ORIGINS)}]) AS origin) o ON "at" < origin + INTERVAL {TEST_DAYS} DAY)"""
+
+
+def _demand(m) -> tuple[DataFrame, DataFrame]:
+    panel = demand.demand_panel(m.rides, m.roads, PANEL_SINCE, PANEL_UNTIL)
+    return panel, demand.demand_features(panel)
+
+
+@query("ride_demand_features", f"SELECT * FROM {_DEMAND_SQL}")
+def ride_demand_features(m):
+    return _demand(m)[1].withColumns({f"mean_{k}": F.col(f"mean_{k}") for k in demand.FRAMES})
+
+
+@query("ride_demand_forecasts", f"""
+SELECT 'weekly_rule' AS model_name, 'RIDE_DEMAND' AS prediction_type, road_id, "at" - INTERVAL {TEST_DAYS} DAY AS predicted_at,
+       CAST({TEST_DAYS * 1440} AS INT) AS prediction_horizon_minutes, CAST(trunc(p) AS INT) AS predicted_vehicle_count,
+       CAST(rides AS INT) AS actual_vehicle_count, CAST(abs(CAST(trunc(p) AS INT) - rides) AS DOUBLE) AS rmse
+FROM (SELECT *, (lag_7 + lag_14 + lag_21 + lag_28) / 4e0 AS p FROM {_ORIGINS_SQL}) WHERE is_test""")
+def ride_demand_forecasts(m):
+    """A week ahead of each day from the origins on, recorded, and met by what was asked for."""
+    panel, features = _demand(m)
+    tested = demand.rolling_origins(features, ORIGINS, TEST_DAYS).where("is_test")
+    scored = demand.weekly_rule(tested).withColumn("predicted_vehicle_count", F.col("predicted_count").cast("int"))
+    predictions = forecast.record_predictions(
+        scored, model_name="weekly_rule", prediction_type="RIDE_DEMAND",
+        predicted_at=F.col("at") - F.expr(f"INTERVAL {TEST_DAYS} DAYS"), horizon_minutes=TEST_DAYS * 1440)
+    return demand.with_demand_actuals(predictions, panel).drop("sensor_id", "predicted_congestion_level",
+                                                               "predicted_avg_speed", "confidence_score")
+
+
+_DEMAND_ROWS = f"""(SELECT * FROM {_ORIGINS_SQL} WHERE {" AND ".join(f"{c} IS NOT NULL" for c in demand.DEMAND_FEATURES)})"""
+_DEMAND_LINES = f"""(SELECT t.origin, rides, base + slope * mean_28 AS p FROM {_DEMAND_ROWS} t
+ JOIN (SELECT origin, regr_slope(rides, mean_28) AS slope, regr_intercept(rides, mean_28) AS base
+       FROM {_DEMAND_ROWS} WHERE NOT is_test GROUP BY origin) l ON t.origin = l.origin WHERE is_test)"""
+
+
+@query("ride_demand_rolling_origin", _measures_sql(_DEMAND_LINES, "p", "origin,").replace("vehicle_count", "rides")
+       + " GROUP BY origin")
+def ride_demand_rolling_origin(m):
+    """Least squares on the mean of four weeks, fitted anew at each origin on what was known then."""
+    shared_dir(m.spark)
+    rows = demand.as_training_rows(demand.rolling_origins(_demand(m)[1], ORIGINS, TEST_DAYS)).checkpoint()
+    scored = None
+    for origin in ORIGINS:
+        own = rows.where(F.col("origin") == F.to_timestamp_ntz(F.lit(str(origin))))
+        model = forecast.train_linear(own.where("NOT is_test"), features=("mean_28",))
+        part = model.transform(own.where("is_test")).select("origin", LABEL, "prediction")
+        scored = part if scored is None else scored.unionAll(part)
+    return _tidy_measures(forecast.evaluate_regression(scored, by=("origin",)))

@@ -58,6 +58,19 @@ def job_etl(m):
 ORACLES["job_etl"] = ORACLES["clean_and_derive"]
 
 
+@query("job_etl_late")
+def job_etl_late(m):
+    """Every fifth reading comes late, in a second run that is then repeated."""
+    target, key = shared_path(m.spark, "etl"), ("event_id", "timestamp")
+    late = F.col("event_id") % 5 == 0
+    for batch in (m.readings.where(~late), m.readings.where(late), m.readings.where(late)):
+        jobs.run_etl(batch, target, key=key)
+    return m.spark.read.parquet(target).select(*DERIVED_COLUMNS)
+
+
+ORACLES["job_etl_late"] = ORACLES["clean_and_derive"]
+
+
 @query("job_training", f"""
 SELECT event_id, {rounded("40.137e0 + 3 * hour + 2 * average_speed_kmh", 4)} AS prediction,
        'linear_regression' AS best_algorithm, 1e0 AS r2, 4 AS models

@@ -6,17 +6,21 @@ it wrote to the shared folder.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import round_numeric
 from ..operators.quality import CORRUPT, quarantine
 from ..schemas import WEATHER_MESSAGE
 from ..session import shared_path
-from ..sinks import parquet_micro_batch, sink_micro_batch, sink_raw_parquet
+from ..jobs import register_views
+from ..sinks import latest_rows_batches, parquet_micro_batch, read_latest_rows, sink_micro_batch, sink_raw_parquet
 from ..streaming import (clean_stream, conformed_batches, dedupe_closed, dedupe_stream, parse_messages, parse_readings, run_stream,
                          windowed_metrics, with_event_time)
 from ..streaming.readings import EVENT_TIME
-from .catalog import query, rounded
+from .catalog import ORACLES, query, rounded
+from . import serving  # noqa: F401  its SQL is used again
 from .model import PROVIDED, TrafficModel, ntz
 
 MESSAGE_COLUMNS = ("sensor_id", "vehicle_count", "average_speed_kmh", "latitude", "event_ts")
@@ -186,15 +190,46 @@ def conformed_stream(m):
         "congestion_level", "weather_id", "hour")
 
 
-@query("stream_dead_letters", """
-SELECT 'coordinates out of range' AS error, sensor_id, vehicle_count, "timestamp" AS event_ts FROM readings
-WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND sensor_id IS NOT NULL AND latitude > 90
-UNION ALL
-SELECT 'count or speed out of range', sensor_id, vehicle_count, "timestamp" FROM readings
-WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND sensor_id IS NOT NULL AND latitude <= 90
-  AND (vehicle_count < 0 OR average_speed_kmh < 0)""")
+@query("stream_current_status")
+def stream_status(m):
+    """Readings in three batches, the newest first, each written twice; the view over the table that they maintain."""
+    path = shared_path(m.spark, "status")
+    for part in (2, 0, 1):
+        m.read("events").where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{path}/events")
+    streamed = TrafficModel(m.spark, m.sf_dir)
+    streamed.read = lambda table: (
+        m.spark.readStream.schema(PROVIDED[table]).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
+        if table == "events" else m.read(table))
+    write = latest_rows_batches(f"{path}/latest", "sensor_id", "timestamp", "event_id")
+
+    def write_twice(batch, batch_id):
+        write(batch, batch_id)
+        write(batch, batch_id)
+    sink_micro_batch(streamed.events, write_twice, f"{path}/checkpoint", availableNow=True).awaitTermination()
+    register_views(m.spark, {"traffic_events": read_latest_rows(m.spark, f"{path}/latest"), "roads": m.roads,
+                             "sensor_locations": m.sensors, "weather_data": m.weather})
+    return m.spark.table("v_current_traffic_status")
+
+
+ORACLES["stream_current_status"] = ORACLES["current_status"]
+
+
+_MESSAGE_ERROR = """CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'malformed JSON' WHEN sensor_id IS NULL THEN 'missing core field'
+            WHEN latitude > 90 THEN 'coordinates out of range'
+            WHEN vehicle_count < 0 OR average_speed_kmh < 0 THEN 'count or speed out of range' ELSE 'none' END"""
+# What can be read again of a message: nothing of one that is no JSON, all but the count of one with a bad count.
+_READ_AGAIN = f"""
+SELECT {_MESSAGE_ERROR} AS error, CASE WHEN event_id % 41 <> 0 THEN sensor_id END AS sensor_id,
+       CASE WHEN event_id % 41 <> 0 AND event_id % 43 <> 0 THEN vehicle_count END AS vehicle_count,
+       CASE WHEN event_id % 41 <> 0 THEN "timestamp" END AS event_ts,
+       CASE WHEN event_id % 41 = 0 THEN 'no json ' || CAST(event_id AS VARCHAR) END AS no_json
+FROM readings"""
+FAILED_AT = dt.datetime(2024, 2, 2, 3, 4, 5)
+
+
+@query("stream_dead_letters", f"SELECT * FROM ({_READ_AGAIN}) WHERE error <> 'none'")
 def dead_letters(m):
-    """The dead letters of two rules, read again from the payload that was kept."""
+    """The dead letters of all rules, read again from the payload that was kept."""
     path = shared_path(m.spark, "dead-letters")
     m.messages.write.text(f"{path}/messages")
 
@@ -203,30 +238,58 @@ def dead_letters(m):
     running = run_stream(m.spark.readStream.text(f"{path}/messages"), {}, landing, f"{path}/checkpoints")
     for stream in running.values():
         stream.awaitTermination()
-    bad = m.spark.read.parquet(f"{path}/dead_letters").where("error LIKE '%out of range'")
-    sent = parse_readings(bad.select(F.col("original_payload").alias("value")))
-    fields = _times_without_zone(sent).select("value", "sensor_id", "vehicle_count", "event_ts").distinct()
-    return (bad.select("error", F.col("original_payload").alias("value")).join(fields, "value")
-            .select("error", "sensor_id", "vehicle_count", "event_ts"))
-
-
-@query("run_stream", """
-SELECT CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'malformed JSON' WHEN sensor_id IS NULL THEN 'missing core field'
-            WHEN latitude > 90 THEN 'coordinates out of range'
-            WHEN vehicle_count < 0 OR average_speed_kmh < 0 THEN 'count or speed out of range' ELSE 'none' END AS error,
-       count(*) AS messages
-FROM readings GROUP BY 1""")
+    return _payloads_read(m.spark.read.parquet(f"{path}/dead_letters"))
+
+
+def _payloads_read(bad: DataFrame) -> DataFrame:
+    """Dead letters with the fields that their payloads still give. A payload that occurs twice fails for one reason."""
+    reasons = bad.select(F.col("original_payload").alias("value"), "error").distinct()
+    sent = parse_readings(bad.select(F.col("original_payload").alias("value"))).join(reasons, "value")
+    return _times_without_zone(sent).select("error", "sensor_id", "vehicle_count", "event_ts",
+                                            F.when(F.col("value").startswith("no json"), F.col("value")).alias("no_json"))
+
+
+@query("quarantine_letters", f"""
+SELECT *, TIMESTAMP '2024-02-02 03:04:05' AS failed_at FROM ({_READ_AGAIN}) WHERE error <> 'none'""")
+def quarantine_letters(m):
+    """The letters themselves, with the time of the failure, which is an argument."""
+    _, bad = quarantine(parse_readings(m.messages), failed_at=F.lit(FAILED_AT))
+    return _payloads_read(bad).withColumn("failed_at", ntz(F.lit(FAILED_AT)))
+
+
+@query("run_stream", f"""
+SELECT 'letter' AS landed, error, sensor_id, vehicle_count, event_ts, no_json, CAST(NULL AS VARCHAR) AS congestion_level
+FROM ({_READ_AGAIN}) WHERE error <> 'none'
+UNION ALL SELECT 'raw', * , NULL FROM ({_READ_AGAIN}) WHERE error = 'none'
+UNION ALL SELECT 'conformed', 'none', r.sensor_id, r.vehicle_count, r."timestamp", NULL,
+  CASE WHEN r.average_speed_kmh >= d.speed_limit_kmh THEN 'LOW' WHEN 1e0 - r.average_speed_kmh / d.speed_limit_kmh < 0.25 THEN 'LOW'
+       WHEN 1e0 - r.average_speed_kmh / d.speed_limit_kmh < 0.5 THEN 'MEDIUM'
+       WHEN 1e0 - r.average_speed_kmh / d.speed_limit_kmh < 0.75 THEN 'HIGH' ELSE 'CRITICAL' END
+FROM readings r JOIN sensor_locations s ON r.sensor_id = s.sensor_id JOIN roads d ON s.road_id = d.road_id
+WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND r.latitude <= 90 AND r.vehicle_count >= 0 AND r.average_speed_kmh >= 0""")
 def fan_out(m):
-    """Messages from text files through both branches: clean readings, and dead letters by error."""
+    """Messages from text files through all branches at once: the raw lake, the event table, and dead letters."""
     path = shared_path(m.spark, "fan-out")
     m.messages.write.text(f"{path}/messages")
 
     def landing(name):
         return lambda df, checkpoint: sink_raw_parquet(df, f"{path}/{name}", checkpoint, (), availableNow=True)
-    running = run_stream(m.spark.readStream.text(f"{path}/messages"), {"readings": landing("readings")},
+    conform = conformed_batches(lambda: (m.sensors, m.roads, m.weather), parquet_micro_batch(f"{path}/conformed"))
+
+    def conformed(df, checkpoint):
+        def write(batch, batch_id):
+            conform(batch.withColumn("timestamp", ntz(F.col(EVENT_TIME))), batch_id)
+        return sink_micro_batch(df, write, checkpoint, availableNow=True)
+    running = run_stream(m.spark.readStream.text(f"{path}/messages"), {"raw": landing("raw"), "conformed": conformed},
                          landing("dead_letters"), f"{path}/checkpoints")
     for stream in running.values():
         stream.awaitTermination()
-    clean_rows = m.spark.read.parquet(f"{path}/readings").select(F.lit("none").alias("error"))
-    bad_rows = m.spark.read.parquet(f"{path}/dead_letters").select("error")
-    return clean_rows.unionAll(bad_rows).groupBy("error").agg(F.count(F.lit(1)).alias("messages"))
+    read = m.spark.read.parquet
+    none = F.lit(None).cast("string")
+    letters = _payloads_read(read(f"{path}/dead_letters")).withColumns({"landed": F.lit("letter"), "congestion_level": none})
+    raw = _times_without_zone(read(f"{path}/raw")).withColumns({
+        "landed": F.lit("raw"), "error": F.lit("none"), "no_json": none, "congestion_level": none})
+    events = read(f"{path}/conformed").withColumnRenamed("timestamp", "event_ts").withColumns({
+        "landed": F.lit("conformed"), "error": F.lit("none"), "no_json": none})
+    columns = ["landed", "error", "sensor_id", "vehicle_count", "event_ts", "no_json", "congestion_level"]
+    return letters.select(columns).unionAll(raw.select(columns)).unionAll(events.select(columns))
