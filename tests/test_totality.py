@@ -156,3 +156,12 @@ def test_events_are_read_at_most_twice_besides_the_dimensions(spark, name, most)
     from viaduct.plans import QUERIES
     frame = QUERIES[name](spark, DATA)
     assert 0 < plan(frame).count("events.parquet]") <= most
+
+
+def test_csv_with_another_header_is_refused(spark, tmp_path):
+    (tmp_path / "turned.csv").write_text("b,a\n1,2\n")
+    (tmp_path / "short.csv").write_text("a\n1\n")
+    for name in ("turned", "short"):
+        for bad_records in ("fail", "keep"):
+            with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+                read_csv(spark, str(tmp_path / f"{name}.csv"), PAIR, bad_records=bad_records).collect()

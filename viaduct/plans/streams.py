@@ -16,7 +16,8 @@ from ..schemas import WEATHER_MESSAGE
 from ..session import shared_path
 from ..jobs import register_views
 from ..sinks import latest_rows_batches, parquet_micro_batch, read_latest_rows, sink_micro_batch, sink_raw_parquet
-from ..streaming import (clean_stream, conformed_batches, dedupe_closed, dedupe_stream, parse_messages, parse_readings, run_stream,
+from ..streaming import (clean_stream, conformed_batches, dedupe_closed, dedupe_stream, join_weather_streams,
+                         parse_messages, parse_readings, run_stream,
                          windowed_metrics, with_event_time)
 from ..streaming.readings import EVENT_TIME
 from .catalog import ORACLES, query, rounded
@@ -190,6 +191,31 @@ def conformed_stream(m):
         "congestion_level", "weather_id", "hour")
 
 
+@query("stream_weather_join", """
+SELECT e.event_id, e.sensor_id, e."timestamp" AS event_ts,
+       CASE WHEN w."timestamp" > e."timestamp" - INTERVAL 3 HOUR THEN w.weather_id END AS weather_id,
+       CASE WHEN w."timestamp" > e."timestamp" - INTERVAL 3 HOUR THEN w.temperature_celsius END AS temperature_celsius
+FROM raw_events e ASOF LEFT JOIN weather_data w ON e."timestamp" >= w."timestamp"
+WHERE e."timestamp" <= least((SELECT max("timestamp") FROM weather_data), (SELECT max(ts) FROM events))
+  - INTERVAL 10 MINUTE - INTERVAL 3 HOUR""")
+def stream_weather(m):
+    """Two streams of three and four files, a file of each per batch: the weather of a reading comes a batch later."""
+    path, instant = shared_path(m.spark, "weather-topic"), F.col("timestamp").cast("timestamp").alias("timestamp")
+    events = m.raw_events.select("event_id", "sensor_id", instant)
+    weather = m.weather.select("weather_id", instant, "temperature_celsius")
+    for frame, name, days in ((events, "readings", (10, 20, 31)), (weather, "weather", (1, 10, 20, 31))):
+        since = 1
+        for until in days:
+            (frame.where(F.dayofmonth("timestamp").between(since, until)).coalesce(1)
+             .write.mode("append").parquet(f"{path}/{name}"))
+            since = until + 1
+    topics = [m.spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/{name}")
+              for frame, name in ((events, "readings"), (weather, "weather"))]
+    landed = _run_dry(m, join_weather_streams(*topics, key=("event_id",)), "weathered", partition_by=())
+    return landed.select("event_id", "sensor_id", ntz(F.col("timestamp")).alias("event_ts"), "weather_id",
+                         "temperature_celsius")
+
+
 @query("stream_current_status")
 def stream_status(m):
     """Readings in three batches, the newest first, each written twice; the view over the table that they maintain."""

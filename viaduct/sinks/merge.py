@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.serving import latest_per_key
 from ..session import shared_dir
-from ..sources.files import read_date_partitions
+from ..sources.files import read_days
 from .files import write_date_partitioned
 from .replay import BatchWriter
 
@@ -48,11 +48,7 @@ def merge_date_partitioned(df: DataFrame, path: str, key: tuple[str, ...], ts: s
     _finish(spark, root)
     if not days:
         return
-    held = [read_date_partitions(spark, root, day, day, df.schema) for day in sorted(days)]
-    kept = None
-    for one in held:
-        one = one.select(*df.columns)
-        kept = one if kept is None else kept.unionByName(one)
+    kept = read_days(spark, root, sorted(days), df.schema).select(*df.columns)
     taken = batch.select(*[F.col(c).alias(f"__{c}") for c in key])
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
     merged = kept.join(taken, same, "left_anti").unionByName(batch)

@@ -26,7 +26,7 @@ def _open(load, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, bad_records: str = "fail") -> DataFrame:
-    """A CSV with a header that must match the schema; a missing file raises `SourceNotFound`.
+    """A CSV with a header that must match the schema, or reading it fails; a missing file raises `SourceNotFound`.
 
     A value that does not fit its column makes the reading fail. With `bad_records="keep"` it turns null and the
     record stays as received in `_corrupt_record`, which is null for good records.
@@ -37,8 +37,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, bad_records: st
     if bad_records == "fail":
         return _open(reader.schema(schema).option("mode", "FAILFAST").csv, path)
     marked = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
-    return _open(reader.schema(marked).option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).csv,
-                 path)
+    return _open(reader.schema(marked).option("columnNameOfCorruptRecord", CORRUPT).csv, path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -60,13 +59,17 @@ def read_events_with_fallback(spark: SparkSession, parquet_path: str, csv_path:
 
 def read_date_partitions(spark: SparkSession, path: str, since: dt.date, until: dt.date,
                          schema: StructType | None = None) -> DataFrame:
-    """The days from `since` to `until`, both included, of what `write_date_partitioned` wrote.
+    """The days from `since` to `until`, both included, of what `write_date_partitioned` wrote; see `read_days`."""
+    return read_days(spark, path, [since + dt.timedelta(days=n) for n in range((until - since).days + 1)], schema)
+
+
+def read_days(spark: SparkSession, path: str, days: list[dt.date], schema: StructType | None = None) -> DataFrame:
+    """These days of what `write_date_partitioned` wrote.
 
     Only the folders of these days are opened, so that a lake of many years is not listed for one day of it. Days
     without a folder hold no rows; if none has one, the frame is empty and needs the schema.
     """
     root = path.rstrip("/")
-    days = [since + dt.timedelta(days=n) for n in range((until - since).days + 1)]
     folders = [f"{root}/year={day.year}/month={day.month}/day={day.day}" for day in days]
     files = spark._jvm.org.apache.hadoop.fs
     system = files.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -76,7 +79,7 @@ def read_date_partitions(spark: SparkSession, path: str, since: dt.date, until:
     if there:
         return reader.parquet(*there)
     if schema is None:
-        raise SourceNotFound(f"{root} has no day from {since} to {until}")
+        raise SourceNotFound(f"{root} has none of {len(days)} days from {min(days)} to {max(days)}" if days else root)
     return spark.createDataFrame([], schema)
 
 
