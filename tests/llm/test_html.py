@@ -94,3 +94,16 @@ def test_rows(spark):
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(
         [(1, "u", TEXT, len(TEXT))] * 2 + [(2, None, "", 0), (None, "v", "", 0)], key=repr)
     assert extract_text(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_time_grows_with_the_length_of_nested_named_parts():
+    from time import perf_counter
+
+    def seconds(depth):
+        page = "<body>" + "<div class='related'>word " * depth + "</div>" * depth + "<p>" + "text and more. " * 50 + "</p></body>"
+        start = perf_counter()
+        assert "text and more." in main_text(page)
+        return perf_counter() - start
+    seconds(1000)
+    short, long = min(seconds(5_000) for _ in range(3)), seconds(50_000)
+    assert long < 40 * short  # ten times the depth; a quadratic walk takes a hundred times as long

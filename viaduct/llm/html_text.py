@@ -270,12 +270,12 @@ def _above(nodes: list[Node], parent: dict[int, Node]) -> list[Node]:
     return found
 
 
-def _leave_out_named(body: Node) -> list[tuple[Node, list[Node]]]:
+def _leave_out_named(body: Node) -> tuple[list[Node], list[Node], dict[int, Node]]:
     """Leaves out the named parts for which nothing speaks. Gives those which may yet turn out to lie in the article,
-    each with the nodes above it."""
+    and all nodes as they were, parents first, with their parents."""
     nodes = _in_order(body)
     if not any(node.named for node in nodes):
-        return []
+        return [], [], {}
     _count(nodes)
     parent = _parents(nodes)
     inside = {}  # per node, whether it is or lies in a named part, in `article`, in `main`
@@ -305,20 +305,19 @@ def _leave_out_named(body: Node) -> list[tuple[Node, list[Node]]]:
         out.append(node)
         if not holders and not sure and PLACES.isdisjoint(node.named) and _few_links(node):
             pending.append(node)
-    above = [(node, _above([node], parent)) for node in pending]
     for node in out:
         node.out = True
     _count(_in_order(body))
     if not body.chars:
         for node in out:
             node.out = not SURE.isdisjoint(node.named)
-    return above
+    return pending, nodes, parent
 
 
 def main_nodes(root: Node) -> list[Node]:
     """The subtrees that hold the main text, in page order; none lies within another."""
     body = next((part for part in root.parts if type(part) is Node and part.name == "body"), root)
-    pending_parts = _leave_out_named(body)
+    undecided, before, parent_before = _leave_out_named(body)
     nodes = _in_order(body)
     _measure(nodes, body)
     if not body.chars:
@@ -345,11 +344,16 @@ def main_nodes(root: Node) -> list[Node]:
             found.append(node)
         else:
             pending += [part for part in reversed(node.parts) if type(part) is Node and not part.out]
-    given = {id(node) for node in found}
-    for node, above in pending_parts:
-        inside = any(id(up) in given for up in above if up is not body)
-        if inside or id(body) in given and node.name == "section":
-            node.out = False
+    if undecided:
+        # What lies below a node that is given, told on from parent to child.
+        given, below = {id(node) for node in found}, set()
+        for node in before:
+            up = parent_before.get(id(node), body)
+            if up is not body and (id(up) in given or id(up) in below):
+                below.add(id(node))
+        for node in undecided:
+            if id(node) in below or id(body) in given and node.name == "section":
+                node.out = False
     return found
 
 
