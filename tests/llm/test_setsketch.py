@@ -35,3 +35,12 @@ def test_shingles_of_short_sequences():
     assert len(s.shingle_hashes(words, 5)) == 1 and len(s.shingle_hashes(words, 2)) == 2
     assert len(s.shingle_hashes(words[:0], 5)) == 0
     assert len(s.shingle_hashes(np.array([1, 1, 1, 1], np.uint64), 2)) == 1
+
+
+def test_rows_drawn_by_hash_do_not_depend_on_partitions(spark):
+    from viaduct.llm.stored import drawn_by_hash
+
+    frame = spark.range(20_000).selectExpr("cast(id AS string) AS k")
+    drawn = [sorted(r[0] for r in drawn_by_hash(f, "k", 300, 20_000).collect()) for f in (frame, frame.repartition(9))]
+    assert len(drawn[0]) == 300 and drawn[0] == drawn[1]
+    assert drawn_by_hash(frame.limit(10), "k", 300, 10).count() == 10

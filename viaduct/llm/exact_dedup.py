@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bloom import passes, repeated_plane
+from .merging import begin_task
 from .words import lower_ascii, text_of
 
 
@@ -32,6 +33,7 @@ def _flagged(frame: DataFrame, plane: np.ndarray) -> DataFrame:
     kinds = frame.withColumn("_again", F.lit(True)).drop("_hash").schema
 
     def run(batches):
+        begin_task()
         for batch in batches:
             again = passes(shared.value, batch.column("_hash").to_numpy(zero_copy_only=False))
             columns = {n: batch.column(n) for n in names if n != "_hash"}

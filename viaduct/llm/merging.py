@@ -13,6 +13,8 @@ from heapq import heapify, heappop, heappush
 from sys import getsizeof
 from weakref import ref
 
+import pyarrow as pa
+
 NO_SYMBOL = 0xFFFF  # stands for characters that are in no vocabulary; it is in no pair
 _PLACE = (1 << 32) - 1
 
@@ -127,6 +129,13 @@ class Remembered(dict):
                 table.forget()
 
 
+def begin_task(*tables: Remembered) -> None:
+    """At the start of a task in a worker process that has served other operators: only these tables stay, and memory
+    that Arrow holds on to goes back to the system."""
+    Remembered.only(*tables)
+    pa.default_memory_pool().release_unused()
+
+
 PORTION_BYTES = 4 << 20
 
 

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from . import setsketch
 from .bloom import once_plane, passes
 from .components import components
+from .merging import begin_task
 from .shipping import ship
 from .stored import stored
 from .words import text_of
@@ -78,10 +79,11 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                         F.lit(None).cast("binary").alias("registers")).schema
 
     def run(batches):
+        begin_task()
         for batch in batches:
             n, keys, bands, registers = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                hashes = shingle_set(text, shingle)
+            for text in batch.column("text"):
+                hashes = shingle_set(text.as_py(), shingle)
                 n.append(len(hashes))
                 keys.append(set_key(hashes))
                 sketch = setsketch.registers(hashes) if len(hashes) else None
@@ -133,8 +135,9 @@ def _shingles_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, shingle: i
     def run(batches):
         for batch in batches:
             ids, sets = [], []
-            for i, key, text in zip(*(batch.column(c).to_pylist() for c in ("id", "key", "text")), strict=True):
-                hashes = shingle_set(text, shingle)
+            # One text at a time: a batch may be large.
+            for i, key, text in zip(*(batch.column(c).to_pylist() for c in ("id", "key")), batch.column("text"), strict=True):
+                hashes = shingle_set(text.as_py(), shingle)
                 if set_key(hashes) == key:  # seals of unlike texts may be alike
                     ids.append(i)
                     sets.append(hashes.tobytes())
@@ -157,8 +160,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: i
     def run(batches):
         for batch in batches:
             keep = []
-            for one, two in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-                first, second = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+            for one, two in zip(batch.column("sa"), batch.column("sb"), strict=True):
+                first, second = (np.frombuffer(side.as_buffer(), np.uint64) for side in (one, two))
                 common = len(np.intersect1d(first, second, assume_unique=True))
                 keep.append(100 * common >= percent * (len(first) + len(second) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -192,6 +195,7 @@ def _in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     kinds = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
 
     def run(batches):
+        begin_task()
         held, current = [], None
         for batch in batches:
             if not batch.num_rows:
@@ -216,7 +220,7 @@ def _joining_links(group: pa.Table, percent: int):
     component = np.unique(np.array(group.column("component").to_pylist()), return_inverse=True)[1]
     if component.max() == 0:
         return
-    sets = [np.frombuffer(one, np.uint64) for one in group.column("shingles").to_pylist()]
+    sets = [np.frombuffer(one.as_buffer(), np.uint64) for one in group.column("shingles")]
     size = np.array([len(one) for one in sets])
     place = np.unique(np.concatenate(sets), return_inverse=True)[1]
     starts = np.concatenate([[0], np.cumsum(size)[:-1]])

@@ -26,7 +26,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .merging import NO_SYMBOL, Remembered, merge, merge_short, portions
+from .merging import NO_SYMBOL, Remembered, begin_task, merge, merge_short, portions
 from .shipping import ship
 from .words import text_of
 
@@ -168,7 +168,7 @@ def _mapped(docs: DataFrame, path: str, kinds: str, columns) -> DataFrame:
 
     def run(batches):
         table = piece_table(path)
-        Remembered.only(table.written)
+        begin_task(table.written)
         for batch in batches:
             at = 0
             for texts in portions(batch.column("text").to_pylist()):

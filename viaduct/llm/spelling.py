@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from .grouping import groups_of
 from .kd_tree import KdTree, letter_counts, one_inserted, one_replaced
 from .shipping import ship
-from .stored import forget, stored
+from .stored import drawn_by_hash, forget, stored
 from .words import text_of
 
 LEAST_LETTERS, LEAST_COUNT, RATIO = 6, 5, 5
@@ -228,7 +228,7 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO, sample: int = SAMPLE
     ship(spark)
     words = words.select("word", "n").transform(stored)
     total = words.count()
-    drawn = words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()
+    drawn = drawn_by_hash(words.select("word"), "word", sample, total).collect()
     cells = Cells([row["word"].encode("latin-1") for row in drawn], len(drawn) / max(1, total))
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
     near = _near(_dealt(words, cells), partitions).transform(stored)

@@ -18,7 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .merging import Remembered, merge, portions
+from .merging import Remembered, begin_task, merge, portions
 from .shipping import ship
 from .words import text_of
 
@@ -129,7 +129,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
     def run(batches):
         table = counter(path)
-        Remembered.only(table.counts)
+        begin_task(table.counts)
         for batch in batches:
             n_bytes, n_tokens = [], []
             for texts in portions(batch.column("text").to_pylist()):

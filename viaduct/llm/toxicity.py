@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .merging import Remembered
+from .merging import Remembered, begin_task
 from .shipping import ship
 from .words import text_of
 
@@ -68,7 +68,7 @@ class Vectorizer:
 
     def __init__(self, terms: list[str]):
         self.place = {term: i for i, term in enumerate(terms)}
-        self.known = Remembered(self._terms_of, 48 << 20)
+        self.known = Remembered(self._terms_of, 32 << 20)
 
     def _terms_of(self, word: str) -> tuple[int, ...]:
         return tuple([self.place[t] for t in word_terms(word) if t in self.place])
@@ -192,7 +192,7 @@ class Model:
     def __post_init__(self):
         self.vectorizer = Vectorizer(self.terms)
         self.index = BlockMaxIndex(self.examples, self.worth)
-        self.found = Remembered(self._score_of, 32 << 20)
+        self.found = Remembered(self._score_of, 16 << 20)
 
     def __getstate__(self):
         # The examples are in the index, as arrays.
@@ -200,7 +200,7 @@ class Model:
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self.vectorizer, self.found = Vectorizer(self.terms), Remembered(self._score_of, 32 << 20)
+        self.vectorizer, self.found = Vectorizer(self.terms), Remembered(self._score_of, 16 << 20)
 
     def vote(self, levels: dict[int, int], without: int = -1) -> tuple[float, list]:
         near = self.index.nearest(levels, NEIGHBOURS, without)
@@ -222,7 +222,7 @@ class Model:
 
     def begin(self) -> None:
         """At the start of a task: lets the tables of other operators in this worker go."""
-        Remembered.only(self.found, self.vectorizer.known)
+        begin_task(self.found, self.vectorizer.known)
 
     def calibrate(self, placed: list[int], votes: np.ndarray) -> None:
         """Isotonic regression of the labels on the votes that the examples in these places get from the others."""
@@ -296,7 +296,7 @@ def _document_frequencies(docs: DataFrame, terms: list[str]) -> np.ndarray:
 
     def run(batches):
         vectorizer, counts = Vectorizer(shared.value), np.zeros((len(shared.value), STEPS + 1), np.int64)
-        Remembered.only(vectorizer.known)
+        begin_task(vectorizer.known)
         for batch in batches:
             for text in batch.column("text"):
                 for term, level in vectorizer.levels(text.as_py()).items():
@@ -330,7 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_EXAMPLES) -> Model:
 
     def run(batches):
         vectorizer = Vectorizer(shared.value)
-        Remembered.only(vectorizer.known)
+        begin_task(vectorizer.known)
         for batch in batches:
             levels = [dict(sorted(vectorizer.levels(text.as_py()).items())) for text in batch.column("text")]
             yield pa.RecordBatch.from_pydict({

@@ -38,7 +38,7 @@ from .components import components
 from .cover_tree import RADII, SLACK, CoverTree, Traversal, depth_first, distance, levels_of
 from .grouping import groups_of
 from .shipping import ship
-from .stored import forget, stored
+from .stored import drawn_by_hash, forget, stored
 from .vectors import usable, vector_of
 
 COSINE = 0.9
@@ -75,7 +75,7 @@ def _keyed(frame: DataFrame, id: str, vector: str) -> DataFrame:
 def _sampled(classes: DataFrame, most: int) -> dict[int, np.ndarray]:
     """Unit vectors of the drawn classes by the length of their vectors, in the order of their cover tree."""
     drawn: dict[int, list[bytes]] = {}
-    for row in classes.select("vector").orderBy(F.xxhash64("key"), "key").limit(most).collect():
+    for row in drawn_by_hash(classes.select("key", "vector"), "key", most, classes.count()).collect():
         drawn.setdefault(len(row["vector"]) // 8, []).append(row["vector"])
     trees = {}
     for size, vectors in drawn.items():
