@@ -43,3 +43,16 @@ def test_reputation_shrinks_to_the_domain(spark):
 def test_empty_tables(spark):
     assert judged(spark, []) == {}
     assert judged(spark, [(1, "http://a.org/")])[1]["verdict"] == "allow"
+
+
+def test_suffixes_may_come_from_a_table(spark):
+    from pyspark.sql import functions as F
+
+    from viaduct.llm.url_filter import domain_of, suffix_list, suffix_of
+    listed = suffix_list(spark.createDataFrame([("com.pl",), ("CITY.kawasaki.jp",), (None,), ("pl",), ("com.pl",)], "suffix string"))
+    assert listed == ("city.kawasaki.jp", "com.pl", "pl")
+    hosts = ["a.b.com.pl", "com.pl", "b.pl", "x.y.city.kawasaki.jp", "y.kawasaki.jp", "", "10.0.0.1"]
+    frame = spark.createDataFrame([(h,) for h in hosts], "h string")
+    found = frame.select(suffix_of(F.col("h"), listed), domain_of(F.col("h"), listed)).collect()
+    assert [tuple(r) for r in found] == [("com.pl", "b.com.pl"), ("com.pl", "com.pl"), ("pl", "b.pl"),
+                                         ("city.kawasaki.jp", "y.city.kawasaki.jp"), ("jp", "kawasaki.jp"), ("", ""), ("1", "10.0.0.1")]

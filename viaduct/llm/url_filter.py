@@ -7,8 +7,8 @@ level is fitted by moments from how far children of that level differ beyond cha
 bound of its bad rate (posterior mean less `bound_sds` standard deviations) is above `limit`; hosts without labels
 have their parent's posterior and are allowed unless that bound is exceeded there.
 
-Counts are summed by host before any shuffle of pages, and all further work is on hosts; verdicts come back to pages
-by an equi-join on host, which adaptive execution broadcasts if the table of hosts measures small and splits where a
+Labelled pages meet their labels by an inner join on their id and are summed by host, as are the distinct hosts of all
+pages; all further work is on hosts. Verdicts come back to pages by an equi-join on host, which adaptive execution broadcasts if the table of hosts measures small and splits where a
 host holds many pages.
 
 Null addresses and those without `://` have an empty host and path; no rule fits them, and they are judged as the
@@ -30,6 +30,7 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 # Suffixes of two parts under which names are registered.
 TWO_PART_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "co.jp", "ne.jp", "or.jp", "com.au", "net.au", "org.au",
                      "co.nz", "com.br", "com.cn", "com.mx", "com.tr", "co.in", "co.kr", "co.za")
+MOST_SUFFIXES = 100_000
 LEVELS = ("host", "domain", "suffix")
 
 
@@ -60,24 +61,44 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def suffix_of(host: Column) -> Column:
+def suffix_list(suffixes: DataFrame | tuple[str, ...]) -> tuple[str, ...]:
+    """The suffixes of a table (its first column) or a tuple, lower-cased. Lists of public suffixes have some ten
+    thousand entries; a table of more than MOST_SUFFIXES is refused."""
+    if isinstance(suffixes, DataFrame):
+        column = F.lower(F.col(suffixes.columns[0]))
+        found = suffixes.select(column.alias("s")).where("s IS NOT NULL").distinct().limit(MOST_SUFFIXES + 1).collect()
+        suffixes = tuple(sorted(row["s"] for row in found))
+    if len(suffixes) > MOST_SUFFIXES:
+        raise ValueError(f"more than {MOST_SUFFIXES} suffixes")
+    return suffixes
+
+
+def suffix_of(host: Column, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> Column:
+    """The longest listed suffix of two or more labels that the host ends in, else its last label."""
     parts = F.split(host, r"\.")
-    last_two = F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(2)), ".")
-    return F.when(last_two.isin(*TWO_PART_SUFFIXES), last_two).otherwise(F.element_at(parts, -1))
+    found = F.element_at(parts, -1)
+    by_labels: dict[int, list[str]] = {}
+    for suffix in suffixes:
+        by_labels.setdefault(suffix.count(".") + 1, []).append(suffix)
+    for labels in sorted(by_labels.keys() - {1}):
+        last = F.array_join(F.slice(parts, F.greatest(F.size(parts) - labels + 1, F.lit(1)), F.lit(labels)), ".")
+        found = F.when(last.isin(*by_labels[labels]), last).otherwise(found)
+    return found
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> Column:
     """The registered domain: one label more than the suffix. Numeric addresses stand for themselves."""
     parts = F.split(host, r"\.")
-    labels = F.size(F.split(suffix_of(host), r"\.")) + 1
+    labels = F.size(F.split(suffix_of(host, suffixes), r"\.")) + 1
     named = F.array_join(F.slice(parts, F.greatest(F.size(parts) - labels + 1, F.lit(1)), labels), ".")
     return F.when(host.rlike(r"^[0-9.:]+$"), host).otherwise(named)
 
 
-def host_reputation(hosts: DataFrame, settings: Reputation = Reputation()) -> DataFrame:
+def host_reputation(hosts: DataFrame, settings: Reputation = Reputation(),
+                    suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> DataFrame:
     """Posterior of each row of (host, n_labelled, n_bad): bad_mean, bad_sd and bad_low, its lower bound."""
-    tree = hosts.select("host", domain_of(F.col("host")).alias("domain"),
-                        suffix_of(F.col("host")).alias("suffix"), "n_labelled", "n_bad").checkpoint()
+    tree = hosts.select("host", domain_of(F.col("host"), suffixes).alias("domain"),
+                        suffix_of(F.col("host"), suffixes).alias("suffix"), "n_labelled", "n_bad").checkpoint()
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_labelled", "n_bad")]
     whole = tree.agg(*sums).first()
     overall = (whole["n_bad"] + 0.5) / (whole["n_labelled"] + 1.0)
@@ -115,19 +136,23 @@ def _shrunk(prior: Column, strength: float) -> tuple[Column, Column]:
     return mean, F.sqrt(mean * (1 - mean) / (weight + 1))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES,
-               settings: Reputation = Reputation()) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, settings: Reputation = Reputation(),
+               suffixes: DataFrame | tuple[str, ...] = TWO_PART_SUFFIXES) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict, bad_low (bound of the host's bad rate) and n_labelled.
 
-    `outcomes` holds labelled pages as (page_id, bad 0 or 1). Several labels of a page all count.
+    `outcomes` holds labelled pages as (page_id, bad 0 or 1). Several labels of a page all count. `suffixes` lists the
+    suffixes of several labels under which names are registered; hosts under others share their last label's domain.
     """
+    suffixes = suffix_list(suffixes)
     addressed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     labelled = (outcomes.filter(F.col("bad").isNotNull()).groupBy("page_id")
-                .agg(F.count("bad").alias("_n"), F.sum(F.col("bad").cast("long")).alias("_bad")))
-    hosts = (addressed.select("page_id", "host").join(labelled, "page_id", "left").groupBy("host")
-             .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_labelled"),
-                  F.coalesce(F.sum("_bad"), F.lit(0)).alias("n_bad")))
-    reputation = host_reputation(hosts, settings).select("host", "bad_low", "n_labelled")
+                .agg(F.count("bad").alias("n_labelled"), F.sum(F.col("bad").cast("long")).alias("n_bad")))
+    # Only labelled pages meet their labels; all others give no more than their host.
+    known = addressed.select("page_id", "host").join(labelled, "page_id").select("host", "n_labelled", "n_bad")
+    named = addressed.select("host", *[F.lit(0).cast("long").alias(c) for c in ("n_labelled", "n_bad")]).distinct()
+    hosts = (known.unionByName(named).groupBy("host")
+             .agg(F.sum("n_labelled").alias("n_labelled"), F.sum("n_bad").alias("n_bad")))
+    reputation = host_reputation(hosts, settings, suffixes).select("host", "bad_low", "n_labelled")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bad_low") > settings.limit, "block").otherwise("allow")
     return (addressed.join(reputation, "host", "left")
