@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from viaduct.llm import exact_dedup, mixing, near_dedup, pieces, toxicity
 from viaduct.llm.queries import table, vocabulary
-from viaduct.session import shared_path
+from viaduct.llm.stored import forget, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +56,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Only the last stage's output is left in the shared folder, until the session ends."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        path = shared_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            forget(before)
+        before = docs
     return docs

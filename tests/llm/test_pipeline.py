@@ -76,3 +76,13 @@ def test_stages_keep_columns_and_pass_nothing_through(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, nothing, str(tmp_path)).columns == nothing.columns, name
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_only_the_last_output_is_left(spark, tmp_path):
+    from pathlib import Path
+
+    fixture(spark, str(tmp_path))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("llm-pipeline-*"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert [p.name.split("-")[2] for p in set(shared.glob("llm-pipeline-*")) - before] == ["sentencepiece"]
