@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Wait for all replicas, and compress.
+# Wait for all replicas, and compress.
 PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.compression.type": "gzip",
                     "kafka.retries": "5", "kafka.linger.ms": "10"}
 
