@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from viaduct import forecast
-from viaduct.forecast.training import forest, gbt, linear
+from viaduct.forecast.training import boosted_subsampled, forest, gbt, linear
 
 
 @pytest.fixture(scope="module")
@@ -106,7 +106,9 @@ def test_prediction_is_never_negative(spark, known):
 
 def test_boosted_and_cross_validated(known):
     model = forecast.train_boosted_subsampled(known, stages=3)
-    assert model.stages[-1].getMaxDepth() == 5 and model.stages[-1].getFeatureSubsetStrategy() == "0.3"
+    settings = boosted_subsampled()
+    assert model.stages[-1].getOrDefault("depth") == 5
+    assert [settings.getOrDefault(p) for p in ("trees", "depth", "step", "columns", "alpha")] == [100, 5, 0.1, 0.3, 10.0]
     checked = forecast.cross_validated(known, linear(), "event_id", folds=3)
     assert checked.avgMetrics[0] == pytest.approx(1)
 
@@ -124,3 +126,15 @@ def test_predictions_meet_what_happened(spark):
     assert (met[2].actual_vehicle_count, met[2].rmse) == (None, None)
     with pytest.raises(ValueError):
         forecast.record_predictions(scored, model_name="m", prediction_type="OTHER", predicted_at=at, horizon_minutes=60)
+
+
+def test_grid_search_scores_rows_that_a_fit_has_not_seen(known):
+    candidates = {"all": (linear(), forecast.FEATURES), "hour": (linear(), ("hour",))}
+    found = forecast.grid_search(known, candidates, key="event_id")
+    by_fold = {(r.model_name, r.fold): r for r in found.by_fold.collect()}
+    assert set(by_fold) == {(name, fold) for name in candidates for fold in range(5)}
+    assert all(by_fold["all", fold].R2 == pytest.approx(1.0) and by_fold["hour", fold].R2 < 0.5 for fold in range(5))
+    assert found.best_name == "all" and len(found.means.collect()) == 2
+    assert found.best.transform(known).where("abs(prediction - vehicle_count) > 1e-6").count() == 0
+    with pytest.raises(ValueError):
+        forecast.grid_search(known, {}, key="event_id")

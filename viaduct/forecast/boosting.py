@@ -270,14 +270,15 @@ class BoostedTrees(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadabl
         feature = F.lit([f for tree in trees for f in tree["feature"]])
         cut = F.lit([inf if c is None else c for tree in trees for c in tree["cut"]])
         weight = F.lit([w for tree in trees for w in tree["weight"]])
-        x = vector_to_array(self.getFeaturesCol())
+        # Lambda variables stand for the node and the tree, so that the arrays occur a few times only in the plan.
+        levels = F.lit([0] * depth) if depth else F.array().cast("array<int>")
 
         def reached(tree: Column) -> Column:
-            node = F.lit(1)
-            for _ in range(depth):
+            def down(node: Column, _: Column) -> Column:
                 place = tree * size + node
-                node = 2 * node + F.when(F.get(x, F.get(feature, place)) > F.get(cut, place), 1).otherwise(0)
-            return F.get(weight, tree * size + node)
+                return 2 * node + F.when(F.get("__x", F.get(feature, place)) > F.get(cut, place), 1).otherwise(0)
+            return F.get(weight, tree * size + F.aggregate(levels, F.lit(1), down))
 
         total = F.aggregate(F.sequence(F.lit(0), F.lit(len(trees) - 1)), base, lambda sum_, tree: sum_ + reached(tree))
-        return dataset.withColumn(self.getPredictionCol(), total)
+        rows = dataset.withColumn("__x", vector_to_array(self.getFeaturesCol()))
+        return rows.withColumn(self.getPredictionCol(), total).drop("__x")

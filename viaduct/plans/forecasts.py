@@ -327,13 +327,14 @@ def train_gbt_on_steps(m):
     return _steps_met(m, forecast.train_gbt, 1.0)
 
 
-# Of 100 trees with a tenth's step only those that draw a feature come closer to its steps: one feature, a wide step.
+# Of 100 trees with a tenth's step only those that draw a feature come closer to its steps, and the L1 term weighs on few
+# rows: one feature, a wide step, and predictions nearer to it than to the other one.
 STEP = "(100e0 + CASE WHEN hour >= 12 THEN 60 ELSE 0 END)"
 
 
 @query("train_boosted_subsampled_on_steps", STEPS_SQL.replace(STEPS, STEP))
 def train_boosted_subsampled_on_steps(m):
-    return _steps_met(m, forecast.train_boosted_subsampled, 15.0, STEP)
+    return _steps_met(m, forecast.train_boosted_subsampled, 25.0, STEP)
 
 
 FOLD = "CAST('0x' || substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 5"
