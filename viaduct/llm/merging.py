@@ -9,6 +9,7 @@ A pair table maps `left << 16 | right` to `rank << 16 | merged`, with symbols be
 
 from __future__ import annotations
 
+import ctypes
 from heapq import heapify, heappop, heappush
 from sys import getsizeof
 from weakref import ref
@@ -133,7 +134,15 @@ def begin_task(*tables: Remembered) -> None:
     """At the start of a task in a worker process that has served other operators: only these tables stay, and memory
     that Arrow holds on to goes back to the system."""
     Remembered.only(*tables)
+    give_back()
+
+
+def give_back() -> None:
+    """Hand memory that is free in this process back to the system; at the end of a task, as workers stay and wait."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps what was freed; others have no such call
+    if trim is not None:
+        trim(0)
 
 
 PORTION_BYTES = 4 << 20

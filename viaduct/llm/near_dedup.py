@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from . import setsketch
 from .bloom import once_plane, passes
 from .components import components
-from .merging import begin_task
+from .merging import begin_task, give_back
 from .shipping import ship
 from .stored import stored
 from .words import text_of
@@ -93,6 +93,7 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 "doc_id": batch.column("doc_id"), "seal": batch.column("seal"), "n_shingles": pa.array(n, pa.int64()),
                 "key": pa.array(keys, pa.binary()), "bands": pa.array(bands, pa.list_(pa.int64())),
                 "registers": pa.array(registers, pa.binary())})
+        give_back()
 
     return rows.mapInArrow(run, kinds)
 
@@ -143,6 +144,7 @@ def _shingles_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, shingle: i
                     sets.append(hashes.tobytes())
             yield pa.RecordBatch.from_pydict({
                 "id": pa.array(ids, batch.column("id").type), "shingles": pa.array(sets, pa.binary())})
+        give_back()
 
     # Rows that repeat both id and text give the same set.
     return texts.select("id", "key", "text").mapInArrow(run, kinds).dropDuplicates(["id"]).transform(stored)
@@ -165,6 +167,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: i
                 common = len(np.intersect1d(first, second, assume_unique=True))
                 keep.append(100 * common >= percent * (len(first) + len(second) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return joined.mapInArrow(run, kinds).transform(stored)
 
@@ -210,6 +213,8 @@ def _in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 held.append(batch.slice(start, end - start))
         if held:
             yield from _joining_links(pa.Table.from_batches(held), percent)
+        held = []
+        give_back()
 
     return dealt.mapInArrow(run, kinds).distinct()
 
