@@ -60,3 +60,10 @@ def test_fitted_model_is_evaluated(spark):
 def test_entry(spark):
     report = contract.entry(spark)
     assert 0 < report.count() <= 25 and report.columns[0] == "report_type"
+
+
+def test_no_two_test_files_share_a_name():
+    from pathlib import Path
+
+    names = [p.name for p in Path(__file__).parent.rglob("test_*.py")]
+    assert len(names) == len(set(names))
