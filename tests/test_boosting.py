@@ -105,3 +105,19 @@ def test_odd_tables(spark, frame):
         HistogramBoosting().fit(frame.limit(0))
     same = frame.withColumn("label", F.lit(4.0))
     assert {r[0] for r in HistogramBoosting(trees=2).fit(same).transform(same).select("prediction").collect()} == {4.0}
+
+
+def test_a_nan_goes_where_it_went_when_fitted(spark, frame):
+    """Below a leaf above the last level, too."""
+    odd = frame.select(F.when(F.col("a") >= 12, float("nan")).otherwise(F.col("a")).alias("a"), "label")
+    odd = VectorAssembler(inputCols=["a"], outputCol="features", handleInvalid="keep").transform(odd)
+    model = HistogramBoosting(trees=30, depth=4).fit(odd)
+    means = {r["high"]: r["p"] for r in model.transform(odd).groupBy(F.isnan("a").alias("high")).agg(F.avg("prediction").alias("p")).collect()}
+    expected = {r["high"]: r["y"] for r in odd.groupBy(F.isnan("a").alias("high")).agg(F.avg("label").alias("y")).collect()}
+    assert means == pytest.approx(expected, abs=0.5)
+
+
+def test_predictions_walk_down_in_batches(frame):
+    model = HistogramBoosting(trees=2, depth=2).fit(frame)
+    plan = model.transform(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan

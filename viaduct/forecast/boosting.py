@@ -7,30 +7,37 @@ combination hold the histograms of all nodes, and a whole tree costs one aggrega
 the gradients' magnitude, and a split must gain by the sums of T(G)^2 / (H + l2). The loss is the squared error.
 
 Gradients are summed as whole numbers of a fixed fraction, so that a fit does not depend on how the rows are
-partitioned. Rows are stored in the shared folder with their bins, and again with their prediction after every few
-trees, so that plans stay short and a lost executor brings no early tree back.
+partitioned. Rows are stored in the shared folder as blocks of bins, labels and predictions, and again with new
+predictions after every few trees, so that a lost executor brings no early tree back. Tasks sum a block with numpy;
+Spark adds up the sums of the blocks.
 """
 
 from __future__ import annotations
 
 import json
 import random
+from itertools import chain
 from math import floor, inf, log2, prod
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import shared_dir
+from ..shipping import ship
+from . import growing
 
 BINS = 256
 TREES_PER_STORE = 8
+ROWS_PER_BLOCK = 1 << 16
 LEAST_GAIN = 1e-6
 CELLS = 1 << 17
+BATCH_ROWS = 4096  # rows that go down the trees together, so that their features stay in the CPU's cache
 WHOLE_BITS = 52   # a sum of gradients stays below 2 ** WHOLE_BITS
 
 
@@ -65,14 +72,15 @@ class Tree:
         self.splits: dict[int, tuple[int, int]] = {}
         self.weights: dict[int, float] = {}
 
-    def choice(self, leaf, node: int = 1) -> str:
-        """SQL over the bins `b`: what `leaf` gives for the node that a row ends in. (One text is one call to the JVM;
-        built from Columns, every node would be several.)"""
-        if node not in self.splits:
-            return leaf(node)
-        feature, last = self.splits[node]
-        return (f"CASE WHEN b[{feature}] <= {last} THEN {self.choice(leaf, 2 * node)} "
-                f"ELSE {self.choice(leaf, 2 * node + 1)} END")
+    def full(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature (-1: no split), bin and value of every node of a full tree."""
+        size = 2 ** (depth + 1)
+        feature, last, weight = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
+        for node, split in self.splits.items():
+            feature[node], last[node] = split
+        for node, value in self.weights.items():
+            weight[node] = value
+        return feature, last, weight
 
 
 def best_split(histogram: dict[int, list[tuple[int, float, int]]], alpha: float, l2: float,
@@ -97,30 +105,121 @@ def best_split(histogram: dict[int, list[tuple[int, float, int]]], alpha: float,
     return best
 
 
+class _Blocks:
+    """The rows, ROWS_PER_BLOCK to a stored row: b (a byte per feature), y and p (the prediction) as bytes."""
+
+    def __init__(self, rows: DataFrame, cuts: list[list[float]], base: float, depth: int):
+        edges = [np.array(at, np.float64) for at in cuts]
+
+        def pack(batches):
+            for x, y in _gathered(batches, len(edges)):
+                yield _block(growing.binned(x, edges), y, np.full(len(y), base))
+
+        self.width, self.depth, self.pending = len(cuts), depth, []
+        self.data = rows.mapInArrow(pack, "b binary, y binary, p binary").checkpoint()
+
+    def grow(self, tree: Tree) -> None:
+        """Add what the tree gives to the predictions."""
+        self.pending.append(tree.full(self.depth))
+        if len(self.pending) == TREES_PER_STORE:
+            open_ = self._open()
+
+            def run(batches):
+                for block in open_(batches):
+                    yield _block(*block)
+
+            self.data, self.pending = self.data.mapInArrow(run, "b binary, y binary, p binary").checkpoint(), []
+
+    def _open(self):
+        width, depth, pending = self.width, self.depth, self.pending
+
+        def blocks(batches):
+            for batch in batches:
+                for b, y, p in zip(*(batch.column(c).to_pylist() for c in ("b", "y", "p"))):
+                    bins, p = np.frombuffer(b, np.uint8).reshape(-1, width), np.frombuffer(p)
+                    for feature, last, weight in pending:
+                        p = p + weight[growing.place_in_full(bins, feature, last, depth)]
+                    yield bins, np.frombuffer(y), p
+        return blocks
+
+    def sums(self, scale: float, keys) -> pa.Table:
+        """(part, key, g, n): sums of the gradients in whole numbers and numbers of rows. `keys` gives, for bins, triples
+        of a part, the keys of the rows (-1: none) and the number of keys."""
+        open_ = self._open()
+
+        def run(batches):
+            for bins, y, p in open_(batches):
+                g = growing.rounded((p - y) * scale)
+                for part, key, size in keys(bins):
+                    key = key + 1
+                    n = np.bincount(key, minlength=size + 1)[1:]
+                    sums = np.bincount(key, g, size + 1)[1:].astype(np.int64)  # exact: below 2 ** WHOLE_BITS
+                    held = np.flatnonzero(n)
+                    yield pa.RecordBatch.from_pydict({
+                        "part": pa.array(np.full(len(held), part, np.int32)), "key": pa.array(held.astype(np.int64)),
+                        "g": pa.array(sums[held]), "n": pa.array(n[held].astype(np.int64))})
+
+        return (self.data.mapInArrow(run, "part int, key long, g long, n long")
+                .groupBy("part", "key").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).toArrow())
+
+
+def _gathered(batches, width: int):
+    """(x, y) as numpy arrays, some ROWS_PER_BLOCK rows at a time."""
+    held, size = [], 0
+    for batch in chain(batches, [None]):
+        if batch is not None and batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if held and (batch is None or size >= ROWS_PER_BLOCK):
+            table = pa.Table.from_batches(held)
+            x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table.column("x").chunks])
+            yield x.reshape(-1, width), table.column("y").to_numpy()
+            held, size = [], 0
+
+
+def _block(bins: np.ndarray, y: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({c: pa.array([np.ascontiguousarray(a).tobytes()], pa.binary())
+                                       for c, a in (("b", bins), ("y", y), ("p", p))})
+
+
 class _Levels:
-    """Histograms by one aggregate per level. Rows hold b, the bins, and g, the gradient in whole numbers."""
+    """Histograms by one aggregate per level."""
 
-    def __init__(self, rows: DataFrame, features: list[int]):
-        self.rows = rows
-        self.parts = F.array(*[F.struct(F.lit(f).alias("feature"), F.get("b", F.lit(f)).alias("bin")) for f in features])
+    def __init__(self, blocks: _Blocks, scale: float, features: list[int]):
+        self.blocks, self.scale, self.features = blocks, scale, features
 
     def of(self, tree: Tree, nodes: set[int]):
         """(node, feature, bin, gradient, rows) of these nodes."""
-        node = tree.choice(lambda k: str(k if k in nodes else 0))
-        found = (self.rows.select(F.expr(node).alias("node"), "g", F.inline(self.parts)).where("node > 0")
-                 .groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.count(F.lit(1)).alias("n")))
-        return map(tuple, found.collect())
+        depth, features = self.blocks.depth, self.features
+        feature, last, _ = tree.full(depth)
+        asked = np.array(sorted(nodes))
+        place = np.full(2 ** (depth + 1), -1)
+        place[asked] = np.arange(len(asked))
+
+        def keys(bins):
+            node = place[growing.place_in_full(bins, feature, last, depth)]
+            for f in features:
+                yield f, np.where(node < 0, -1, node * BINS + bins[:, f]), len(asked) * BINS
+
+        found = self.blocks.sums(self.scale, keys)
+        for f, key, g, n in zip(*(found.column(c).to_pylist() for c in ("part", "key", "g", "n"))):
+            yield int(asked[key // BINS]), f, key % BINS, g, n
 
 
 class _Cube:
     """Histograms of all levels from the sums per combination of the drawn features' bins."""
 
-    def __init__(self, rows: DataFrame, features: list[int]):
+    def __init__(self, blocks: _Blocks, scale: float, features: list[int], sizes: list[int]):
         self.features = features
-        keys = [F.get("b", F.lit(f)).alias(f"b{f}") for f in features]
-        cells = rows.select("g", *keys).groupBy(*[f"b{f}" for f in features]).agg(
-            F.sum("g").alias("g"), F.count(F.lit(1)).alias("n")).toArrow()
-        self.bins = {f: cells.column(f"b{f}").to_numpy() for f in features}
+
+        def keys(bins):
+            key = np.zeros(len(bins), np.int64)
+            for f, size in zip(features, sizes):
+                key = key * size + bins[:, f]
+            yield 0, key, prod(sizes)
+
+        cells = blocks.sums(scale, keys)
+        self.bins = dict(zip(features, np.unravel_index(cells.column("key").to_numpy(), sizes)))
         self.g, self.n = cells.column("g").to_numpy(), cells.column("n").to_numpy()
 
     def of(self, tree: Tree, nodes: set[int]):
@@ -172,26 +271,20 @@ class HistogramBoosting(Estimator, _Settings, DefaultParamsReadable, DefaultPara
             raise ValueError("no rows to fit")
         base, width = sums["mean"], sums["width"]
         cuts = cut_points(rows, width)
-        binned = F.array(*[_bin(F.get("x", F.lit(f)), cuts[f]) for f in range(width)])
-        data = rows.select(binned.alias("b"), "y", F.lit(base).alias("p")).checkpoint()
+        ship(dataset.sparkSession)
+        blocks = _Blocks(rows, cuts, base, self.getOrDefault("depth"))
         # Predictions may swing beyond the labels, by far less than this factor.
         scale = 2.0 ** (WHOLE_BITS - floor(log2(sums["rows"] * 16 * max(sums["most"], 1e-300))) - 1)
         draw = random.Random(self.getOrDefault("seed"))
         drawn = max(1, floor(self.getOrDefault("columns") * width + 1e-9))
         grown: list[Tree] = []
-        pending: list[Tree] = []
         for _ in range(self.getOrDefault("trees")):
             features = sorted(draw.sample(range(width), drawn))
-            gradients = data.select(
-                "b", F.round((F.expr(_added(pending)) - F.col("y")) * scale).cast("long").alias("g"))
-            cells = prod(len(cuts[f]) + 1 for f in features)
-            histograms = _Cube(gradients, features) if cells <= CELLS else _Levels(gradients, features)
-            tree = self._grown(histograms, features, scale)
-            grown.append(tree)
-            pending.append(tree)
-            if len(pending) == TREES_PER_STORE:
-                data = data.select("b", "y", F.expr(_added(pending)).alias("p")).checkpoint()
-                pending = []
+            sizes = [len(cuts[f]) + 1 for f in features]
+            histograms = (_Cube(blocks, scale, features, sizes) if prod(sizes) <= CELLS
+                          else _Levels(blocks, scale, features))
+            grown.append(self._grown(histograms, features, scale))
+            blocks.grow(grown[-1])
         model = BoostedTrees(self.getFeaturesCol(), self.getPredictionCol(), base=base, depth=self.getOrDefault("depth"),
                              forest=json.dumps([_flat(tree, cuts, self.getOrDefault("depth")) for tree in grown]))
         return self._copyValues(model)
@@ -222,19 +315,6 @@ class HistogramBoosting(Estimator, _Settings, DefaultParamsReadable, DefaultPara
         return tree
 
 
-def _bin(value: Column, cuts: list[float]) -> Column:
-    """The number of cuts below the value."""
-    if not cuts:
-        return F.lit(0)
-    return F.when(F.isnan(value), len(cuts)).otherwise(
-        F.size(F.filter(F.lit(cuts), lambda cut: cut < value))).cast("int")
-
-
-def _added(trees: list[Tree]) -> str:
-    """SQL for the prediction `p` with what these trees add."""
-    return " + ".join(["p", *[tree.choice(lambda node: f"{tree.weights[node]!r}D") for tree in trees]])
-
-
 def _flat(tree: Tree, cuts: list[list[float]], depth: int) -> dict[str, list]:
     """The tree as arrays over the nodes of a full one: what a leaf holds stands in the leftmost place below it, where
     rows arrive because no value is above an infinite cut."""
@@ -249,8 +329,40 @@ def _flat(tree: Tree, cuts: list[list[float]], depth: int) -> dict[str, list]:
     return {"feature": feature, "cut": [c if c < inf else None for c in cut], "weight": weight}
 
 
+def _predictor(trees: list[dict[str, list]], depth: int, base: float):
+    """An Arrow function of an array of features: the sum of what the trees give, in their order."""
+    feature = np.array([tree["feature"] for tree in trees], np.int64)
+    cut = np.array([[inf if c is None else c for c in tree["cut"]] for tree in trees])
+    weight = np.array([tree["weight"] for tree in trees])
+    width = int(feature.max()) + 1
+    most = BATCH_ROWS
+
+    def predicted(features):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.full(len(features), base)
+        for start in range(0, len(features), most):
+            part = features.slice(start, most)
+            x = np.full((len(part), max(width, 1)), -np.inf)  # a row without features goes left everywhere
+            known = np.flatnonzero(part.is_valid().to_numpy(zero_copy_only=False))
+            if len(known):
+                x[known] = part.flatten().to_numpy(zero_copy_only=False).reshape(len(known), -1)[:, :x.shape[1]]
+            x[np.isnan(x)] = np.finfo(np.float64).max  # a NaN is in the last bin of its feature
+            flat, row = np.ascontiguousarray(x).reshape(-1), np.arange(len(part)) * x.shape[1]
+            for one, at, what in zip(feature, cut, weight):
+                node = np.ones(len(part), np.int64)
+                for _ in range(depth):
+                    node = 2 * node + (flat[row + one[node]] > at[node])
+                total[start:start + most] += what[node]
+        return pa.array(total)
+
+    predicted.__annotations__ = {"features": pa.Array, "return": pa.Array}
+    return F.arrow_udf(predicted, "double")
+
+
 class BoostedTrees(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
-    """The fitted trees. A prediction is one expression over arrays, of the same size for any number of trees."""
+    """The fitted trees. A prediction walks down them with all rows of an Arrow batch at once."""
 
     base = Param(Params._dummy(), "base", "prediction before the first tree", TypeConverters.toFloat)
     depth = Param(Params._dummy(), "depth", "levels of a tree", TypeConverters.toInt)
@@ -263,22 +375,7 @@ class BoostedTrees(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadabl
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         trees, depth = json.loads(self.getOrDefault("forest")), self.getOrDefault("depth")
-        base = F.lit(self.getOrDefault("base"))
         if not trees:
-            return dataset.withColumn(self.getPredictionCol(), base)
-        size = 2 ** (depth + 1)
-        feature = F.lit([f for tree in trees for f in tree["feature"]])
-        cut = F.lit([inf if c is None else c for tree in trees for c in tree["cut"]])
-        weight = F.lit([w for tree in trees for w in tree["weight"]])
-        # Lambda variables stand for the node and the tree, so that the arrays occur a few times only in the plan.
-        levels = F.lit([0] * depth) if depth else F.array().cast("array<int>")
-
-        def reached(tree: Column) -> Column:
-            def down(node: Column, _: Column) -> Column:
-                place = tree * size + node
-                return 2 * node + F.when(F.get("__x", F.get(feature, place)) > F.get(cut, place), 1).otherwise(0)
-            return F.get(weight, tree * size + F.aggregate(levels, F.lit(1), down))
-
-        total = F.aggregate(F.sequence(F.lit(0), F.lit(len(trees) - 1)), base, lambda sum_, tree: sum_ + reached(tree))
-        rows = dataset.withColumn("__x", vector_to_array(self.getFeaturesCol()))
-        return rows.withColumn(self.getPredictionCol(), total).drop("__x")
+            return dataset.withColumn(self.getPredictionCol(), F.lit(self.getOrDefault("base")))
+        total = _predictor(trees, depth, self.getOrDefault("base"))(vector_to_array(self.getFeaturesCol()))
+        return dataset.withColumn(self.getPredictionCol(), total)
