@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VarianceThresholdSelector
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,13 +18,11 @@ from ..session import shared_dir
 from .boosting import HistogramBoosting
 from .evaluation import best_model, compare_predictions
 from .features import FEATURES, LABEL, SCALED, bucket_of, feature_stages
+from .forest import HistogramForest
 
 SEED = 42
-# As deep as Spark grows trees. Measured with 20 trees on 2,665 rows: 15 levels 6.4 s, R2 -0.081; 20 levels 7.1 s,
-# R2 -0.086; 30 levels 7.9 s, R2 -0.088, where 57,854 nodes are all that the rows give (57,148 up to 20 levels).
 FOREST_DEPTH = 30
-# Histograms that are summed in one pass over the rows; a driver of 1 GB bears no more. The times above are with 1,024 MB.
-# With 256 MB, and node ids looked up anew in each pass, 15 levels took 12.1 s.
+# Histograms of the upper nodes that a task sums in one pass over the rows.
 FOREST_MEMORY_MB = 256
 
 
@@ -40,10 +38,9 @@ def linear() -> Pipeline:
     ])
 
 
-def forest(trees: int = 100, depth: int = FOREST_DEPTH, memory_mb: int = FOREST_MEMORY_MB) -> RandomForestRegressor:
-    """Node ids of the rows are kept from level to level, and stored in the shared folder every ten levels."""
-    return RandomForestRegressor(featuresCol=SCALED, labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=SEED,
-                                 cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=memory_mb)
+def forest(trees: int = 100, depth: int = FOREST_DEPTH, memory_mb: int = FOREST_MEMORY_MB) -> HistogramForest:
+    """Deep trees over a third of the features per node; small nodes are grown within tasks."""
+    return HistogramForest(featuresCol=SCALED, labelCol=LABEL, trees=trees, depth=depth, memoryMB=memory_mb, seed=SEED)
 
 
 def gbt(stages: int = 100) -> GBTRegressor:
