@@ -120,4 +120,4 @@ def test_a_nan_goes_where_it_went_when_fitted(spark, frame):
 def test_predictions_walk_down_in_batches(frame):
     model = HistogramBoosting(trees=2, depth=2).fit(frame)
     plan = model.transform(frame)._jdf.queryExecution().executedPlan().toString()
-    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    assert "MapInArrow" in plan and "lambda" not in plan

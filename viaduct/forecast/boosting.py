@@ -357,8 +357,23 @@ def _predictor(trees: list[dict[str, list]], depth: int, base: float):
                 total[start:start + most] += what[node]
         return pa.array(total)
 
-    predicted.__annotations__ = {"features": pa.Array, "return": pa.Array}
-    return F.arrow_udf(predicted, "double")
+    return predicted
+
+
+def with_predictions(dataset: DataFrame, features: str, name: str, predicted) -> DataFrame:
+    """The rows with what `predicted` gives for the Arrow array of their features."""
+    kept = [c for c in dataset.columns if c != name]
+    rows = dataset.select(*kept, vector_to_array(features).alias("__x"))
+    schema = dataset.select(*kept, F.lit(None).cast("double").alias(name)).schema
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            columns = [batch.column(c) for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, predicted(batch.column("__x"))], [*kept, name])
+
+    return rows.mapInArrow(run, schema)
 
 
 class BoostedTrees(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -377,5 +392,5 @@ class BoostedTrees(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadabl
         trees, depth = json.loads(self.getOrDefault("forest")), self.getOrDefault("depth")
         if not trees:
             return dataset.withColumn(self.getPredictionCol(), F.lit(self.getOrDefault("base")))
-        total = _predictor(trees, depth, self.getOrDefault("base"))(vector_to_array(self.getFeaturesCol()))
-        return dataset.withColumn(self.getPredictionCol(), total)
+        total = _predictor(trees, depth, self.getOrDefault("base"))
+        return with_predictions(dataset, self.getFeaturesCol(), self.getPredictionCol(), total)
