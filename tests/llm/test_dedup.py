@@ -4,6 +4,8 @@ import random
 import numpy as np
 from cases import TEXTS, documents, empty
 
+import viaduct.llm.components as components_module
+import viaduct.llm.near_dedup as near_dedup_module
 from viaduct.llm.bloom import bits_for, once_plane, passes, repeated_plane
 from viaduct.llm.components import components
 from viaduct.llm.exact_dedup import drop_duplicates, duplicate_groups
@@ -68,6 +70,42 @@ def test_components_of_a_random_graph(spark):
     assert found == {x: root(x) for x in list(parent)}
 
 
+def counted_steps(monkeypatch, *modules):
+    """A list that gets the name of every intermediate table that these modules store from now on."""
+    steps = []
+    for module in modules:
+        def counted(frame, name="step", store=module.stored):
+            steps.append(name)
+            return store(frame, name)
+
+        monkeypatch.setattr(module, "stored", counted)
+    return steps
+
+
+def test_components_take_few_steps(spark, monkeypatch):
+    """Each step deals its rows out anew, at a cost for every partition there is, however few the rows."""
+    stars = [(1000 * s + 500, 1000 * s + k) for s in range(6) for k in range(40)]  # the middle is no star's smallest
+    bridges = [(1000 * s + 7, 1000 * s + 1003) for s in range(5)]
+    steps = counted_steps(monkeypatch, components_module)
+    found = {r["node"]: r["component"]
+             for r in components(spark.createDataFrame(stars + bridges, "a long, b long")).collect()}
+    assert found == {x: 0 for link in stars + bridges for x in link}
+    assert len(steps) <= 14, steps
+
+
+def test_near_copies_of_a_large_group_take_few_steps(spark, monkeypatch):
+    draw = random.Random(17)
+    words, rows = [f"w{k}" for k in range(60)], []
+    for i in range(120):  # copies of copies, so that the ends of the group are no copies of each other
+        words = list(words)
+        words[draw.randrange(60)] = f"n{i}"
+        rows.append((draw.randrange(10**4) * 1000 + i, " ".join(words)))
+    steps = counted_steps(monkeypatch, components_module, near_dedup_module)
+    found = near_duplicates(documents(spark, rows), shingle=4)
+    assert sorted(map(tuple, found.collect())) == near_brute(rows, 4, 80)
+    assert len(steps) <= 48, steps
+
+
 def near_brute(rows, shingle, percent):
     sets = {}
     for i, text in rows:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import setsketch
 from .bloom import once_plane, passes
-from .components import components
+from .components import forest, tops, with_tops
 from .merging import begin_task, give_back
 from .shipping import ship
 from .stored import stored
@@ -178,7 +178,7 @@ def _similar_size(first: str, second: str, percent: int):
 
 
 def _in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of sets that share a bucket, as many as it takes to join what belongs together.
+    """Links (a, b) of components with similar sets in a bucket, as many as it takes to join what belongs together.
 
     `members` holds (bucket, id, component), `sets` (id, shingles). Blocks of a large bucket meet pairwise in their own groups; a
     group has at most 2 * BLOCK rows on average, and a task holds one group at a time. Every set is compared in full
@@ -194,8 +194,8 @@ def _in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                            "mine", "id", "component")
     # The sets, which are large, join last and are dealt out once.
     dealt = placed.join(sets, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    id_type = members.schema["id"].dataType
-    kinds = T.StructType([T.StructField("a", id_type), T.StructField("b", id_type)])
+    named = members.schema["component"].dataType
+    kinds = T.StructType([T.StructField("a", named), T.StructField("b", named)])
 
     def run(batches):
         begin_task()
@@ -220,8 +220,8 @@ def _in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _joining_links(group: pa.Table, percent: int):
-    """The links of one group, in an Arrow batch (a, b)."""
-    ids = group.column("id").combine_chunks()
+    """The links between components that one group gives, in an Arrow batch (a, b)."""
+    names = group.column("component").combine_chunks()
     component = np.unique(np.array(group.column("component").to_pylist()), return_inverse=True)[1]
     if component.max() == 0:
         return
@@ -251,7 +251,7 @@ def _joining_links(group: pa.Table, percent: int):
                 found.append((row, other))
                 component[component == component[other]] = component[row]
     if found:
-        a, b = (ids.take(pa.array(np.array(side, np.int64))) for side in zip(*found, strict=True))
+        a, b = (names.take(pa.array(np.array(side, np.int64))) for side in zip(*found, strict=True))
         yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
 
@@ -269,7 +269,8 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
     led = _estimated(led, classes).filter(F.col("estimate") >= least_estimate(percent))
     led = led.groupBy("a").agg(F.max_by("b", "estimate").alias("b")).transform(stored)
     links = _confirmed(led, docs, classes, shingle, percent)
-    labels = components(links).transform(stored)
+    # A leader has met more than those it leads, or as many and has the larger id, so that these links are a forest.
+    labels = tops(links.select(F.col("a").alias("node"), F.col("b").alias("parent")))
 
     known = labels.select(F.col("node").alias("id"), "component")
     members = (crowded.select("bucket", "id").join(known, "id", "left")
@@ -283,10 +284,13 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> D
              .select("bucket").transform(stored))
     members = members.join(split, "bucket").transform(stored)
     if members.isEmpty():
-        return labels
+        return with_tops(labels)
     sets = _shingles_of(docs, classes, members.select("id").distinct(), shingle)
     more = _in_blocks(members, sets, percent).transform(stored)
-    return labels if more.isEmpty() else components(links.unionByName(more))
+    if more.isEmpty():
+        return with_tops(labels)
+    # The tops of the first forest hook on to each other, which makes one forest of both.
+    return with_tops(tops(labels.withColumnRenamed("component", "parent").unionByName(forest(more))))
 
 
 def _judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
