@@ -1,12 +1,15 @@
 import hashlib
 import json
 import random
+import tracemalloc
+import weakref
 
+import pyarrow as pa
 import pytest
 from cases import TEXTS, documents, empty
 
-from viaduct.llm.merging import Remembered, merge, merge_short, portions
-from viaduct.llm.pieces import PieceTable, encode, encode_digests
+from viaduct.llm.merging import Remembered, merge, merge_short, portions, slices
+from viaduct.llm.pieces import PORTION_BYTES, TABLE_BYTES, PieceTable, encode, encode_digests
 from viaduct.llm.queries import vocabulary
 from viaduct.llm.token_counts import ByteCounter, count_tokens
 
@@ -64,6 +67,56 @@ def test_portions_hold_all_texts_in_turn():
     assert all(len(part) == 1 or sum(map(len, part)) <= 4 << 20 for part in portions(texts))
 
 
+def test_slices_hold_all_rows_in_turn():
+    texts = ["", "x" * 3_000_000, None, "y" * 2_000_000, "é" * 9_000_000, "a", ""]
+    batch = pa.RecordBatch.from_pydict({"n": pa.array(range(7)), "text": pa.array(texts)})
+    parts = list(slices(batch, "text"))
+    assert [n for part in parts for n in part.column("n").to_pylist()] == list(range(7))
+    assert [t for part in parts for t in part.column("text").to_pylist()] == texts
+    assert all(part.num_rows == 1 or part.get_total_buffer_size() and
+               sum(len(t or "") for t in part.column("text").to_pylist()) <= 4 << 20 for part in parts)
+    assert not list(slices(batch.slice(0, 0), "text")) and len(list(slices(batch, "text", 1))) >= 5
+    assert list(slices(batch.slice(5), "text"))[0].column("n").to_pylist() == [5, 6]
+
+
+def test_a_model_that_an_operator_leaves_is_collected():
+    class Model:
+        def __init__(self):
+            self.found = Remembered(self.score)  # refers back to the model
+
+        def score(self, key):
+            return key
+
+    model, other = Model(), Remembered(len)
+    gone = weakref.ref(model)
+    Remembered.only(model.found)
+    del model
+    Remembered.only(other)
+    assert gone() is None
+
+
+def test_memory_of_a_piece_table_is_bounded():
+    draw, table, written = random.Random(6), PieceTable(vocabulary(PIECES)), 0
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+    tracemalloc.start()
+    try:
+        for _ in range(4):
+            table.ids(table.chunks(" ".join(word() for _ in range(PORTION_BYTES // 9))))
+            written = max(written, table.written.bytes)
+            held = tracemalloc.get_traced_memory()[0]
+            assert held <= 1.2 * table.written.bytes + (4 << 20)
+            table.trim()
+    finally:
+        tracemalloc.stop()
+    # What a portion of nothing but new words adds, to a table that was just short of its share.
+    assert TABLE_BYTES + 1.2 * written / 4 < 64 << 20
+
+
+def test_words_are_cut_at_signs():
+    table = PieceTable(vocabulary(PIECES))
+    assert table.chunks("the end.\nThe  _end_”") == [" the", " end", ".\n", "The", "  _", "end", "_”"]
+
+
 @pytest.mark.parametrize("change", [
     {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}},
     {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}},

@@ -10,11 +10,14 @@ A pair table maps `left << 16 | right` to `rank << 16 | merged`, with symbols be
 from __future__ import annotations
 
 import ctypes
+import gc
 from heapq import heapify, heappop, heappush
 from sys import getsizeof
 from weakref import ref
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 NO_SYMBOL = 0xFFFF  # stands for characters that are in no vocabulary; it is in no pair
 _PLACE = (1 << 32) - 1
@@ -99,7 +102,7 @@ class Remembered(dict):
 
     def __init__(self, compute, most_bytes: int = 96 << 20):
         super().__init__()
-        self.compute, self.most_bytes, self.bytes = compute, most_bytes, 0
+        self.compute, self.most_bytes, self.bytes, self.left = compute, most_bytes, 0, False
         Remembered._live.append(ref(self))
 
     def __missing__(self, key):
@@ -122,12 +125,22 @@ class Remembered(dict):
 
     @classmethod
     def only(cls, *tables: Remembered) -> None:
-        """Empties all other tables of this process: worker processes live on from one operator to the next."""
-        live = [(one, one()) for one in cls._live]
-        cls._live = [one for one, table in live if table is not None]
-        for _, table in live:
-            if table is not None and not any(table is kept for kept in tables):
-                table.forget()
+        """Empties all other tables of this process: worker processes live on from one operator to the next.
+
+        A table and the model that computes its values refer to each other. When an operator is left, what it held is
+        collected at once: the collector would not come by itself, as few objects hold most of the memory.
+        """
+        others = [table for one in cls._live if (table := one()) is not None and not any(table is k for k in tables)]
+        leaving = any(not table.left for table in others)
+        for table in others:
+            table.forget()
+            table.left = True
+        for table in tables:
+            table.left = False
+        if leaving:
+            table = others = None
+            gc.collect()
+        cls._live = [one for one in cls._live if one() is not None]
 
 
 def begin_task(*tables: Remembered) -> None:
@@ -158,3 +171,14 @@ def portions(texts: list[str]):
         held += len(text)
     if start < len(texts):
         yield texts[start:]
+
+
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = PORTION_BYTES):
+    """The rows of a batch in turn, in slices whose texts hold some `most_bytes`, or of one row that is longer. Unlike
+    `portions` of a list, this needs no more texts as strings than those of a slice."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = held = 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(ends, held + most_bytes, "right")))
+        yield batch.slice(start, end - start)
+        start, held = end, int(ends[end - 1])
